@@ -1,0 +1,42 @@
+"""Replay batch assembly: new rows plus re-delivered copies of existing rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def replay_sample(existing: DataFrame, fraction: float, seed: int = 7,
+                  method: str = "bernoulli", key: str = "event_id",
+                  every: int | None = None) -> DataFrame:
+    """Rows of ``existing`` chosen for re-delivery.
+
+    ``bernoulli`` — ``sample(False, fraction, seed)``; ``hash`` — keep rows
+    whose ``xxhash64(key, seed)`` falls in the first ``fraction`` of the hash
+    space (the same rows on every run and retry); ``every`` — keep keys
+    divisible by ``every`` (reproducible in any SQL engine).
+    """
+    if method == "bernoulli":
+        return existing.sample(False, fraction, seed)
+    if method == "hash":
+        buckets = 1_000_000
+        h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
+        return existing.filter(h < F.lit(int(fraction * buckets)))
+    if method == "every":
+        return existing.filter(F.pmod(F.col(key), F.lit(every)) == 0)
+    raise ValueError(f"unknown method {method!r}")
+
+
+def replay_batch(new: DataFrame, existing: DataFrame, fraction: float = 0.02, seed: int = 7,
+                 cols=None, method: str = "bernoulli", key: str = "event_id",
+                 every: int | None = None, changes: dict[str, Column] | None = None) -> DataFrame:
+    """``new`` ∪ a replayed sample of ``existing``, aligned on ``cols``.
+
+    ``changes`` optionally rewrites columns of the replayed copies (e.g. a
+    later ingest time).
+    """
+    cols = list(cols or new.columns)
+    dup = replay_sample(existing, fraction, seed, method, key, every)
+    if changes:
+        dup = dup.withColumns(changes)
+    return new.select(*cols).unionByName(dup.select(*cols))
