@@ -48,26 +48,37 @@ def _version(df: DataFrame, snap_col) -> DataFrame:
 def scd2_apply(dim: DataFrame, snapshot: DataFrame, snap: str) -> DataFrame:
     """Next state of the dimension after applying one snapshot (rules 1–4).
 
-    ``snapshot`` holds one row per title (silver grain). History rows pass
-    through; only current rows are joined with the snapshot (full outer on
-    ``title_id``), so the work is bounded by catalog size, not by history.
+    ``snapshot`` holds one row per title (silver grain). One full outer join
+    of *all* dimension rows with the snapshot, matching only current rows
+    (history rows come out unmatched and pass through); each joined row then
+    yields its kept/closed old version and/or its new version through a
+    generator, so the previous state is scanned once and the join runs once.
     """
     snap_d = dt.date.fromisoformat(str(snap))
-    s = with_attr_hash(snapshot.select(*TITLE_ATTRS)).withColumn("_snap", F.lit(str(snap)))
-    hist = dim.filter(~F.col("is_current"))
-    cur = dim.filter(F.col("is_current"))
-    c = cur.select(*[F.col(x).alias(f"_c_{x}") for x in DIM_COLS])
-    j = c.join(s, c["_c_title_id"] == s["title_id"].cast("long"), "full_outer")
-    has_c = F.col("_c_title_id").isNotNull()
-    has_s = F.col("title_id").isNotNull()
-    changed = has_c & has_s & (F.col("_c_attr_hash") != F.col("attr_hash"))
-    old = j.filter(has_c).select(*[
-        (F.when(changed, F.lit(snap_d)).otherwise(F.col("_c_valid_to")) if x == "valid_to"
-         else F.when(changed, F.lit(False)).otherwise(F.col("_c_is_current")) if x == "is_current"
-         else F.col(f"_c_{x}")).alias(x)
+    s = with_attr_hash(snapshot.select(*TITLE_ATTRS))
+    s = s.select(*[F.col(c).alias(f"_s_{c}") for c in s.columns])
+    j = dim.join(s, (dim["title_id"] == s["_s_title_id"].cast("long")) & dim["is_current"],
+                 "full_outer")
+    has_c = F.col("title_id").isNotNull() | F.col("title_sk").isNotNull()
+    has_s = F.col("_s_title_id").isNotNull()
+    changed = F.coalesce(has_c & has_s & (F.col("attr_hash") != F.col("_s_attr_hash")),
+                         F.lit(False))
+    old = F.struct(*[
+        (F.when(changed, F.lit(snap_d)).otherwise(F.col(x)) if x == "valid_to"
+         else F.when(changed, F.lit(False)).otherwise(F.col(x)) if x == "is_current"
+         else F.col(x)).alias(x)
         for x in DIM_COLS])
-    new = _version(j.filter(has_s & (~has_c | changed)), F.col("_snap"))
-    return hist.select(*DIM_COLS).unionByName(old).unionByName(new)
+    new = F.struct(
+        F.xxhash64(F.col("_s_title_id").cast("long"), F.lit(str(snap))).alias("title_sk"),
+        F.col("_s_attr_hash").alias("attr_hash"),
+        F.col("_s_title_id").cast("long").alias("title_id"),
+        *[F.col(f"_s_{a}").alias(a) for a in ATTRS],
+        F.lit(snap_d).alias("valid_from"),
+        F.lit(dt.date.fromisoformat(HIGH_DATE)).alias("valid_to"),
+        F.lit(True).alias("is_current"))
+    out = F.array(F.when(has_c, old), F.when(has_s & (~has_c | changed), new))
+    return (j.select(F.inline(F.filter(out, lambda r: r.isNotNull())))
+             .select(*DIM_COLS))
 
 
 def scd2_rebuild(snapshots: DataFrame, snap_col: str = "_snapshot_date") -> DataFrame:

@@ -26,7 +26,7 @@ from watchtide.operators.sessions import rollup_sessions, sessionize
 from watchtide.operators.titles import pending_snapshots
 from watchtide.plans import fixtures as fx
 from watchtide.plans import oracle as O
-from watchtide.session import apply_defaults
+from watchtide.session import apply_defaults, checkpoint_root
 
 SESSION_GAP = 21600  # the fixture's events are sparse: 6 h joins enough rows per key
 SCOPE = ("2024-01-10", "2024-01-12")
@@ -63,7 +63,10 @@ def _dim(spark, sf) -> DataFrame:
     dim = empty_dim(spark)
     for snap in (fx.SNAP_V1, fx.SNAP_V2):
         dim = scd2_apply(dim, clean_title_snapshot(bronze, snap), snap)
-    return dim
+    # the dimension is small and read several times (size check, as-of join,
+    # mart join): materialize it once under spark.checkpoint.dir
+    checkpoint_root(spark, "/tmp/watchtide-checkpoints")
+    return dim.checkpoint()
 
 
 def _dim_out(dim: DataFrame) -> DataFrame:

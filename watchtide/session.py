@@ -17,7 +17,8 @@ SESSION_DEFAULTS = {
 def get_spark(master: str | None = None, app: str = "watchtide",
               shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with UTC time, ANSI and AQE on, UI off."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     for k, v in SESSION_DEFAULTS.items():
@@ -43,7 +44,7 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     On a cluster this must already be set to shared storage; only when it is
     unset (local tests) is ``fallback`` installed as the checkpoint dir.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set; pass a shared fallback")
