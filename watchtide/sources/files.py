@@ -92,12 +92,13 @@ def parse_with_rescue(lines: DataFrame, schema: T.StructType, value_col: str = "
                       rescued.alias("_rescued_data"))
 
 
-def with_lineage(df: DataFrame, file_col: Column | None = None) -> DataFrame:
-    """``_ingest_ts`` (one value per micro-batch) and ``_source_file``."""
-    return df.withColumns({
-        "_ingest_ts": F.current_timestamp(),
-        "_source_file": file_col if file_col is not None else F.col("_metadata.file_path"),
-    })
+def with_lineage(df: DataFrame) -> DataFrame:
+    """``_ingest_ts`` (one value per micro-batch) and ``_source_file`` (kept
+    when the source already captured it, else the hidden file metadata)."""
+    cols = {"_ingest_ts": F.current_timestamp()}
+    if "_source_file" not in df.columns:
+        cols["_source_file"] = F.col("_metadata.file_path")
+    return df.withColumns(cols)
 
 
 def path_date(path_col: Column, pattern: str = SNAPSHOT_PATH_PATTERN) -> Column:

@@ -10,6 +10,7 @@ after an executor or driver loss resumes from the last committed batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from watchtide.config import SNAPSHOT_PATH_PATTERN
 from watchtide.schemas import RAW_HEARTBEAT, RAW_TITLE
@@ -41,7 +42,7 @@ def ingest_heartbeats(spark: SparkSession, landing: str, bronze: str, checkpoint
     _check_outside(landing, checkpoint, bronze)
     df = read_json(spark, landing, schema, rescue=True, streaming=True,
                    max_files_per_trigger=max_files_per_trigger)
-    return append_stream(with_lineage(df, df["_source_file"]), bronze, checkpoint)
+    return append_stream(with_lineage(df), bronze, checkpoint)
 
 
 def ingest_titles(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
@@ -49,6 +50,5 @@ def ingest_titles(spark: SparkSession, landing: str, bronze: str, checkpoint: st
     """Landing title snapshots (``title/<date>/``) -> bronze with ``_snapshot_date``."""
     _check_outside(landing, checkpoint, bronze)
     df = read_json(spark, landing, schema, rescue=True, recursive=True, streaming=True)
-    df = with_lineage(df, df["_source_file"]).withColumn(
-        "_snapshot_date", path_date(df["_source_file"], pattern))
+    df = with_lineage(df).withColumn("_snapshot_date", path_date(F.col("_source_file"), pattern))
     return append_stream(df, bronze, checkpoint)
