@@ -74,6 +74,8 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, hot_threshold: int =
     f = fact.withColumn("_salt", F.when(is_hot_f, stable_salt(n, *salt_cols)).otherwise(F.lit(0)))
     d = dim.withColumn("_salt", F.explode(
         F.when(is_hot_d, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))))
+    # salting exists for shuffle joins: keep it one (a broadcast needs no salt)
+    d = d.hint("merge")
     if extra is None:
         return f.join(d, [key, "_salt"], how).drop("_salt")
     fa, da = f.alias("_f"), d.alias("_d")

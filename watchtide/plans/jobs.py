@@ -51,8 +51,12 @@ def load_events(spark: SparkSession, cfg: PipelineConfig, ingest_date=None,
     staged = conform(clean_events(bronze, filter_first=filter_first), SILVER_EVENTS)
     target_path = cfg.path("silver", "playback_events")
     if table_exists(spark, target_path):
+        # date bounds from the raw slice (one cheap aggregate, no dedup) prune the target
+        bounds = full_window(bronze.select(F.to_date("event_ts").alias("d")), "d")
+        if bounds is None:
+            return
         staged = insert_new(read_table(spark, target_path), staged, ["event_id", "event_date"],
-                            prune_col="event_date")
+                            prune_col="event_date", bounds=bounds)
     append_table(staged, target_path, partition_by="event_date")
 
 
