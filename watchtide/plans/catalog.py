@@ -26,7 +26,10 @@ from watchtide.operators.sessions import rollup_sessions, sessionize
 from watchtide.operators.titles import pending_snapshots
 from watchtide.plans import fixtures as fx
 from watchtide.plans import oracle as O
-from watchtide.session import apply_defaults, checkpoint_root
+from watchtide.config import GAP_SECONDS
+from watchtide.schemas import RAW_HEARTBEAT
+from watchtide.session import apply_defaults, checkpoint_root, scratch_path
+from watchtide.streaming.bronze import ingest_heartbeats
 
 SESSION_GAP = 21600  # the fixture's events are sparse: 6 h joins enough rows per key
 SCOPE = ("2024-01-10", "2024-01-12")
@@ -251,6 +254,31 @@ def q_replay_batch(spark, sf):
                             "event_ts", "_ingest_ts", "_source_file"))
 
 
+def q_sessions_hot_title(spark, sf):
+    """Sessions per title alone on the skewed fixture (one title holds about
+    half of all rows) with the reference's 30-minute gap."""
+    return neutral(rollup_sessions(_hot(spark, sf), keys=("title_id",)))
+
+
+def q_ingest_with_rescue(spark, sf):
+    """Landing JSON derived from ``events`` (every 97th line with a malformed
+    title id) -> streaming bronze ingestion -> the bronze rows."""
+    root = scratch_path(spark, "ingest")
+    hb = fx.heartbeats(spark, sf).select(*RAW_HEARTBEAT.fieldNames())
+    good = F.to_json(F.struct(*RAW_HEARTBEAT.fieldNames()))
+    bad = F.to_json(F.struct(*[F.concat(F.lit("t"), F.col(c)).alias(c) if c == "title_id"
+                               else F.col(c) for c in RAW_HEARTBEAT.fieldNames()]))
+    hb.select(F.when(F.pmod("event_id", F.lit(fx.RESCUE_EVERY)) == 0, bad).otherwise(good)
+              .alias("value")).write.text(f"{root}/landing/playback_heartbeats")
+    ingest_heartbeats(spark, f"{root}/landing/playback_heartbeats", f"{root}/bronze",
+                      f"{root}/_ops/checkpoints/playback_heartbeats")
+    b = spark.read.parquet(f"{root}/bronze")
+    return neutral(b.select("event_id", "user_id", "title_id", "playback_position_sec",
+                            "bitrate_kbps", "is_rebuffering", "country_code", "cdn_pop",
+                            "event_ts", F.col("device.device_type").alias("device_type"),
+                            F.col("_rescued_data").isNotNull().alias("rescued")))
+
+
 def q_clustered_layout(spark, sf):
     return neutral(cluster_by(_silver(spark, sf), ["title_id", "event_ts"], 8))
 
@@ -295,6 +323,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replay_batch": q_replay_batch,
     "clustered_layout": q_clustered_layout,
     "compact_layout": q_compact_layout,
+    "sessions_hot_title": q_sessions_hot_title,
+    "ingest_with_rescue": q_ingest_with_rescue,
 }
 
 
@@ -422,6 +452,17 @@ FROM events""",
 SELECT event_id, user_id, title_id, playback_position_sec, event_ts, _ingest_ts, _source_file FROM hb2"""),
     "clustered_layout": O.with_ctes(["silver"], body=f"SELECT {_SILVER_COLS} FROM silver"),
     "compact_layout": O.with_ctes(["silver"], body=f"SELECT {_SILVER_COLS} FROM silver"),
+    "sessions_hot_title": O.with_ctes(["silver_hot"], {
+        "srows": O.session_rows("silver_hot", GAP_SECONDS, keys="title_id"),
+        "sessions": O.session_rollup("srows", keys="title_id"),
+    }, "SELECT * FROM sessions"),
+    "ingest_with_rescue": O.with_ctes(["hb"], body=f"""
+SELECT event_id, user_id,
+       CASE WHEN event_id % {fx.RESCUE_EVERY} = 0 THEN NULL ELSE title_id END AS title_id,
+       playback_position_sec, bitrate_kbps, is_rebuffering, country_code, cdn_pop,
+       date_trunc('millisecond', event_ts) AS event_ts, device_type,
+       event_id % {fx.RESCUE_EVERY} = 0 AS rescued
+FROM hb"""),
 }
 
 

@@ -143,23 +143,24 @@ def with_ctes(names, extra: dict | None = None, body: str = "") -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
-def session_rows(src: str, gap: int, lo: str | None = None, hi: str | None = None) -> str:
+def session_rows(src: str, gap: int, lo: str | None = None, hi: str | None = None,
+                 keys: str = "user_id, title_id") -> str:
     where = f"WHERE event_date BETWEEN DATE '{lo}' AND DATE '{hi}'" if lo else ""
     return f"""
-  SELECT *, CAST(SUM(is_new) OVER (PARTITION BY user_id, title_id ORDER BY event_ts
+  SELECT *, CAST(SUM(is_new) OVER (PARTITION BY {keys} ORDER BY event_ts
                   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_num
   FROM (SELECT *, CASE WHEN epoch_us(event_ts) // 1000000
-                            - epoch_us(lag(event_ts) OVER (PARTITION BY user_id, title_id
+                            - epoch_us(lag(event_ts) OVER (PARTITION BY {keys}
                                                            ORDER BY event_ts)) // 1000000 > {gap}
                        THEN 1 ELSE 0 END AS is_new
         FROM {src} {where})"""
 
 
-def session_rollup(src: str, interval: int = 10) -> str:
+def session_rollup(src: str, interval: int = 10, keys: str = "user_id, title_id") -> str:
+    key_text = ", ".join(f"CAST({k.strip()} AS VARCHAR)" for k in keys.split(","))
     return f"""
-  SELECT concat_ws('_', CAST(user_id AS VARCHAR), CAST(title_id AS VARCHAR),
-                   CAST(session_num AS VARCHAR)) AS session_key,
-         user_id, title_id,
+  SELECT concat_ws('_', {key_text}, CAST(session_num AS VARCHAR)) AS session_key,
+         {keys},
          MIN(event_ts) AS session_start, MAX(event_ts) AS session_end,
          CAST(MIN(event_ts) AS DATE) AS session_date,
          COUNT(*) AS heartbeats,
@@ -170,4 +171,4 @@ def session_rollup(src: str, interval: int = 10) -> str:
          first(device_type ORDER BY event_ts, event_id) AS device_type,
          COUNT(*) * {interval} AS watch_seconds
   FROM {src}
-  GROUP BY user_id, title_id, session_num"""
+  GROUP BY {keys}, session_num"""
