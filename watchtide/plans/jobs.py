@@ -18,7 +18,7 @@ from watchtide.operators.scd2 import empty_dim, scd2_apply
 from watchtide.operators.scope import full_window, window_for
 from watchtide.operators.sessions import rollup_sessions
 from watchtide.operators.titles import pending_list
-from watchtide.schemas import BRONZE_TITLE, SILVER_EVENTS, SILVER_SESSIONS, SILVER_TITLE, conform
+from watchtide.schemas import BRONZE_TITLE, GOLD_DIM_TITLE, SILVER_EVENTS, SILVER_SESSIONS, SILVER_TITLE, conform
 from watchtide.sources.tables import (append_table, overwrite_dates, overwrite_partition,
                                       read_table, replace_table, table_exists)
 from watchtide.streaming.bronze import ingest_heartbeats, ingest_titles
@@ -123,7 +123,8 @@ def load_dim(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
     for snap in pending:
         nxt = scd2_apply(dim, snapshot(silver, snap), snap)
         nxt.write.mode("overwrite").parquet(f"{root}/asof={snap}")
-        dim = read_dim(spark, cfg)
+        # continue from the state just published (lineage cut, one folder read)
+        dim = spark.read.schema(GOLD_DIM_TITLE).parquet(f"{root}/asof={snap}")
     return pending
 
 

@@ -57,3 +57,29 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/watchtide/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, cores: int, window_heavy: bool = False) -> dict:
+    """Shuffle sizing for a run reading ``input_bytes`` on ``cores`` task slots.
+
+    * shuffle partitions: enough for ~128 MiB of shuffle input per task, at
+      least 2 waves of the cluster, so AQE has room to coalesce;
+    * advisory partition size: AQE measures *compressed* shuffle bytes, while
+      window sorts hold *decompressed* rows (low-cardinality telemetry expands
+      ~10x), so window-heavy stages (sessionization, dedup) target 16 MiB;
+    * skew split: a partition over 5x the median and 256 MiB is split; lower the
+      byte floor with the advisory size so hot keys are caught early;
+    * file splits: 128 MiB input partitions.
+    """
+    per_task = 128 * 1024 * 1024
+    parts = max(2 * cores, -(-input_bytes // per_task))
+    advisory = (16 if window_heavy else 64) * 1024 * 1024
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * advisory),
+        "spark.sql.files.maxPartitionBytes": str(per_task),
+    }
