@@ -107,6 +107,11 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     s2 = read_table(spark, cfg.path("silver", "viewing_sessions"))
     assert sorted(s2.select(*cols).collect()) == before
 
+    # job mode: today's ingest slice (one bronze partition) holds nothing new
+    today = dt.datetime.now(dt.timezone.utc).date()
+    jobs.load_events(spark, cfg, ingest_date=today)
+    assert read_table(spark, cfg.path("silver", "playback_events")).count() == n_events
+
     # job mode: scoped rebuild of the last days only
     jobs.load_sessions(spark, cfg, processing_date="2024-01-30")
     s3 = read_table(spark, cfg.path("silver", "viewing_sessions"))

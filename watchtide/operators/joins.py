@@ -19,38 +19,60 @@ from watchtide.config import DEFAULT_BROADCAST_BYTES
 from watchtide.functions.columns import stable_salt
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
+MIN_ROW_BYTES = 16  # every row of a broadcast hash relation costs at least this much
+
+
+def measure(df: DataFrame, max_bytes: int | None = None) -> tuple[int, int]:
     """(rows, bytes) of a DataFrame: bytes as the JSON text size of its rows.
 
     JSON text is at least as large as the row's binary form for the column
-    types used here, so it is a safe estimate. One aggregate job.
+    types used here, so it is a safe estimate. With ``max_bytes`` the scan
+    stops early: more than ``max_bytes / 16`` rows cannot fit, so at most that
+    many rows (+1) are read and ``(-1, -1)`` means "too big".
     """
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
-    return int(row["n"] or 0), int(row["b"] or 0)
+    src = df
+    if max_bytes is not None:
+        cap = max_bytes // MIN_ROW_BYTES
+        src = df.limit(cap + 1)
+    row = src.agg(F.count(F.lit(1)).alias("n"),
+                  F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
+    n, b = int(row["n"] or 0), int(row["b"] or 0)
+    if max_bytes is not None and n > max_bytes // MIN_ROW_BYTES:
+        return -1, -1
+    return n, b
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    return measure(df)[1] <= max_bytes
+    n, b = measure(df, max_bytes)
+    return n >= 0 and b <= max_bytes
 
 
 def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``F.broadcast(df)`` after proving its size is at most ``max_bytes``."""
-    rows, size = measure(df)
-    if size > max_bytes:
-        raise ValueError(f"refusing to broadcast {rows} rows / {size} bytes > {max_bytes}")
+    rows, size = measure(df, max_bytes)
+    if rows < 0 or size > max_bytes:
+        raise ValueError(f"refusing to broadcast: more than {max_bytes} bytes")
     return F.broadcast(df)
 
 
-def hot_keys(fact: DataFrame, key: str, threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows (at most rows/threshold of them)."""
-    return (fact.groupBy(key).count().filter(F.col("count") > F.lit(threshold))
-            .select(key))
+def hot_keys(fact: DataFrame, key: str, threshold: int,
+             fraction: float | None = None, seed: int = 7) -> DataFrame:
+    """Keys with more than ``threshold`` rows (at most rows/threshold of them).
+
+    With ``fraction`` the pass reads a Bernoulli sample and scales the
+    threshold; for salting this is safe, since any hot-key set gives the same
+    join result and only the balance of tasks depends on it.
+    """
+    src, t = fact, threshold
+    if fraction is not None:
+        src, t = fact.sample(False, fraction, seed), threshold * fraction
+    return src.groupBy(key).count().filter(F.col("count") > F.lit(t)).select(key)
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, hot_threshold: int = 0,
                 n: int = 8, salt_cols=None, how: str = "inner",
-                extra: Column | None = None, max_hot_keys: int = 10_000) -> DataFrame:
+                extra: Column | None = None, max_hot_keys: int = 10_000,
+                detect_fraction: float | None = None) -> DataFrame:
     """Equi-join on ``key`` with hot keys spread over ``n`` salts.
 
     Hot keys (more than ``hot_threshold`` fact rows) get a salt in ``[0, n)``
@@ -65,7 +87,8 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, hot_threshold: int =
         is_hot_f = F.lit(True)
         is_hot_d = F.lit(True)
     else:
-        found = [r[0] for r in hot_keys(fact, key, hot_threshold).limit(max_hot_keys + 1).collect()]
+        found = [r[0] for r in hot_keys(fact, key, hot_threshold, detect_fraction)
+                 .limit(max_hot_keys + 1).collect()]
         if len(found) > max_hot_keys:
             is_hot_f = is_hot_d = F.lit(True)
         else:

@@ -47,6 +47,8 @@ def load_events(spark: SparkSession, cfg: PipelineConfig, ingest_date=None,
     """Bronze slice -> cleaned events appended to silver when not yet present."""
     bronze = read_table(spark, cfg.path("bronze", "playback_heartbeats"), merge_schema=True)
     if ingest_date:
+        if "_ingest_date" in bronze.columns:  # partition pruning to the one ingest day
+            bronze = bronze.filter(F.col("_ingest_date") == F.lit(str(ingest_date)).cast("date"))
         bronze = ingest_day(bronze, ingest_date)
     staged = conform(clean_events(bronze, filter_first=filter_first), SILVER_EVENTS)
     target_path = cfg.path("silver", "playback_events")
@@ -76,7 +78,7 @@ def load_sessions(spark: SparkSession, cfg: PipelineConfig, processing_date=None
 
 def load_titles(spark: SparkSession, cfg: PipelineConfig, force=()) -> list[str]:
     """Clean every bronze snapshot not yet in silver (plus ``force``), oldest first."""
-    bronze = read_table(spark, cfg.path("bronze", "dim_title"))
+    bronze = read_table(spark, cfg.path("bronze", "dim_title"), schema=BRONZE_TITLE)
     silver_path = cfg.path("silver", "dim_title")
     if table_exists(spark, silver_path):
         pending = pending_list(bronze, read_table(spark, silver_path, schema=SILVER_TITLE))

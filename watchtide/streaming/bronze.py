@@ -42,7 +42,9 @@ def ingest_heartbeats(spark: SparkSession, landing: str, bronze: str, checkpoint
     _check_outside(landing, checkpoint, bronze)
     df = read_json(spark, landing, schema, rescue=True, streaming=True,
                    max_files_per_trigger=max_files_per_trigger)
-    return append_stream(with_lineage(df), bronze, checkpoint)
+    df = with_lineage(df).withColumn("_ingest_date", F.to_date("_ingest_ts"))
+    # partitioned by ingest day, so the daily silver slice prunes to one folder
+    return append_stream(df, bronze, checkpoint, partition_by="_ingest_date")
 
 
 def ingest_titles(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
@@ -51,4 +53,5 @@ def ingest_titles(spark: SparkSession, landing: str, bronze: str, checkpoint: st
     _check_outside(landing, checkpoint, bronze)
     df = read_json(spark, landing, schema, rescue=True, recursive=True, streaming=True)
     df = with_lineage(df).withColumn("_snapshot_date", path_date(F.col("_source_file"), pattern))
-    return append_stream(df, bronze, checkpoint)
+    # partitioned by snapshot, so one snapshot's load reads one folder
+    return append_stream(df, bronze, checkpoint, partition_by="_snapshot_date")
