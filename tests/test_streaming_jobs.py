@@ -116,4 +116,8 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     jobs.load_sessions(spark, cfg, processing_date="2024-01-30")
     s3 = read_table(spark, cfg.path("silver", "viewing_sessions"))
     assert s3.agg(F.sum("heartbeats")).first()[0] == n_events
+    jobs.load_sessions(spark, cfg, processing_date="2024-01-30", read_back_days=1)
+    s4 = read_table(spark, cfg.path("silver", "viewing_sessions"))
+    assert s4.filter(F.col("session_date") < F.lit("2024-01-28").cast("date")).count() == \
+        s3.filter(F.col("session_date") < F.lit("2024-01-28").cast("date")).count()
     assert os.path.isdir(cfg.path("gold", "dim_title"))

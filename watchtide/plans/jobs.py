@@ -7,6 +7,8 @@ step can be retried on its own and re-running a step is idempotent.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,16 +64,25 @@ def load_events(spark: SparkSession, cfg: PipelineConfig, ingest_date=None,
     append_table(staged, target_path, partition_by="event_date")
 
 
-def load_sessions(spark: SparkSession, cfg: PipelineConfig, processing_date=None) -> list[str]:
-    """Recompute sessions of a date window and replace exactly that window."""
+def load_sessions(spark: SparkSession, cfg: PipelineConfig, processing_date=None,
+                  read_back_days: int = 0) -> list[str]:
+    """Recompute sessions of a date window and replace exactly that window.
+
+    ``read_back_days=k`` reads events from ``lo - k`` so a session that began
+    before the window is not cut at ``lo``; only sessions starting inside the
+    window are written (0 = the reference's behaviour).
+    """
     events = read_table(spark, cfg.path("silver", "playback_events"))
     w = _window(spark, events, "event_date", processing_date, cfg.session_lookback_days)
     if w is None:
         return []
     lo, hi = w
-    sessions = rollup_sessions(date_window(events, "event_date", lo, hi),
+    read_lo = str(dt.date.fromisoformat(lo) - dt.timedelta(days=read_back_days))
+    sessions = rollup_sessions(date_window(events, "event_date", read_lo, hi),
                                gap_seconds=cfg.gap_seconds, interval_sec=cfg.interval_sec,
                                split_seconds=cfg.split_seconds)
+    if read_back_days:
+        sessions = date_window(sessions, "session_date", lo, hi)
     return overwrite_dates(conform(sessions, SILVER_SESSIONS),
                            cfg.path("silver", "viewing_sessions"), "session_date", lo, hi)
 
