@@ -76,8 +76,7 @@ def sessionize(df: DataFrame, keys=KEYS, ts_col: str = "event_ts",
     return out.drop("_sec", "_b", "_local", "_base", "_s_b", *[f"_s_{k}" for k in keys])
 
 
-def _session_columns(keys, session_num: str, agg_exprs: dict, interval_sec: int) -> list:
-    k0, k1 = keys[0], keys[1] if len(keys) > 1 else None
+def _session_columns(keys, session_num: str, interval_sec: int) -> list:
     key_parts = [F.col(k) for k in keys] + [F.col(session_num)]
     return [
         F.concat_ws("_", *key_parts).alias("session_key"),
@@ -115,7 +114,7 @@ def rollup_sessions(events: DataFrame, keys=KEYS, ts_col: str = "event_ts",
             F.sum(F.col("is_rebuffering").cast("int")).alias("rebuffer_events"),
             F.round(F.avg("bitrate_kbps"), 0).alias("avg_bitrate"),
             F.min_by(first_val, first_key).alias("_first"))
-        return agg.select(*_session_columns(keys, "_sn", {}, interval_sec))
+        return agg.select(*_session_columns(keys, "_sn", interval_sec))
 
     local = _local(events, keys, ts_col, gap_seconds, split_seconds)
     # fragments: slice-local sessions, aggregated with mergeable partials
@@ -142,4 +141,4 @@ def rollup_sessions(events: DataFrame, keys=KEYS, ts_col: str = "event_ts",
         F.sum("_rb").alias("rebuffer_events"),
         F.round(F.try_divide(F.sum("_bs").cast("double"), F.sum("_bn")), 0).alias("avg_bitrate"),
         F.min_by("_fv", "_fk").alias("_first"))
-    return agg.select(*_session_columns(keys, "_sn", {}, interval_sec))
+    return agg.select(*_session_columns(keys, "_sn", interval_sec))
