@@ -26,7 +26,9 @@ from watchtide.operators.sessions import rollup_sessions, sessionize
 from watchtide.operators.titles import pending_snapshots
 from watchtide.plans import fixtures as fx
 from watchtide.plans import oracle as O
-from watchtide.config import GAP_SECONDS
+from watchtide.config import GAP_SECONDS, PipelineConfig
+from watchtide.plans import jobs
+from watchtide.sources.tables import read_table, replace_table
 from watchtide.schemas import RAW_HEARTBEAT
 from watchtide.session import apply_defaults, checkpoint_root, scratch_path
 from watchtide.streaming.bronze import ingest_heartbeats
@@ -260,16 +262,39 @@ def q_sessions_hot_title(spark, sf):
     return neutral(rollup_sessions(_hot(spark, sf), keys=("title_id",)))
 
 
-def q_ingest_with_rescue(spark, sf):
-    """Landing JSON derived from ``events`` (every 97th line with a malformed
-    title id) -> streaming bronze ingestion -> the bronze rows."""
-    root = scratch_path(spark, "ingest")
+def _landing(spark, sf, root):
+    """Landing JSON lines derived from ``events``; every 97th line carries a
+    malformed title id (it must end up in ``_rescued_data``)."""
     hb = fx.heartbeats(spark, sf).select(*RAW_HEARTBEAT.fieldNames())
     good = F.to_json(F.struct(*RAW_HEARTBEAT.fieldNames()))
     bad = F.to_json(F.struct(*[F.concat(F.lit("t"), F.col(c)).alias(c) if c == "title_id"
                                else F.col(c) for c in RAW_HEARTBEAT.fieldNames()]))
     hb.select(F.when(F.pmod("event_id", F.lit(fx.RESCUE_EVERY)) == 0, bad).otherwise(good)
               .alias("value")).write.text(f"{root}/landing/playback_heartbeats")
+
+
+def q_jobs_mart_qos(spark, sf):
+    """The loaders end to end: landing -> streaming bronze -> silver events
+    (dedup, rescue filter, merge) -> event fact (scoped overwrite) -> QoS mart
+    table, read back from storage."""
+    root = scratch_path(spark, "lake")
+    _landing(spark, sf, root)
+    cfg = PipelineConfig(root=root)
+    ingest_heartbeats(spark, f"{root}/landing/playback_heartbeats",
+                      cfg.path("bronze", "playback_heartbeats"),
+                      f"{cfg.ops}/checkpoints/playback_heartbeats")
+    jobs.load_events(spark, cfg)
+    jobs.load_fct_events(spark, cfg)
+    replace_table(mart_qos(read_table(spark, cfg.path("gold", "fct_playback_events"))),
+                  cfg.path("gold", "mart_qos"))
+    return read_table(spark, cfg.path("gold", "mart_qos"))
+
+
+def q_ingest_with_rescue(spark, sf):
+    """Landing JSON derived from ``events`` (every 97th line with a malformed
+    title id) -> streaming bronze ingestion -> the bronze rows."""
+    root = scratch_path(spark, "ingest")
+    _landing(spark, sf, root)
     ingest_heartbeats(spark, f"{root}/landing/playback_heartbeats", f"{root}/bronze",
                       f"{root}/_ops/checkpoints/playback_heartbeats")
     b = spark.read.parquet(f"{root}/bronze")
@@ -325,6 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compact_layout": q_compact_layout,
     "sessions_hot_title": q_sessions_hot_title,
     "ingest_with_rescue": q_ingest_with_rescue,
+    "jobs_mart_qos": q_jobs_mart_qos,
 }
 
 
@@ -369,6 +395,12 @@ SELECT event_date, cdn_pop, device_type, COUNT(*) AS total_events,
        ROUND(AVG(bitrate_kbps), 0) AS avg_bitrate
 FROM silver GROUP BY event_date, cdn_pop, device_type"""),
     "fct_events": O.with_ctes(["silver"], body=f"SELECT {_FCT_EVENT_COLS} FROM silver"),
+    "jobs_mart_qos": O.with_ctes(["silver"], body="""
+SELECT event_date, cdn_pop, device_type, COUNT(*) AS total_events,
+       CAST(SUM(CAST(is_rebuffering AS INTEGER)) AS BIGINT) AS rebuffer_events,
+       ROUND(SUM(CAST(is_rebuffering AS INTEGER)) / COUNT(*), 4) AS rebuffer_ratio,
+       ROUND(AVG(bitrate_kbps), 0) AS avg_bitrate
+FROM silver GROUP BY event_date, cdn_pop, device_type"""),
     "clean_events": O.with_ctes(["silver2"], body=f"SELECT {_SILVER_COLS} FROM silver2"),
     "insert_new_events": O.with_ctes(["silver", "silver2"], body=f"""
 SELECT {_SILVER_COLS} FROM silver2 s
