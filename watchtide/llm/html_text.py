@@ -47,12 +47,15 @@ _BAD_NAMES = frozenset(
     "consent gdpr notice notices alert comment comments commentlist respond reply replies disqus discussion sidebar aside widget "
     "widgets menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar share sharing social "
     "newsletter subscribe subscription signup login popup modal overlay paywall related recommended recommendations pagination pager "
-    "disclaimer copyright".split())
+    "disclaimer copyright siteheader sitefooter pageheader pagefooter cookiebanner cookienotice adsbygoogle adbox adslot subnav "
+    "sidenav topnav mainnav".split())
 _CLOSES_P = frozenset("p div ul ol li dl table section article aside nav header footer form h1 h2 h3 h4 h5 h6 pre blockquote hr main".split())
 
 _MARKUP = re.compile(r"""<(?:!--(?:.*?-->|.*\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?>(?:[^>"']|"[^"]*"|'[^']*')*)|[^>]*)(?:>|\Z))""", re.S)
 _ATTR = re.compile(r"""([a-zA-Z][\w:-]*)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-_NAME_PARTS = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
+_NAME_PARTS = re.compile(r"[^a-zA-Z]+")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_HUMPS = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 @dataclass
@@ -66,22 +69,27 @@ class Block:
     text: str = ""
 
 
-def _marked_bad(tag: str, attrs: str, in_article: bool) -> bool:
-    if tag in _BAD_TAGS or (tag == "header" and not in_article):
-        return True
-    if not attrs or tag in ("html", "body", "article", "main") and "hidden" not in attrs:
-        return tag == "article" and bool(attrs) and _names_bad(attrs)
-    return _names_bad(attrs)
+def _names(value: str) -> set[str]:
+    """Words of a class or id: parts of letters, and the humps of each."""
+    parts = _NAME_PARTS.split(value)
+    return {x.lower() for x in parts} | {x.lower() for p in parts for x in _HUMPS.split(p)}
 
 
-def _names_bad(attrs: str) -> bool:
+def _marked_bad(tag: str, attrs: str, in_article: bool) -> bool:
+    """Whether an element holds no main text, by its tag, names, role or being hidden."""
+    if tag in _BAD_TAGS or tag == "header" and not in_article:
+        return True
+    if not attrs:
+        return False
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and not _BAD_NAMES.isdisjoint(x.lower() for x in _NAME_PARTS.split(value)):
-            return True
-        if name == "role" and value.strip().lower() in _BAD_ROLES or name == "hidden":
+        if name in ("class", "id") and tag not in ("html", "body", "main"):
+            names = _names(value)
+            if not _BAD_NAMES.isdisjoint(names) or "header" in names and not in_article:
+                return True
+        elif name == "role" and value.strip().lower() in _BAD_ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
-        if name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+        elif name == "style" and _UNSEEN.search(value):
             return True
     return False
 

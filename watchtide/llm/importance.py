@@ -94,15 +94,17 @@ def ngram_counts(docs: DataFrame, targets: np.ndarray) -> tuple[np.ndarray, np.n
     return raw, good
 
 
-def log_ratio(raw: np.ndarray, good: np.ndarray, smooth: float = 1.0) -> np.ndarray:
-    """log p_target - log p_raw per bucket; each of the three kinds of n-gram is a model of its own."""
+def log_ratio(raw: np.ndarray, good: np.ndarray, smooth: float = 4.0) -> np.ndarray:
+    """log p_target - log p_raw per bucket; each of the three kinds of n-gram is a model of its own.
+
+    Both models get ``smooth`` more of every n-gram on the target's scale of counts, so that
+    n-grams too rare for the labelled text to show weigh next to nothing.
+    """
     out = np.zeros(BUCKETS)
     for a, b in ((0, BUCKETS // 2), (BUCKETS // 2, 3 * BUCKETS // 4), (3 * BUCKETS // 4, BUCKETS)):
-        p, q = raw[a:b], good[a:b]
-        # The target's model leans on the raw model where it has seen little.
-        p = (p + smooth) / (p + smooth).sum()
-        q = (q + smooth * (b - a) * p) / (q.sum() + smooth * (b - a))
-        out[a:b] = np.log(q) - np.log(p)
+        if raw[a:b].sum():
+            expected = raw[a:b] * (good[a:b].sum() / raw[a:b].sum())
+            out[a:b] = np.log(good[a:b] + smooth) - np.log(expected + smooth)
     return out
 
 
@@ -113,7 +115,7 @@ def weights(docs: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
         for whole in batches:
             for b in chunks(whole, "text"):
                 grams, doc = features(b.column("text"))
-                w = np.bincount(doc, ratio[grams], minlength=b.num_rows)
+                w = np.bincount(doc, ratio[grams], minlength=b.num_rows).astype(float)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(w)], ["doc_id", "log_weight"])
 
     w = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, log_weight double")

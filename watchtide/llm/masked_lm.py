@@ -182,7 +182,7 @@ def score(docs: DataFrame, net: Net) -> DataFrame:
             for b in chunks(whole, "text"):
                 word, around, doc = masked_windows(b.column("text"))
                 n = np.bincount(doc, minlength=b.num_rows)
-                total = np.bincount(doc, log_probs(net, word, around), minlength=b.num_rows)
+                total = np.bincount(doc, log_probs(net, word, around), minlength=b.num_rows).astype(float)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(np.round(total, 4))], ["doc_id", "n_words", "log_likelihood"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
