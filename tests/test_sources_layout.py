@@ -56,6 +56,25 @@ def test_compaction_and_clustering(spark, tmp_dir):
     assert sel.select(F.col("_metadata.file_path")).distinct().count() == 1
 
 
+def test_partitioned_writes_make_few_files(spark, tmp_dir):
+    df = spark.range(3000).select(F.col("id"), (F.col("id") % 5).alias("day")).repartition(6)
+    df.write.partitionBy("day").parquet(f"{tmp_dir}/small")
+    before, after = compact_table(spark, f"{tmp_dir}/small", f"{tmp_dir}/dst", partition_by="day")
+    assert before == 30 and after == 5
+    write_table(df, f"{tmp_dir}/direct", partition_by="day")
+    assert file_count(spark, f"{tmp_dir}/direct") == 5
+    assert spark.read.parquet(f"{tmp_dir}/dst").count() == 3000
+
+
+def test_count_min_never_counts_too_little(spark):
+    df = spark.range(20_000).select((F.col("id") * F.col("id") % 997).alias("k"))
+    table = {(r.row, r.cell): r.n for r in D.count_min(df, "k", width=256, depth=4).collect()}
+    assert len(table) <= 4 * 256
+    keys = df.groupBy("k").count().select("k", "count", F.array(*D._cells("k", 4, 256, 7)).alias("cells")).collect()
+    over = [min(table[i, c] for i, c in enumerate(r.cells)) - r["count"] for r in keys]
+    assert min(over) >= 0 and sum(x > 2.72 * 20_000 / 256 for x in over) <= len(over) * 0.1
+
+
 def test_sketches_merge_and_heavy_hitters(spark):
     df = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.col("id") % 5).alias("day"),
                                   (F.col("id") % 400).alias("user_id"))
@@ -64,8 +83,10 @@ def test_sketches_merge_and_heavy_hitters(spark):
     for r in merged.collect():
         assert abs(r.estimate - exact[r.g]) <= 0.05 * exact[r.g]
     hot = spark.range(1000).select(F.when(F.col("id") < 600, 0).otherwise(F.col("id")).alias("k"))
-    assert [(r.k, r.n) for r in D.heavy_hitters(hot, "k", 100).collect()] == [(0, 600)]
-    sampled = D.heavy_hitters(hot, "k", 100, fraction=0.5, seed=3).collect()
+    for method in ("exact", "count_min"):
+        assert [(r.k, r.n) for r in D.heavy_hitters(hot, "k", 100, method=method).collect()] == [(0, 600)]
+        assert [(r.k, r.n) for r in D.heavy_hitters(hot, "k", share=0.5, method=method, width=64).collect()] == [(0, 600)]
+    sampled = D.heavy_hitters(hot, "k", 100, method="sample", fraction=0.5, seed=3).collect()
     assert [r.k for r in sampled] == [0]
     err = D.distinct_error(df, ["g"]).first()
     assert err.exact == 1200 and err.within_bound  # 400 users in each of 3 groups

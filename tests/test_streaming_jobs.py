@@ -10,9 +10,10 @@ from conftest import SF001
 from watchtide.config import PipelineConfig
 from watchtide.plans import fixtures as fx
 from watchtide.plans import jobs
-from watchtide.schemas import RAW_HEARTBEAT, RAW_TITLE
-from watchtide.sources.files import parse_with_rescue, path_date
-from watchtide.sources.tables import overwrite_dates, read_table
+from watchtide.schemas import BRONZE_HEARTBEAT, BRONZE_TITLE, GOLD_FCT_SESSIONS, RAW_HEARTBEAT, SILVER_SESSIONS
+from watchtide.sources.files import load_schema, parse_with_rescue, path_date
+from watchtide.sources.tables import append_table, overwrite_dates, partition_values, read_table
+from watchtide.streaming.bronze import ingest_heartbeats
 
 
 def raw_heartbeats(spark):
@@ -29,8 +30,9 @@ def test_parse_with_rescue(spark):
     out = {r.event_id: r for r in parse_with_rescue(lines, RAW_HEARTBEAT).collect()}
     assert out[1]._rescued_data is None and out[1].title_id == 3
     assert out[2]._rescued_data is not None
-    assert out[3].title_id == 4 and '"extra"' in out[3]._rescued_data
-    assert out[None]._rescued_data == "{not json"
+    assert out[3].title_id == 4 and out[3]._rescued_data is None and '"extra"' in out[3]._unknown_fields
+    assert out[None]._rescued_data == "{not json" and out[None]._unknown_fields is None
+    assert out[1]._unknown_fields is None
 
 
 def test_path_date(spark):
@@ -46,15 +48,18 @@ def test_overwrite_dates_clears_ghosts(spark, tmp_dir):
                                 "v int, day date")
     old.write.partitionBy("day").parquet(path)
     new = spark.createDataFrame([(30, d("2024-01-03"))], "v int, day date")
-    emptied = overwrite_dates(new, path, "day", "2024-01-02", "2024-01-03")
-    assert emptied == ["2024-01-02"]
+    report = overwrite_dates(new, path, "day", "2024-01-02", "2024-01-03")
+    assert (report.rows, report.dates, report.emptied) == (1, ["2024-01-03"], ["2024-01-02"])
+    assert overwrite_dates(new.limit(0), path, "day", "2020-01-01", "2024-01-01").emptied == ["2024-01-01"]
+    assert [str(r.day) for r in spark.read.parquet(path).collect()] == ["2024-01-03"]
+    old.filter("v = 1").write.mode("append").partitionBy("day").parquet(path)
     got = sorted((r.v, str(r.day)) for r in spark.read.parquet(path).collect())
     assert got == [(1, "2024-01-01"), (30, "2024-01-03")]
 
 
 def test_pipeline_end_to_end(spark, tmp_dir):
     land = f"{tmp_dir}/landing"
-    cfg = PipelineConfig(root=f"{tmp_dir}/lake", landing=land, split_seconds=3600)
+    cfg = PipelineConfig(root=f"{tmp_dir}/lake", landing=land, gap_seconds=21600)
     hb = raw_heartbeats(spark)
     day1 = hb.filter(F.to_date("event_ts") <= F.lit("2024-01-15").cast("date"))
     day1.write.mode("append").json(f"{land}/playback_heartbeats")
@@ -92,7 +97,10 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     assert dim.filter(F.col("title_id") == 999999).count() == 0
     fct = read_table(spark, cfg.path("gold", "fct_viewing_sessions"))
     assert fct.count() == sessions.count()
-    assert fct.filter(F.col("title_sk").isNull()).count() == 0
+    unknown = fct.filter(F.col("title_sk").isNull())  # titles that came with the second snapshot, before it
+    assert unknown.count() > 0
+    assert unknown.filter((F.pmod("title_id", F.lit(fx.NEW_IN_V2_MOD)) != fx.NEW_IN_V2_REM)
+                          | (F.col("session_date") >= F.lit(fx.SNAP_V2).cast("date"))).count() == 0
     qos = read_table(spark, cfg.path("gold", "mart_qos"))
     assert qos.agg(F.sum("total_events")).first()[0] == n_events
     eng = read_table(spark, cfg.path("gold", "mart_engagement"))
@@ -109,15 +117,108 @@ def test_pipeline_end_to_end(spark, tmp_dir):
 
     # job mode: today's ingest slice (one bronze partition) holds nothing new
     today = dt.datetime.now(dt.timezone.utc).date()
-    jobs.load_events(spark, cfg, ingest_date=today)
+    assert jobs.load_events(spark, cfg, ingest_date=today).rows == 0
     assert read_table(spark, cfg.path("silver", "playback_events")).count() == n_events
 
     # job mode: scoped rebuild of the last days only
     jobs.load_sessions(spark, cfg, processing_date="2024-01-30")
     s3 = read_table(spark, cfg.path("silver", "viewing_sessions"))
-    assert s3.agg(F.sum("heartbeats")).first()[0] == n_events
-    jobs.load_sessions(spark, cfg, processing_date="2024-01-30", read_back_days=1)
-    s4 = read_table(spark, cfg.path("silver", "viewing_sessions"))
-    assert s4.filter(F.col("session_date") < F.lit("2024-01-28").cast("date")).count() == \
-        s3.filter(F.col("session_date") < F.lit("2024-01-28").cast("date")).count()
+    assert sorted(s3.select(*cols).collect()) == before
     assert os.path.isdir(cfg.path("gold", "dim_title"))
+
+
+def _deliver(spark, cfg, specs, day):
+    """Bronze rows (event_id, user, seconds after 2024-01-01) of one ingest day."""
+    base = dt.datetime(2024, 1, 1)
+    data = [(e, u, 1, 5, 480, False, "US", "iad", base + dt.timedelta(seconds=s), "s", ("tv", "os"),
+             dt.datetime.fromisoformat(f"{day}T12:00:00"), "f", None, None, dt.date.fromisoformat(day)) for e, u, s in specs]
+    append_table(spark.createDataFrame(data, BRONZE_HEARTBEAT), cfg.path("bronze", "playback_heartbeats"), "_ingest_date")
+
+
+def _same_as_full(spark, cfg, root):
+    """Scoped runs against one full run over the same bronze."""
+    full = PipelineConfig(root=root)
+    read_table(spark, cfg.path("bronze", "playback_heartbeats"), BRONZE_HEARTBEAT).write.partitionBy("_ingest_date").parquet(
+        full.path("bronze", "playback_heartbeats"))
+    jobs.load_events(spark, full)
+    jobs.load_sessions(spark, full)
+    read = lambda c: sorted(map(str, read_table(spark, c.path("silver", "viewing_sessions"), SILVER_SESSIONS).collect()))
+    assert read(cfg) == read(full)
+
+
+def test_late_events_join_sessions_on_both_sides_of_midnight(spark, tmp_dir):
+    h = 3600
+    cfg = PipelineConfig(root=f"{tmp_dir}/lake")
+    _deliver(spark, cfg, [(1, 1, 24 * h - 900), (2, 1, 24 * h + 900), (3, 2, 30 * h), (4, 3, 200 * h), (5, 4, 240 * h - 60), (6, 4, 240 * h + 600)], "2024-01-12")
+    first = jobs.load_events(spark, cfg, ingest_date="2024-01-12")
+    assert first.rows == 6 and len(first.dates) == 5
+    jobs.load_sessions(spark, cfg)
+    # a bridge over the first midnight, weeks late, and a copy of an event already there
+    _deliver(spark, cfg, [(7, 1, 24 * h + 10), (3, 2, 30 * h)], "2024-01-30")
+    late = jobs.load_events(spark, cfg, ingest_date="2024-01-30")
+    assert late.rows == 1 and late.dates == ["2024-01-02"]
+    done = jobs.load_sessions(spark, cfg, processing_date="2024-01-30", dates=late.dates)
+    assert done[0] == ("2024-01-01", "2024-01-03")
+    _same_as_full(spark, cfg, f"{tmp_dir}/full")
+
+
+def test_run_day_on_nothing(spark, tmp_dir):
+    cfg = PipelineConfig(root=f"{tmp_dir}/lake")
+    for _ in range(2):
+        out = jobs.run_day(spark, cfg, processing_date="2024-01-30")
+    assert out["events"].rows == 0 and out["titles"] == [] and out["dim"] == []
+    assert read_table(spark, cfg.path("gold", "mart_engagement")).count() == 0
+    assert read_table(spark, cfg.path("gold", "mart_qos")).count() == 0
+
+
+def test_marts_without_titles(spark, tmp_dir):
+    cfg = PipelineConfig(root=f"{tmp_dir}/lake")
+    _deliver(spark, cfg, [(1, 1, 0), (2, 1, 10)], "2024-01-02")
+    jobs.run_day(spark, cfg)
+    assert read_table(spark, cfg.path("gold", "mart_qos")).count() == 1
+    assert read_table(spark, cfg.path("gold", "fct_viewing_sessions"), GOLD_FCT_SESSIONS).filter("title_sk IS NULL").count() == 1
+    assert read_table(spark, cfg.path("gold", "mart_engagement")).count() == 0
+
+
+def test_facts_follow_a_new_title_snapshot(spark, tmp_dir):
+    cfg = PipelineConfig(root=f"{tmp_dir}/lake")
+    title = lambda snap, name: spark.createDataFrame([(1, name, ["a"], "t", 2000, 10, None, None, "f", snap, dt.datetime(2024, 1, 1))], BRONZE_TITLE)
+    append_table(title("2024-01-01", "x"), cfg.path("bronze", "dim_title"), "_snapshot_date")
+    _deliver(spark, cfg, [(d, 1, d * 86400 + 60) for d in range(28)], "2024-01-29")
+    jobs.run_day(spark, cfg)
+    append_table(title("2024-01-10", "y"), cfg.path("bronze", "dim_title"), "_snapshot_date")
+    jobs.run_day(spark, cfg, processing_date="2024-01-29")
+    fct = read_table(spark, cfg.path("gold", "fct_viewing_sessions"), GOLD_FCT_SESSIONS)
+    dim = jobs.read_dim(spark, cfg).select("title_sk", "title_name")
+    names = {str(r.session_date): r.title_name for r in fct.join(dim, "title_sk").collect()}
+    assert len(names) == 28 and all(n == ("y" if d >= "2024-01-10" else "x") for d, n in names.items())
+
+
+def test_added_field_reaches_silver_rows_and_bronze_schema(spark, tmp_dir):
+    land, cfg = f"{tmp_dir}/landing", PipelineConfig(root=f"{tmp_dir}/lake")
+    os.makedirs(f"{land}/hb")
+    line = '{"event_id": %d, "title_id": %s, "event_ts": "2024-01-01T00:00:00Z"%s}\n'
+    def ingest(*lines):
+        with open(f"{land}/hb/{len(os.listdir(f'{land}/hb'))}.json", "w") as fh:
+            fh.writelines(lines)
+        ingest_heartbeats(spark, f"{land}/hb", cfg.path("bronze", "playback_heartbeats"), f"{cfg.ops}/cp", schema_store=f"{cfg.ops}/schema")
+    ingest(line % (1, 5, ""))
+    ingest(line % (2, 5, ', "app_version": "9"'), line % (3, '"oops"', ', "app_version": "9"'))
+    jobs.load_events(spark, cfg)
+    assert sorted(r.event_id for r in read_table(spark, cfg.path("silver", "playback_events")).collect()) == [1, 2]
+    schema, _ = load_schema(spark, f"{cfg.ops}/schema")
+    assert schema.fieldNames()[-1] == "app_version" and schema["title_id"].dataType.simpleString() == "int"
+    bronze = spark.read.schema(schema).parquet(cfg.path("bronze", "playback_heartbeats"))
+    # a row with one value of the wrong type keeps what could be parsed
+    assert sorted((r.event_id, r.app_version) for r in bronze.collect()) == [(1, None), (2, "9"), (3, "9")]
+
+
+def test_old_states_of_the_dimension_are_removed(spark, tmp_dir):
+    cfg = PipelineConfig(root=f"{tmp_dir}/lake")
+    for d in range(1, 6):
+        rows = spark.createDataFrame([(1, f"n{d}", None, "t", 2000, 10, None, None, "f", f"2024-01-0{d}", dt.datetime(2024, 1, d))], BRONZE_TITLE)
+        append_table(rows, cfg.path("bronze", "dim_title"), "_snapshot_date")
+        jobs.load_titles(spark, cfg)
+        assert jobs.load_dim(spark, cfg) == [f"2024-01-0{d}"]
+    assert partition_values(spark, cfg.path("gold", "dim_title"), "asof") == ["2024-01-03", "2024-01-04", "2024-01-05"]
+    assert jobs.read_dim(spark, cfg).count() == 5

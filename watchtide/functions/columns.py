@@ -37,24 +37,6 @@ def attr_hash(df, cols=TITLE_ATTRS, sep: str = ATTR_HASH_SEP) -> Column:
     return F.sha2(F.concat_ws(sep, *parts), 256)
 
 
-def bucket_session_id(user, ts, hours: int = 2) -> Column:
-    """``user_yyyyMMdd_bucket`` with fixed ``hours``-wide buckets of the day."""
-    return F.concat_ws("_", col_(user), F.date_format(col_(ts), "yyyyMMdd"),
-                       F.floor(F.hour(col_(ts)) / F.lit(hours)))
-
-
-def event_time_from_parts(start_date: str, day_offset, hour, minute, second) -> Column:
-    """timestamp(start_date) + make_dt_interval(day, hour, minute, second)."""
-    return (F.to_timestamp(F.lit(start_date))
-            + F.make_dt_interval(col_(day_offset), col_(hour), col_(minute), col_(second)))
-
-
-def capped_completion(position_sec, runtime_min) -> Column:
-    """least(position / (runtime * 60.0), 1.0); zero or NULL runtime counts as 1.0."""
-    ratio = F.try_divide(col_(position_sec), col_(runtime_min) * F.lit(60.0))
-    return F.least(ratio, F.lit(1.0))
-
-
 def pick(pool: list, index) -> Column:
     """pool[index mod len(pool)] — deterministic choice from a literal pool."""
     arr = F.array(*[F.lit(v) for v in pool])

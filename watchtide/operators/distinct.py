@@ -31,14 +31,18 @@ def distinct_users(df: DataFrame, keys=GROUP, user: str = "user_id",
 def distinct_error(df: DataFrame, keys=GROUP, user: str = "user_id",
                    rsd: float = 0.05) -> DataFrame:
     """One row: summed exact and HLL per-group distincts, relative error, and
-    whether the error is within 3 rsd."""
-    keys = list(keys)
-    per = df.groupBy(*keys).agg(F.count_distinct(user).alias("e"),
-                                F.approx_count_distinct(user, rsd).alias("a"))
-    tot = per.agg(F.sum("e").alias("exact"), F.sum("a").alias("approx"))
+    whether the error is within 3 rsd.
+
+    The two are separate aggregations: in one, the exact count would put the user
+    into the grouping key and with it a sketch beside every user. (As two scalar
+    subqueries the optimizer would merge them, so they meet in a union of two rows.)
+    """
+    exact, approx = (distinct_users(df, keys, user, m, rsd).agg(F.sum("distinct_users").alias(m))
+                     for m in ("exact", "approx"))
+    both = exact.unionByName(approx, allowMissingColumns=True).agg(F.max("exact").alias("exact"), F.max("approx").alias("approx"))
     rel = F.try_divide(F.abs(F.col("approx") - F.col("exact")).cast("double"), F.col("exact"))
-    return tot.select("exact", "approx", rel.alias("rel_err"),
-                      (F.coalesce(rel, F.lit(0.0)) <= F.lit(3 * rsd)).alias("within_bound"))
+    return both.select("exact", "approx", rel.alias("rel_err"),
+                       (F.coalesce(rel, F.lit(0.0)) <= F.lit(3 * rsd)).alias("within_bound"))
 
 
 def distinct_sketch(df: DataFrame, keys, user: str = "user_id", lg_k: int = 12) -> DataFrame:
@@ -52,20 +56,51 @@ def merge_sketches(sketches: DataFrame, keys) -> DataFrame:
             .withColumn("estimate", F.hll_sketch_estimate("sketch")))
 
 
-def heavy_hitters(df: DataFrame, key: str, threshold: int, fraction: float | None = None,
-                  seed: int = 7) -> DataFrame:
-    """Keys with more than ``threshold`` rows, with their counts.
+def _cells(key: str, depth: int, width: int, seed: int):
+    """One cell per row of a count-min table of ``depth`` rows and ``width`` columns."""
+    return [F.pmod(F.xxhash64(F.lit(seed + i), key), F.lit(width)) for i in range(depth)]
+
+
+def count_min(df: DataFrame, key: str, width: int = 4096, depth: int = 4, seed: int = 7) -> DataFrame:
+    """Count-min table: (row, cell, n), at most ``depth * width`` rows whatever the number of keys.
 
-    Exact by default (partial counts before the shuffle, so a hot key costs one
-    row per map task). With ``fraction`` the detection pass reads a Bernoulli
-    sample and reports scaled estimates — the sampling shortcut for a first pass.
+    A key's smallest count over its cells is never below its true count, and exceeds it
+    by more than e * rows / width with a chance of at most e ** -depth.
     """
-    src = df if fraction is None else df.sample(False, fraction, seed)
-    scale = 1.0 if fraction is None else 1.0 / fraction
-    counts = src.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    if fraction is not None:
-        counts = counts.withColumn("n", F.round(F.col("n") * F.lit(scale)).cast("long"))
-    return counts.filter(F.col("n") > F.lit(threshold))
+    cells = F.array(*[F.struct(F.lit(i).alias("row"), c.alias("cell")) for i, c in enumerate(_cells(key, depth, width, seed))])
+    return (df.select(F.explode(cells).alias("c")).groupBy("c.row", "c.cell")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def heavy_hitters(df: DataFrame, key: str, threshold: int | None = None, share: float | None = None,
+                  method: str = "exact", fraction: float = 0.1, seed: int = 7,
+                  width: int = 4096, depth: int = 4) -> DataFrame:
+    """Keys with more than ``threshold`` rows, or more than ``share`` of all rows, with counts.
+
+    ``exact`` — partial counts before the shuffle, so a hot key costs one row per map
+    task; the total for ``share`` is summed from the same counts. ``sample`` — counts of a
+    Bernoulli sample, scaled: estimates, for a first look. ``count_min`` — rows whose key
+    cannot be heavy by a count-min table are left out before the exact count, so that
+    cold keys, however many, cost no shuffle; the result is exact.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    if method == "sample":
+        counts = (df.sample(False, fraction, seed).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+                  .withColumn("n", F.round(F.col("n") / F.lit(fraction)).cast("long")))
+    elif method == "count_min":
+        table = count_min(df, key, width, depth, seed)
+        bar = F.lit(threshold) if share is None else F.lit(share) * table.filter("row = 0").agg(F.sum("n")).scalar()
+        maybe = df
+        for i, cell in enumerate(_cells(key, depth, width, seed)):
+            hot = table.filter((F.col("row") == i) & (F.col("n") > bar)).select(F.col("cell").alias("_cell"))
+            # depth * width rows at most: a broadcast of a fixed bound
+            maybe = maybe.join(F.broadcast(hot), cell == F.col("_cell"), "left_semi")
+        counts = maybe.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        return counts.filter(F.col("n") > bar)
+    elif method != "exact":
+        raise ValueError(f"unknown method {method!r}")
+    return counts.filter(F.col("n") > (F.lit(threshold) if share is None else
+                                       F.lit(share) * counts.agg(F.sum("n")).scalar()))
 
 
 def top_keys(df: DataFrame, key: str, k: int = 10) -> DataFrame:

@@ -1,13 +1,10 @@
 """Join strategies for fact x dimension enrichment, with skew handling.
 
-* ``checked_broadcast`` measures a side before it is broadcast and refuses
-  when it is above the bound, so a broadcast never grows with the data
-  unnoticed.
-* ``salted_join`` spreads hot keys of a shuffle join over ``n`` salts; the
-  salt is a hash of row content (stable under task retries, unlike rand()).
-* ``enrich_current`` / ``asof_dim_join`` pick a strategy: ``broadcast`` (size
-  checked, salted shuffle join beyond the bound), ``merge`` (forced
-  sort-merge), ``salted`` or ``auto`` (AQE: runtime broadcast and skew split).
+Operators here start no job. The default leaves the choice to Spark, which
+broadcasts a side whose measured size is below its threshold and splits skewed
+partitions at run time. ``broadcast`` hints only a side the optimizer itself
+sizes below a bound; ``merge`` forces a sort-merge join; ``salted`` spreads keys
+over salts taken from a column's hash, which retried tasks draw again.
 """
 
 from __future__ import annotations
@@ -19,40 +16,17 @@ from watchtide.config import DEFAULT_BROADCAST_BYTES
 from watchtide.functions.columns import stable_salt
 
 
-MIN_ROW_BYTES = 16  # every row of a broadcast hash relation costs at least this much
+def plan_bytes(df: DataFrame) -> int:
+    """Size of a DataFrame as the optimizer sees it; for a table read from files, the files' size.
 
-
-def measure(df: DataFrame, max_bytes: int | None = None) -> tuple[int, int]:
-    """(rows, bytes) of a DataFrame: bytes as the JSON text size of its rows.
-
-    JSON text is at least as large as the row's binary form for the column
-    types used here, so it is a safe estimate. With ``max_bytes`` the scan
-    stops early: more than ``max_bytes / 16`` rows cannot fit, so at most that
-    many rows (+1) are read and ``(-1, -1)`` means "too big".
+    Unknown sizes come out very large, so a bound on this never lets them through.
     """
-    src = df
-    if max_bytes is not None:
-        cap = max_bytes // MIN_ROW_BYTES
-        src = df.limit(cap + 1)
-    row = src.agg(F.count(F.lit(1)).alias("n"),
-                  F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
-    n, b = int(row["n"] or 0), int(row["b"] or 0)
-    if max_bytes is not None and n > max_bytes // MIN_ROW_BYTES:
-        return -1, -1
-    return n, b
-
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    n, b = measure(df, max_bytes)
-    return n >= 0 and b <= max_bytes
 
-
-def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``F.broadcast(df)`` after proving its size is at most ``max_bytes``."""
-    rows, size = measure(df, max_bytes)
-    if rows < 0 or size > max_bytes:
-        raise ValueError(f"refusing to broadcast: more than {max_bytes} bytes")
-    return F.broadcast(df)
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its size is known to be within the bound, else as it is."""
+    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
 
 
 def hot_keys(fact: DataFrame, key: str, threshold: int,
@@ -69,34 +43,31 @@ def hot_keys(fact: DataFrame, key: str, threshold: int,
     return src.groupBy(key).count().filter(F.col("count") > F.lit(t)).select(key)
 
 
-def salted_join(fact: DataFrame, dim: DataFrame, key: str, hot_threshold: int = 0,
-                n: int = 8, salt_cols=None, how: str = "inner",
-                extra: Column | None = None, max_hot_keys: int = 10_000,
-                detect_fraction: float | None = None) -> DataFrame:
-    """Equi-join on ``key`` with hot keys spread over ``n`` salts.
+def _flag_hot(df: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Add ``_hot``: whether the row's key is among ``hot`` (None: all are)."""
+    if hot is None:
+        return df.withColumn("_hot", F.lit(True))
+    h = hot.select(F.col(key).alias("_hot_key")).withColumn("_hot", F.lit(True))
+    return (df.join(h, df[key] == h["_hot_key"], "left")
+            .withColumn("_hot", F.coalesce("_hot", F.lit(False))).drop("_hot_key"))
+
 
-    Hot keys (more than ``hot_threshold`` fact rows) get a salt in ``[0, n)``
-    on the fact side and are replicated ``n`` times on the dim side; cold keys
-    keep salt 0 and one copy. ``hot_threshold=0`` salts every key (uniform
-    salting). The hot-key list is fetched only if it is bounded by
-    ``max_hot_keys`` — otherwise every key is salted, which is exact too.
-    ``extra`` is an additional join condition over ``fact``/``dim`` columns.
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, salt_cols, hot: DataFrame | None = None,
+                n: int = 8, how: str = "inner", extra: Column | None = None) -> DataFrame:
+    """Equi-join on ``key`` with the ``hot`` keys (default: every key) spread over ``n`` salts.
+
+    Fact rows of a hot key take a salt in [0, n) from ``salt_cols`` and the
+    dimension's rows of it are repeated n times; other keys keep salt 0 and one
+    copy. Rows without a key match nothing and are spread as well. ``hot`` is a
+    DataFrame of keys, which Spark broadcasts if it is small. ``extra`` is an
+    additional condition over the columns of ``fact`` and ``dim``.
     """
-    salt_cols = list(salt_cols or fact.columns)
-    if hot_threshold <= 0:
-        is_hot_f = F.lit(True)
-        is_hot_d = F.lit(True)
-    else:
-        found = [r[0] for r in hot_keys(fact, key, hot_threshold, detect_fraction)
-                 .limit(max_hot_keys + 1).collect()]
-        if len(found) > max_hot_keys:
-            is_hot_f = is_hot_d = F.lit(True)
-        else:
-            is_hot_f = F.col(key).isin(found) if found else F.lit(False)
-            is_hot_d = F.col(key).isin(found) if found else F.lit(False)
-    f = fact.withColumn("_salt", F.when(is_hot_f, stable_salt(n, *salt_cols)).otherwise(F.lit(0)))
-    d = dim.withColumn("_salt", F.explode(
-        F.when(is_hot_d, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))))
+    f = _flag_hot(fact, key, hot)
+    spread = F.col("_hot") | F.col(key).isNull()
+    f = f.withColumn("_salt", F.when(spread, stable_salt(n, *salt_cols)).otherwise(F.lit(0))).drop("_hot")
+    d = _flag_hot(dim, key, hot)
+    d = d.withColumn("_salt", F.explode(
+        F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
     # salting exists for shuffle joins: keep it one (a broadcast needs no salt)
     d = d.hint("merge")
     if extra is None:
@@ -109,16 +80,14 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, hot_threshold: int =
 
 def enrich_current(events: DataFrame, dim: DataFrame, key: str = "title_id",
                    strategy: str = "auto", max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                   hot_threshold: int = 0, n: int = 8, salt_cols=None) -> DataFrame:
+                   hot: DataFrame | None = None, n: int = 8, salt_cols=("event_id",)) -> DataFrame:
     """USING equi-join of facts with current dimension rows."""
     if strategy == "merge":
         return events.join(dim.hint("merge"), key)
     if strategy == "broadcast":
-        if fits_broadcast(dim, max_bytes):
-            return events.join(F.broadcast(dim), key)
-        strategy = "salted"
+        return events.join(broadcast_if_small(dim, max_bytes), key)
     if strategy == "salted":
-        return salted_join(events, dim, key, hot_threshold, n, salt_cols)
+        return salted_join(events, dim, key, salt_cols, hot, n)
     if strategy == "auto":
         return events.join(dim, key)
     raise ValueError(f"unknown strategy {strategy!r}")
@@ -126,23 +95,26 @@ def enrich_current(events: DataFrame, dim: DataFrame, key: str = "title_id",
 
 def asof_dim_join(fact: DataFrame, dim: DataFrame, key: str = "title_id",
                   date_col: str = "session_date", dim_cols=("title_sk",),
-                  how: str = "left", strategy: str = "broadcast",
-                  max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                  how: str = "left", strategy: str = "auto", salt_cols=None, n: int = 8,
+                  hot: DataFrame | None = None,
                   valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
     """Facts joined with the dimension version valid on ``date_col``.
 
     Version intervals are half-open ``[valid_from, valid_to)`` and the range
     predicate sits in the ON clause, so with ``how='left'`` a fact without a
-    version keeps its row with NULL dimension columns.
+    version keeps its row with NULL dimension columns. ``salted`` (with
+    ``salt_cols``) is for a dimension too large to broadcast under hot keys.
     """
     keep = [key, valid_from, valid_to] + [c for c in dim_cols if c not in (key, valid_from, valid_to)]
     d = dim.select(*[F.col(c).alias(f"_d_{c}") for c in keep])
-    cond = ((fact[key] == d[f"_d_{key}"])
-            & (fact[date_col] >= d[f"_d_{valid_from}"]) & (fact[date_col] < d[f"_d_{valid_to}"]))
-    if strategy == "broadcast":
-        if fits_broadcast(d, max_bytes):
-            d = F.broadcast(d)
-    elif strategy == "merge":
-        d = d.hint("merge")
-    out = fact.join(d, cond, how)
-    return out.select(*fact.columns, *[F.col(f"_d_{c}").alias(c) for c in dim_cols])
+    named = [F.col(f"_d_{c}").alias(c) for c in dim_cols]
+    valid = ((F.col(date_col) >= F.col(f"_d_{valid_from}")) & (F.col(date_col) < F.col(f"_d_{valid_to}")))
+    if strategy == "salted":
+        d = d.withColumnRenamed(f"_d_{key}", key)
+        if key in dim_cols:
+            d = d.withColumn(f"_d_{key}", F.col(key))
+        out = salted_join(fact, d, key, salt_cols, hot, n, how, valid)
+    else:
+        d = {"auto": lambda x: x, "merge": lambda x: x.hint("merge"), "broadcast": broadcast_if_small}[strategy](d)
+        out = fact.join(d, (fact[key] == d[f"_d_{key}"]) & valid, how)
+    return out.select(*fact.columns, *named)

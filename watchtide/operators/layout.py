@@ -1,4 +1,4 @@
-"""File-layout operators: compaction and clustering for data skipping."""
+"""File-layout operators: compaction, partition-wise rebalancing, clustering for data skipping."""
 
 from __future__ import annotations
 
@@ -15,6 +15,16 @@ def compact(df: DataFrame, target_files: int) -> DataFrame:
     return df.repartition(target_files)
 
 
+def rebalance(df: DataFrame, cols) -> DataFrame:
+    """Rows of one partition value together, for a write partitioned by ``cols``.
+
+    Without it every task writes a file into every partition it has rows of. Adaptive
+    execution sizes the pieces by the advisory partition size: small partitions share a
+    task, and a large one (a hot date) is split over several.
+    """
+    return df.hint("rebalance", *cols)
+
+
 def cluster_by(df: DataFrame, cols, n: int) -> DataFrame:
     """Range-partition by ``cols`` and sort inside each partition.
 

@@ -7,9 +7,9 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchtide.config import DEFAULT_BROADCAST_BYTES, HEARTBEAT_INTERVAL_SEC
+from watchtide.config import HEARTBEAT_INTERVAL_SEC
 from watchtide.operators.clean import date_window
-from watchtide.operators.joins import asof_dim_join, fits_broadcast
+from watchtide.operators.joins import asof_dim_join
 from watchtide.schemas import GOLD_FCT_EVENTS, GOLD_FCT_SESSIONS
 
 FCT_EVENT_COLS = [f.name for f in GOLD_FCT_EVENTS.fields]
@@ -24,16 +24,16 @@ def fct_events(events: DataFrame, lo=None, hi=None) -> DataFrame:
 
 
 def fct_sessions(sessions: DataFrame, dim: DataFrame, lo=None, hi=None,
-                 strategy: str = "broadcast",
-                 max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                 **join_options) -> DataFrame:
     """Sessions enriched with the title version valid at ``session_date``.
 
-    LEFT join: sessions without a version keep a NULL ``title_sk``.
+    LEFT join: sessions without a version keep a NULL ``title_sk``. ``join_options``
+    go to ``asof_dim_join``.
     """
     if lo is not None and hi is not None:
         sessions = date_window(sessions, "session_date", lo, hi)
     out = asof_dim_join(sessions, dim, "title_id", "session_date", ["title_sk"],
-                        how="left", strategy=strategy, max_bytes=max_bytes)
+                        how="left", **join_options)
     return out.select(*FCT_SESSION_COLS)
 
 
@@ -48,20 +48,17 @@ def mart_qos(fct: DataFrame) -> DataFrame:
 
 
 def mart_engagement(fct: DataFrame, dim: DataFrame,
-                    interval_sec: int = HEARTBEAT_INTERVAL_SEC,
-                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                    interval_sec: int = HEARTBEAT_INTERVAL_SEC) -> DataFrame:
     """Sessions, distinct users, watch hours and capped completion by
     (session_date, genre, country_code).
 
     Inner join on ``title_sk`` (facts without a version drop out), then one
     row per genre (a session counts once per genre; empty/NULL genres vanish).
-    The dimension is broadcast only after its size is measured; beyond the
-    bound the join is left to AQE. ``watch_hours`` is DECIMAL, rounded
-    HALF_UP to 2 places; ``avg_completion`` DECIMAL rounded to 3 places.
+    Whether the dimension is broadcast is left to Spark. ``watch_hours`` is
+    DECIMAL, rounded HALF_UP to 2 places; ``avg_completion`` DECIMAL rounded to
+    3 places.
     """
     d = dim.select("title_sk", "genres", "runtime_min")
-    if fits_broadcast(d, max_bytes):
-        d = F.broadcast(d)
     j = fct.select("title_sk", "session_date", "country_code", "user_id",
                    "heartbeats", "max_position_sec").join(d, "title_sk")
     completion = F.least(

@@ -48,17 +48,16 @@ def _version(df: DataFrame, snap_col) -> DataFrame:
 def scd2_apply(dim: DataFrame, snapshot: DataFrame, snap: str) -> DataFrame:
     """Next state of the dimension after applying one snapshot (rules 1–4).
 
-    ``snapshot`` holds one row per title (silver grain). One full outer join
-    of *all* dimension rows with the snapshot, matching only current rows
-    (history rows come out unmatched and pass through); each joined row then
-    yields its kept/closed old version and/or its new version through a
-    generator, so the previous state is scanned once and the join runs once.
+    ``snapshot`` holds one row per title (silver grain). Current versions meet the
+    snapshot in one full outer join, and each joined row yields its kept or closed
+    old version and/or its new version through a generator. Closed versions pass by
+    and never move.
     """
     snap_d = dt.date.fromisoformat(str(snap))
     s = with_attr_hash(snapshot.select(*TITLE_ATTRS))
     s = s.select(*[F.col(c).alias(f"_s_{c}") for c in s.columns])
-    j = dim.join(s, (dim["title_id"] == s["_s_title_id"].cast("long")) & dim["is_current"],
-                 "full_outer")
+    now = dim.filter("is_current")
+    j = now.join(s, now["title_id"] == s["_s_title_id"].cast("long"), "full_outer")
     has_c = F.col("title_id").isNotNull() | F.col("title_sk").isNotNull()
     has_s = F.col("_s_title_id").isNotNull()
     changed = F.coalesce(has_c & has_s & (F.col("attr_hash") != F.col("_s_attr_hash")),
@@ -77,8 +76,8 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, snap: str) -> DataFrame:
         F.lit(dt.date.fromisoformat(HIGH_DATE)).alias("valid_to"),
         F.lit(True).alias("is_current"))
     out = F.array(F.when(has_c, old), F.when(has_s & (~has_c | changed), new))
-    return (j.select(F.inline(F.filter(out, lambda r: r.isNotNull())))
-             .select(*DIM_COLS))
+    closed = dim.filter("NOT is_current").select(*DIM_COLS)
+    return j.select(F.inline(F.filter(out, lambda r: r.isNotNull()))).select(*DIM_COLS).unionByName(closed)
 
 
 def scd2_rebuild(snapshots: DataFrame, snap_col: str = "_snapshot_date") -> DataFrame:

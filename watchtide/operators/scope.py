@@ -31,6 +31,22 @@ def full_window(df: DataFrame, col: str) -> tuple[str, str] | None:
     return str(row["min_d"]), str(row["max_d"])
 
 
+def date_ranges(dates, join_days: int = 0) -> list[tuple[str, str]]:
+    """Dates as sorted ranges of days; ranges at most ``join_days`` apart become one."""
+    out: list[list[dt.date]] = []
+    for d in sorted({dt.date.fromisoformat(str(x)) for x in dates}):
+        if out and (d - out[-1][1]).days <= join_days + 1:
+            out[-1][1] = d
+        else:
+            out.append([d, d])
+    return [(str(a), str(b)) for a, b in out]
+
+
+def days_between(lo, hi) -> list[str]:
+    a, b = dt.date.fromisoformat(str(lo)), dt.date.fromisoformat(str(hi))
+    return [str(a + dt.timedelta(days=i)) for i in range((b - a).days + 1)]
+
+
 def in_scope(col: str, lo, hi) -> Column:
     return F.col(col).between(F.lit(dt.date.fromisoformat(str(lo))),
                               F.lit(dt.date.fromisoformat(str(hi))))

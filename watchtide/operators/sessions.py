@@ -1,85 +1,63 @@
 """Gap-based sessionization and the session roll-up.
 
-Semantics (fixed by the reference): within one key, ordered by event time, a
-row opens a new session when the difference of the *floored* epoch seconds to
-the previous row is greater than ``gap_seconds``; the first row of a key does
-not count as new, so session numbers start at ``first_index`` (0). Tied
-timestamps always share a session.
-
-Scale design. The plain form is one window partitioned by the key: every row
-of a key lands in one task, so a hot key (an anonymous NULL user, a bot) is a
-straggler. With ``split_seconds`` set (the default) each key is cut into
-time slices ``floor(epoch / split_seconds)``; slices are sessionized in
-parallel (shuffle on ``key, slice``) and collapsed to *fragments*; fragments
-are then stitched per key by a second, small window. Fragments per key are
-bounded by ``sessions + slices`` and sessions per key by ``span / gap + 1``,
-so the per-key work after the first shuffle no longer grows with the rows of
-the key. Results equal the plain form exactly.
+Semantics: within one key, ordered by event time, a row opens a new session when
+the difference of the *floored* epoch seconds to the previous row is greater than
+``gap_seconds``; the first row of a key does not count as new, so session numbers
+start at ``first_index`` (0). Rows of one second always share a session.
+
+Scale design. Only the floored second decides, and every measure merges, so events
+are first summed by key and second (partial sums before the shuffle: a key leaves
+each map task with one row per second at most, however many events it has), and the
+windows run over seconds. What one task holds of a hot key is bounded by the seconds
+of the time span, not by events. ``by_second=False`` is the plain form, one window
+over the rows themselves; results are equal.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from watchtide.config import DEFAULT_SPLIT_SECONDS, GAP_SECONDS, HEARTBEAT_INTERVAL_SEC
+from watchtide.config import GAP_SECONDS, HEARTBEAT_INTERVAL_SEC
 from watchtide.functions.columns import epoch_seconds
+from watchtide.operators.clean import date_window
 
 KEYS = ("user_id", "title_id")
 
 
-def _new_flag(sec: Column, prev: Column, gap: int) -> Column:
-    # NULL previous (first row) compares to NULL -> not new, as the CASE in SQL
-    return F.when(sec - prev > F.lit(gap), F.lit(1)).otherwise(F.lit(0))
-
-
-def _local(df: DataFrame, keys, ts_col: str, gap: int, split: int) -> DataFrame:
-    """Per (key, slice): lag-based new flags and the slice-local session number."""
-    df = df.withColumn("_sec", epoch_seconds(ts_col))
-    df = df.withColumn("_b", F.floor(F.col("_sec") / F.lit(split)))
-    w = Window.partitionBy(*keys, "_b").orderBy(F.col(ts_col))
-    df = df.withColumn("_inner", _new_flag(F.col("_sec"), F.lag("_sec").over(w), gap))
-    return df.withColumn("_local", F.sum("_inner").over(w)).drop("_inner")
+def _number(rows: DataFrame, keys, order: str, sec: Column, gap: int, first_index: int, out: str) -> DataFrame:
+    """Add the session number ``out`` per key, rows in the given order."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    # no previous row compares to NULL -> not new
+    new = F.when(sec - F.lag(sec).over(w) > F.lit(gap), 1).otherwise(0)
+    return (rows.withColumn("_new", new)
+            .withColumn(out, F.sum("_new").over(w) + F.lit(first_index)).drop("_new"))
 
 
 def sessionize(df: DataFrame, keys=KEYS, ts_col: str = "event_ts",
                gap_seconds: int = GAP_SECONDS, first_index: int = 0,
-               split_seconds: int | None = DEFAULT_SPLIT_SECONDS,
-               out_col: str = "session_num") -> DataFrame:
-    """Add ``session_num`` to every row (per key, from ``first_index``)."""
+               by_second: bool = True, out_col: str = "session_num") -> DataFrame:
+    """Add ``session_num`` to every row (per key, from ``first_index``).
+
+    By second, rows move once: to meet the numbers of their key's seconds.
+    """
     keys = list(keys)
-    if split_seconds is None:
-        w = Window.partitionBy(*keys).orderBy(F.col(ts_col))
-        sec = epoch_seconds(ts_col)
-        out = df.withColumn("_is_new", _new_flag(sec, F.lag(sec).over(w), gap_seconds))
-        out = out.withColumn(out_col, F.sum("_is_new").over(w) + F.lit(first_index))
-        return out.drop("_is_new")
-
-    local = _local(df, keys, ts_col, gap_seconds, split_seconds)
-    # one row per (key, slice): first/last second and number of local sessions - 1
-    summ = local.groupBy(*keys, "_b").agg(
-        F.min("_sec").alias("_first"), F.max("_sec").alias("_last"),
-        F.max("_local").alias("_nloc"))
-    wk = Window.partitionBy(*keys).orderBy("_b")
-    summ = (summ
-            .withColumn("_bnew", _new_flag(F.col("_first"), F.lag("_last").over(wk), gap_seconds))
-            .withColumn("_started", F.col("_bnew") + F.col("_nloc")))
-    summ = summ.withColumn(
-        "_base",
-        F.sum("_started").over(wk.rowsBetween(Window.unboundedPreceding, 0))
-        - F.col("_started") + F.col("_bnew"))
-    s = summ.select(*[F.col(k).alias(f"_s_{k}") for k in keys],
-                    F.col("_b").alias("_s_b"), "_base")
-    cond = [local[k].eqNullSafe(s[f"_s_{k}"]) for k in keys] + [local["_b"] == s["_s_b"]]
-    out = local.join(s, cond, "inner")
-    out = out.withColumn(out_col, F.col("_base") + F.col("_local") + F.lit(first_index))
-    return out.drop("_sec", "_b", "_local", "_base", "_s_b", *[f"_s_{k}" for k in keys])
-
-
-def _session_columns(keys, session_num: str, interval_sec: int) -> list:
-    key_parts = [F.col(k) for k in keys] + [F.col(session_num)]
+    if not by_second:
+        return _number(df, keys, ts_col, epoch_seconds(ts_col), gap_seconds, first_index, out_col)
+    rows = df.withColumn("_sec", epoch_seconds(ts_col))
+    seconds = rows.select(*keys, "_sec").distinct()
+    numbered = _number(seconds, keys, "_sec", F.col("_sec"), gap_seconds, first_index, out_col)
+    n = numbered.select(*[F.col(c).alias(f"_n_{c}") for c in [*keys, "_sec"]], out_col)
+    cond = [rows[c].eqNullSafe(n[f"_n_{c}"]) for c in [*keys, "_sec"]]
+    return rows.join(n, cond).select(*df.columns, out_col)
+
+
+def _session_columns(keys, session_num: str, interval_sec: int, key: str) -> list:
+    tail = F.col(session_num) if key == "number" else epoch_seconds("session_start")
     return [
-        F.concat_ws("_", *key_parts).alias("session_key"),
+        F.concat_ws("_", *[F.col(k) for k in keys], tail).alias("session_key"),
         *[F.col(k) for k in keys],
         F.col("session_start"), F.col("session_end"),
         F.to_date("session_start").alias("session_date"),
@@ -94,51 +72,55 @@ def _session_columns(keys, session_num: str, interval_sec: int) -> list:
 def rollup_sessions(events: DataFrame, keys=KEYS, ts_col: str = "event_ts",
                     gap_seconds: int = GAP_SECONDS,
                     interval_sec: int = HEARTBEAT_INTERVAL_SEC, first_index: int = 0,
-                    split_seconds: int | None = DEFAULT_SPLIT_SECONDS,
-                    tie_col: str = "event_id") -> DataFrame:
+                    by_second: bool = True, tie_col: str = "event_id", key: str = "number") -> DataFrame:
     """Sessionize silver events and roll each session up to one row.
 
     Output follows ``silver.viewing_sessions``. The representative
     ``country_code``/``device_type`` come from the session's first event by
     ``(event_ts, event_id)`` — a deterministic stand-in for ``FIRST``.
+    ``session_key`` ends in the session's number, which depends on the events read,
+    or with ``key="start"`` in its first epoch second, which doesn't.
     """
     keys = list(keys)
-    first_key = F.struct(F.col(ts_col), F.col(tie_col))
-    first_val = F.struct("country_code", "device_type")
-    if split_seconds is None:
-        s = sessionize(events, keys, ts_col, gap_seconds, first_index, None, "_sn")
-        agg = s.groupBy(*keys, "_sn").agg(
-            F.min(ts_col).alias("session_start"), F.max(ts_col).alias("session_end"),
-            F.count(F.lit(1)).alias("heartbeats"),
-            F.max("playback_position_sec").alias("max_position_sec"),
-            F.sum(F.col("is_rebuffering").cast("int")).alias("rebuffer_events"),
-            F.round(F.avg("bitrate_kbps"), 0).alias("avg_bitrate"),
-            F.min_by(first_val, first_key).alias("_first"))
-        return agg.select(*_session_columns(keys, "_sn", interval_sec))
-
-    local = _local(events, keys, ts_col, gap_seconds, split_seconds)
-    # fragments: slice-local sessions, aggregated with mergeable partials
-    frag = local.groupBy(*keys, "_b", "_local").agg(
-        F.min(ts_col).alias("_fs"), F.max(ts_col).alias("_fe"),
-        F.min("_sec").alias("_fss"), F.max("_sec").alias("_fes"),
-        F.count(F.lit(1)).alias("_n"),
-        F.max("playback_position_sec").alias("_mp"),
-        F.sum(F.col("is_rebuffering").cast("int")).alias("_rb"),
-        F.sum(F.col("bitrate_kbps").cast("long")).alias("_bs"),
-        F.count("bitrate_kbps").alias("_bn"),
-        F.min(first_key).alias("_fk"),
-        F.min_by(first_val, first_key).alias("_fv"))
-    # stitch fragments of a key: bounded by sessions + slices per key
-    wk = Window.partitionBy(*keys).orderBy("_b", "_local")
-    frag = frag.withColumn("_new", _new_flag(F.col("_fss"), F.lag("_fes").over(wk), gap_seconds))
-    frag = frag.withColumn(
-        "_sn", F.sum("_new").over(wk.rowsBetween(Window.unboundedPreceding, 0))
-        + F.lit(first_index))
-    agg = frag.groupBy(*keys, "_sn").agg(
-        F.min("_fs").alias("session_start"), F.max("_fe").alias("session_end"),
-        F.sum("_n").alias("heartbeats"),
-        F.max("_mp").alias("max_position_sec"),
-        F.sum("_rb").alias("rebuffer_events"),
-        F.round(F.try_divide(F.sum("_bs").cast("double"), F.sum("_bn")), 0).alias("avg_bitrate"),
-        F.min_by("_fv", "_fk").alias("_first"))
-    return agg.select(*_session_columns(keys, "_sn", interval_sec))
+    first = F.struct(F.col(ts_col).alias("t"), F.col(tie_col).alias("i"))
+    one = [F.min(ts_col).alias("_from"), F.max(ts_col).alias("_to"), F.count(F.lit(1)).alias("_n"),
+           F.max("playback_position_sec").alias("_pos"), F.sum(F.col("is_rebuffering").cast("int")).alias("_rebuf"),
+           F.sum(F.col("bitrate_kbps").cast("long")).alias("_rate"), F.count("bitrate_kbps").alias("_rates"),
+           F.min(first).alias("_order"), F.min_by(F.struct("country_code", "device_type"), first).alias("_value")]
+    if by_second:
+        seconds = events.groupBy(*keys, epoch_seconds(ts_col).alias("_sec")).agg(*one)
+        parts = _number(seconds, keys, "_sec", F.col("_sec"), gap_seconds, first_index, "_sn")
+    else:
+        rows = sessionize(events, keys, ts_col, gap_seconds, first_index, False, "_sn")
+        parts = rows.groupBy(*keys, "_sn").agg(*one)
+    agg = parts.groupBy(*keys, "_sn").agg(
+        F.min("_from").alias("session_start"), F.max("_to").alias("session_end"),
+        F.sum("_n").alias("heartbeats"), F.max("_pos").alias("max_position_sec"),
+        F.sum("_rebuf").alias("rebuffer_events"),
+        F.round(F.try_divide(F.sum("_rate").cast("double"), F.sum("_rates")), 0).alias("avg_bitrate"),
+        F.min_by("_value", "_order").alias("_first"))
+    return agg.select(*_session_columns(keys, "_sn", interval_sec, key))
+
+
+def scoped_sessions(events: DataFrame, lo, hi, pad_days: int = 1, gap_seconds: int = GAP_SECONDS,
+                    date_col: str = "event_date", **options) -> tuple[DataFrame, DataFrame, tuple[str, str]]:
+    """Sessions to be replaced after events dated ``lo`` to ``hi`` have changed.
+
+    Returns the sessions that start in the scope ``[lo - pad, hi + pad]``, those that the
+    scope is too narrow for, and the scope. Events are read from further out by the
+    days a gap can span, so that no session of the scope is cut at its edges: what
+    starts before the scope is left to its own rows, what starts inside is whole. If
+    the second result has rows, sessions touched by the change reach beyond the scope,
+    and the caller widens it.
+    """
+    day = dt.timedelta(days=1)
+    lo, hi = dt.date.fromisoformat(str(lo)), dt.date.fromisoformat(str(hi))
+    edge = 1 + gap_seconds // 86400
+    a, b = lo - pad_days * day, hi + pad_days * day
+    s = rollup_sessions(date_window(events, date_col, a - edge * day, b + edge * day),
+                        gap_seconds=gap_seconds, key="start", **options)
+    start, end = F.col("session_date"), F.to_date("session_end")
+    touched = (start <= F.lit(hi)) & (end >= F.lit(lo))
+    inside = start.between(F.lit(a), F.lit(b))
+    beyond = (touched & ((start < F.lit(a)) | (end > F.lit(b)))) | (inside & (end >= F.lit(b + edge * day)))
+    return s.filter(inside), s.filter(beyond), (str(a), str(b))

@@ -13,27 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watchtide.functions.columns import attr_hash, bucket_session_id, event_time_from_parts
+from watchtide.functions.columns import attr_hash
 from watchtide.operators import distinct as D
-from watchtide.operators.clean import clean_events, clean_title_snapshot, clean_title_snapshots, current
+from watchtide.operators.clean import clean_events, clean_titles, current
 from watchtide.operators.joins import asof_dim_join, enrich_current
-from watchtide.operators.layout import cluster_by, compact
 from watchtide.operators.marts import fct_events, mart_engagement, mart_qos
 from watchtide.operators.merge import insert_new
 from watchtide.operators.scd2 import empty_dim, scd2_apply, scd2_rebuild
 from watchtide.operators.scope import date_bounds, in_scope, replace_scope
-from watchtide.operators.sessions import rollup_sessions, sessionize
+from watchtide.operators.sessions import rollup_sessions, scoped_sessions, sessionize
 from watchtide.operators.titles import pending_snapshots
 from watchtide.plans import fixtures as fx
 from watchtide.plans import oracle as O
 from watchtide.config import GAP_SECONDS, PipelineConfig
 from watchtide.plans import jobs
-from watchtide.sources.tables import read_table, replace_table
-from watchtide.schemas import RAW_HEARTBEAT
-from watchtide.session import apply_defaults, checkpoint_root, scratch_path
-from watchtide.streaming.bronze import ingest_heartbeats
-
-SESSION_GAP = 21600  # the fixture's events are sparse: 6 h joins enough rows per key
+from watchtide.sources.files import load_schema, write_json
+from watchtide.sources.tables import append_table, cluster_table, compact_table, read_table, replace_table, write_table
+from watchtide.schemas import BRONZE_HEARTBEAT, RAW_HEARTBEAT, conform
+from watchtide.session import apply_defaults, publish, scratch_path
+from watchtide.streaming.bronze import ingest_heartbeats, ingest_titles
+
+SESSION_GAP = 172_800  # a user meets a title every few days here: 2 days join some of its rows
+LATE_GAP = 21_600  # on the fixture with a hot title; its sessions run across midnight
+LATE = ("2024-01-05", "2024-01-07")  # of these days every 11th event is delivered last
+LATE_EVERY = 11
+NEW_FIELD_FROM = "2024-01-16"  # heartbeats of later days carry a field the first delivery lacks
 SCOPE = ("2024-01-10", "2024-01-12")
 LOADED_UNTIL = "2024-01-20"
 HOT_FRACTION = 0.05
@@ -63,15 +67,12 @@ def _sessions(spark, sf) -> DataFrame:
 
 
 def _dim(spark, sf) -> DataFrame:
-    """Gold dimension after applying both snapshots incrementally."""
+    """Gold dimension after applying both snapshots incrementally, as a published table."""
     bronze = fx.bronze_titles(spark, sf)
     dim = empty_dim(spark)
     for snap in (fx.SNAP_V1, fx.SNAP_V2):
-        dim = scd2_apply(dim, clean_title_snapshot(bronze, snap), snap)
-    # the dimension is small and read several times (size check, as-of join,
-    # mart join): materialize it once under spark.checkpoint.dir
-    checkpoint_root(spark, "/tmp/watchtide-checkpoints")
-    return dim.checkpoint()
+        dim = scd2_apply(dim, clean_titles(bronze, snap), snap)
+    return publish(dim, "dim")
 
 
 def _dim_out(dim: DataFrame) -> DataFrame:
@@ -92,6 +93,10 @@ def q_clean_events(spark, sf):
     return neutral(clean_events(fx.heartbeats_with_replays(spark, sf)))
 
 
+def q_clean_events_good_copies(spark, sf):
+    return neutral(clean_events(fx.heartbeats_with_replays(spark, sf), filter_first=True))
+
+
 def q_insert_new_events(spark, sf):
     silver = _silver(spark, sf)
     target = silver.filter(F.col("event_date") <= F.lit(LOADED_UNTIL).cast("date"))
@@ -109,38 +114,30 @@ def q_sessions(spark, sf):
 
 
 def q_sessions_single_window(spark, sf):
-    return neutral(rollup_sessions(_silver(spark, sf), gap_seconds=SESSION_GAP, split_seconds=None))
+    return neutral(rollup_sessions(_silver(spark, sf), gap_seconds=SESSION_GAP, by_second=False))
 
 
 def q_replace_scope_sessions(spark, sf):
+    """A scope rebuilt from its own neighbourhood and put in place of the old rows: the
+    same as sessions of all events."""
     silver = _silver(spark, sf)
-    existing = rollup_sessions(silver, gap_seconds=SESSION_GAP)
-    lo, hi = SCOPE
-    new = rollup_sessions(silver.filter(in_scope("event_date", lo, hi)), gap_seconds=SESSION_GAP)
-    return neutral(replace_scope(existing, new, in_scope("session_date", lo, hi)))
-
-
-def q_title_attrs(spark, sf):
-    from watchtide.operators.titles import derive_title_attrs
-    return neutral(derive_title_attrs(fx.title_ids(spark, sf)))
-
-
-def q_title_overrides(spark, sf):
-    return neutral(fx.titles_v2(spark, sf))
+    existing = rollup_sessions(silver, gap_seconds=SESSION_GAP, key="start")
+    new, _, scope = scoped_sessions(silver, *SCOPE, pad_days=8, gap_seconds=SESSION_GAP)
+    return neutral(replace_scope(existing, new, in_scope("session_date", *scope)))
 
 
 def q_title_snapshot(spark, sf):
-    return neutral(clean_title_snapshot(fx.bronze_titles(spark, sf), fx.SNAP_V2))
+    return neutral(clean_titles(fx.bronze_titles(spark, sf), fx.SNAP_V2))
 
 
 def q_attr_hash(spark, sf):
-    s = clean_title_snapshots(fx.bronze_titles(spark, sf))
+    s = clean_titles(fx.bronze_titles(spark, sf))
     return s.select("title_id", "_snapshot_date", attr_hash(s).alias("attr_hash"))
 
 
 def q_pending_snapshots(spark, sf):
     bronze = fx.bronze_titles(spark, sf)
-    silver = clean_title_snapshot(bronze, fx.SNAP_V1)
+    silver = clean_titles(bronze, fx.SNAP_V1)
     return pending_snapshots(bronze, silver)
 
 
@@ -149,7 +146,7 @@ def q_scd2_merge(spark, sf):
 
 
 def q_scd2_rebuild(spark, sf):
-    return _dim_out(scd2_rebuild(clean_title_snapshots(fx.bronze_titles(spark, sf))))
+    return _dim_out(scd2_rebuild(clean_titles(fx.bronze_titles(spark, sf))))
 
 
 def q_fct_sessions(spark, sf):
@@ -161,23 +158,49 @@ def q_fct_sessions(spark, sf):
                             F.col("valid_from").alias("version_from")))
 
 
+def q_fct_sessions_salted(spark, sf):
+    f = asof_dim_join(_sessions(spark, sf), _dim(spark, sf), "title_id", "session_date",
+                      ["valid_from"], strategy="salted", salt_cols=["session_key"])
+    return neutral(f.select("session_key", "user_id", "title_id", "session_date",
+                            F.col("valid_from").alias("version_from")))
+
+
 def q_mart_engagement(spark, sf):
     dim = _dim(spark, sf)
     f = asof_dim_join(_sessions(spark, sf), dim, "title_id", "session_date", ["title_sk"])
     return neutral(mart_engagement(f, dim))
 
 
-def _join(strategy, **kw):
-    def q(spark, sf):
-        events = clean_events(fx.heartbeats(spark, sf, hot=True))
-        dim = current(_dim(spark, sf)).select(
-            F.col("title_id").cast("int").alias("title_id"), "title_name", "content_type",
-            "runtime_min")
-        out = enrich_current(events.select("event_id", "title_id", "user_id"), dim, "title_id",
-                             strategy=strategy, **kw)
-        return out.select("event_id", "title_id", "user_id", "title_name", "content_type",
-                          "runtime_min")
-    return q
+def join_inputs(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Events of the skewed fixture and current titles."""
+    events = clean_events(fx.heartbeats(spark, sf, hot=True)).select("event_id", "title_id", "user_id")
+    dim = current(_dim(spark, sf)).select(
+        F.col("title_id").cast("int").alias("title_id"), "title_name", "content_type", "runtime_min")
+    return events, dim
+
+
+def join_with(events: DataFrame, dim: DataFrame, strategy: str) -> DataFrame:
+    """One strategy; salting takes the keys with over HOT_FRACTION of the rows for hot."""
+    hot = D.heavy_hitters(events, "title_id", share=HOT_FRACTION).select("title_id") if strategy == "salted" else None
+    out = enrich_current(events, dim, "title_id", strategy=strategy, hot=hot)
+    return out.select("event_id", "title_id", "user_id", "title_name", "content_type", "runtime_min")
+
+
+def _join(strategy):
+    return lambda spark, sf: join_with(*join_inputs(spark, sf), strategy)
+
+
+def join_big_big(events: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Every event with the session it belongs to: two large sides, equal keys and a range."""
+    s = sessions.select(F.col("user_id").alias("_u"), F.col("title_id").alias("_t"), "session_key", "session_start", "session_end")
+    on = ((events["user_id"] == F.col("_u")) & (events["title_id"] == F.col("_t"))
+          & events["event_ts"].between(F.col("session_start"), F.col("session_end")))
+    return events.join(s.hint("merge"), on).select("event_id", "user_id", "title_id", "session_key")
+
+
+def q_join_big_big(spark, sf):
+    ev = _hot(spark, sf)
+    return join_big_big(ev, rollup_sessions(ev, gap_seconds=LATE_GAP, key="start"))
 
 
 def _hot(spark, sf):
@@ -185,10 +208,18 @@ def _hot(spark, sf):
 
 
 def q_heavy_hitters(spark, sf):
-    ev = _hot(spark, sf)
-    total = ev.select(F.count(F.lit(1))).scalar()
-    counts = ev.groupBy("title_id").agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.col("n") > F.lit(HOT_FRACTION) * total)
+    return D.heavy_hitters(_hot(spark, sf), "title_id", share=HOT_FRACTION)
+
+
+def q_heavy_hitters_count_min(spark, sf):
+    return D.heavy_hitters(_hot(spark, sf), "title_id", share=HOT_FRACTION, method="count_min")
+
+
+def q_heavy_users_count_min(spark, sf):
+    """Many keys near the threshold: users above the mean by a tenth."""
+    ev = _silver(spark, sf)
+    users = ev.select("user_id").distinct().count()
+    return D.heavy_hitters(ev, "user_id", share=1.1 / users, method="count_min", width=512)
 
 
 def q_top_keys(spark, sf):
@@ -232,45 +263,28 @@ def q_distinct_sketch(spark, sf):
     return j.select("title_id", "country_code", "distinct_users", ok.alias("within_bound"))
 
 
-def q_bucket_session_id(spark, sf):
-    hb = fx.read(spark, sf, "events")
-    ts = F.col("ts").cast("timestamp")
-    return hb.select("event_id", bucket_session_id("user_id", ts).alias("session_id"))
-
-
-def q_event_time_from_parts(spark, sf):
-    ev = fx.read(spark, sf, "events")
-    ts = F.col("ts").cast("timestamp")
-    day = F.datediff(F.to_date(ts), F.lit("2024-01-01").cast("date"))
-    rebuilt = event_time_from_parts("2024-01-01", day, F.hour(ts), F.minute(ts), F.second(ts))
-    return neutral(ev.select("event_id", rebuilt.alias("event_ts_seconds")))
-
-
 def q_date_bounds(spark, sf):
     return date_bounds(_silver(spark, sf), "event_date")
 
 
-def q_replay_batch(spark, sf):
-    b = fx.heartbeats_with_replays(spark, sf)
-    return neutral(b.select("event_id", "user_id", "title_id", "playback_position_sec",
-                            "event_ts", "_ingest_ts", "_source_file"))
-
-
 def q_sessions_hot_title(spark, sf):
     """Sessions per title alone on the skewed fixture (one title holds about
     half of all rows) with the reference's 30-minute gap."""
     return neutral(rollup_sessions(_hot(spark, sf), keys=("title_id",)))
 
 
+def _landing_lines(hb: DataFrame) -> DataFrame:
+    """Heartbeats as JSON lines; every 97th carries a title id of the wrong type (it must end
+    up in ``_rescued_data``)."""
+    cols = hb.columns
+    good = F.to_json(F.struct(*cols))
+    bad = F.to_json(F.struct(*[F.concat(F.lit("t"), F.col(c)).alias(c) if c == "title_id" else F.col(c) for c in cols]))
+    return hb.select(F.when(F.pmod("event_id", F.lit(fx.RESCUE_EVERY)) == 0, bad).otherwise(good).alias("value"))
+
+
 def _landing(spark, sf, root):
-    """Landing JSON lines derived from ``events``; every 97th line carries a
-    malformed title id (it must end up in ``_rescued_data``)."""
     hb = fx.heartbeats(spark, sf).select(*RAW_HEARTBEAT.fieldNames())
-    good = F.to_json(F.struct(*RAW_HEARTBEAT.fieldNames()))
-    bad = F.to_json(F.struct(*[F.concat(F.lit("t"), F.col(c)).alias(c) if c == "title_id"
-                               else F.col(c) for c in RAW_HEARTBEAT.fieldNames()]))
-    hb.select(F.when(F.pmod("event_id", F.lit(fx.RESCUE_EVERY)) == 0, bad).otherwise(good)
-              .alias("value")).write.text(f"{root}/landing/playback_heartbeats")
+    _landing_lines(hb).write.text(f"{root}/landing/playback_heartbeats")
 
 
 def q_jobs_mart_qos(spark, sf):
@@ -304,37 +318,151 @@ def q_ingest_with_rescue(spark, sf):
                             F.col("_rescued_data").isNotNull().alias("rescued")))
 
 
+def q_ingest_schema_evolution(spark, sf):
+    """Two deliveries; the second carries a field more and, every 97th time, a title of the
+    wrong type. Bronze takes the field under the evolved schema, silver takes the rows."""
+    root = scratch_path(spark, "evolve")
+    cfg = PipelineConfig(root=root, landing=f"{root}/landing")
+    hb = fx.heartbeats(spark, sf).select(*RAW_HEARTBEAT.fieldNames())
+    late = F.to_date("event_ts") >= F.lit(NEW_FIELD_FROM).cast("date")
+    for part in (hb.filter(~late), hb.filter(late).withColumn("app_version", F.concat(F.lit("v"), F.pmod("event_id", F.lit(5))))):
+        _landing_lines(part).write.mode("append").text(f"{cfg.landing}/playback_heartbeats")
+        ingest_heartbeats(spark, f"{cfg.landing}/playback_heartbeats", cfg.path("bronze", "playback_heartbeats"),
+                          f"{cfg.ops}/checkpoints/playback_heartbeats", schema_store=f"{cfg.ops}/schemas/playback_heartbeats")
+    jobs.load_events(spark, cfg)
+    schema, _ = load_schema(spark, f"{cfg.ops}/schemas/playback_heartbeats")
+    bronze = spark.read.schema(schema.add("_rescued_data", "string")).parquet(cfg.path("bronze", "playback_heartbeats"))
+    silver = read_table(spark, cfg.path("silver", "playback_events")).select("event_id", F.lit(True).alias("in_silver"))
+    return bronze.join(silver, "event_id", "left").select(
+        "event_id", "app_version", F.col("_rescued_data").isNotNull().alias("rescued"), F.coalesce("in_silver", F.lit(False)).alias("in_silver"))
+
+
+def _land_titles(spark, sf, landing):
+    """Both snapshots in folders of their dates, and a file in none."""
+    for snap, rows in ((fx.SNAP_V1, fx.titles_v1(spark, sf)), (fx.SNAP_V2, fx.titles_v2(spark, sf))):
+        write_json(rows, f"{landing}/title/{snap}")
+    write_json(fx.titles_v1(spark, sf).filter("title_id = 0"), f"{landing}/title/stray")
+
+
+def q_title_stream(spark, sf):
+    """Bronze titles from the stream: snapshot date from the path, lineage columns."""
+    root = scratch_path(spark, "titles")
+    cfg = PipelineConfig(root=root)
+    _land_titles(spark, sf, f"{root}/landing")
+    for _ in range(2):  # the second run finds nothing new
+        ingest_titles(spark, f"{root}/landing/title", cfg.path("bronze", "dim_title"), f"{cfg.ops}/checkpoints/title")
+    b = spark.read.parquet(cfg.path("bronze", "dim_title"))
+    dated = F.regexp_extract("_source_file", r"/landing/title/([^/]+)/part-", 1)
+    return b.select("title_id", F.col("_snapshot_date").cast("string").alias("snapshot_date"), dated.alias("folder"),
+                    F.col("_ingest_ts").isNotNull().alias("has_ingest_ts"))
+
+
+def q_title_chain(spark, sf):
+    """Landing JSON -> stream -> silver snapshots -> SCD2 states, every loader run twice."""
+    root = scratch_path(spark, "chain")
+    cfg = PipelineConfig(root=root)
+    append_table(conform_titles(fx.bronze_titles(spark, sf)), cfg.path("bronze", "dim_title"), "_snapshot_date")
+    for _ in range(2):
+        jobs.load_titles(spark, cfg)
+        jobs.load_dim(spark, cfg)
+    return _dim_out(jobs.read_dim(spark, cfg))
+
+
+def conform_titles(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"_rescued_data": F.lit(None).cast("string"), "_unknown_fields": F.lit(None).cast("string")})
+
+
+def _run_days(spark, sf) -> PipelineConfig:
+    """The whole job from landing files, run for all dates and then again for the last day."""
+    root = scratch_path(spark, "days")
+    cfg = PipelineConfig(root=root, landing=f"{root}/landing", gap_seconds=SESSION_GAP)
+    _landing(spark, sf, root)
+    _land_titles(spark, sf, cfg.landing)
+    jobs.run_day(spark, cfg)
+    jobs.run_day(spark, cfg, processing_date="2024-01-30")
+    return cfg
+
+
+def q_run_day_engagement(spark, sf):
+    return neutral(read_table(spark, _run_days(spark, sf).path("gold", "mart_engagement")))
+
+
+def q_run_day_qos(spark, sf):
+    return read_table(spark, _run_days(spark, sf).path("gold", "mart_qos"))
+
+
+def q_late_data_rebuild(spark, sf):
+    """Events that come weeks late: the sessions of their dates, and of the days around, are
+    rebuilt to what all events together give."""
+    cfg = PipelineConfig(root=scratch_path(spark, "late"), gap_seconds=LATE_GAP)
+    hb = fx.heartbeats(spark, sf, hot=True).withColumn("_unknown_fields", F.lit(None).cast("string"))
+    late = (F.pmod("event_id", F.lit(LATE_EVERY)) == 0) & in_scope("_d", *LATE)
+    hb = hb.withColumn("_d", F.to_date("event_ts")).withColumn("_late", late)
+    for is_late, day in ((False, "2024-01-30"), (True, "2024-01-31")):
+        rows = hb.filter(F.col("_late") == is_late).withColumns({
+            "_ingest_ts": F.lit(f"{day} 12:00:00").cast("timestamp"), "_ingest_date": F.lit(day).cast("date")})
+        append_table(conform(rows, BRONZE_HEARTBEAT), cfg.path("bronze", "playback_heartbeats"), "_ingest_date")
+        report = jobs.load_events(spark, cfg, ingest_date=day)
+        if is_late:
+            jobs.load_sessions(spark, cfg, processing_date=day, dates=report.dates)
+        else:
+            jobs.load_sessions(spark, cfg)
+    return neutral(read_table(spark, cfg.path("silver", "viewing_sessions")))
+
+
 def q_clustered_layout(spark, sf):
-    return neutral(cluster_by(_silver(spark, sf), ["title_id", "event_ts"], 8))
+    """Titles of a table written as it comes and clustered by title: rows, and whether they
+    lie in two neighbouring files at most while the other layout spreads them further."""
+    root = scratch_path(spark, "cluster")
+    silver = _silver(spark, sf)
+    write_table(silver.repartition(8), f"{root}/plain")
+    cluster_table(spark, f"{root}/plain", f"{root}/clustered", ["title_id", "event_ts"], 8)
+    def spread(name):
+        t = spark.read.parquet(f"{root}/{name}").select("title_id", F.col("_metadata.file_path").alias("f"))
+        return t.groupBy("title_id").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("f").alias(name))
+    both = spread("plain").join(spread("clustered").drop("events"), "title_id")
+    return both.select("title_id", "events", (F.col("clustered") <= F.least("plain", F.lit(2))).alias("narrow"))
 
 
 def q_compact_layout(spark, sf):
-    return neutral(compact(_silver(spark, sf), 4))
+    """Files of a partitioned table of small files before and after compaction, by date."""
+    root = scratch_path(spark, "compact")
+    silver = _silver(spark, sf)
+    silver.repartition(6).write.partitionBy("event_date").parquet(f"{root}/small")
+    compact_table(spark, f"{root}/small", f"{root}/compact", partition_by="event_date")
+    def files(name):
+        t = spark.read.parquet(f"{root}/{name}").select("event_date", F.col("_metadata.file_path").alias("f"))
+        return t.groupBy("event_date").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("f").alias(name))
+    both = files("small").join(files("compact").drop("events"), "event_date")
+    return both.select("event_date", "events", F.col("compact").alias("files_after"), (F.col("small") > F.col("compact")).alias("fewer"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_qos": q_mart_qos,
     "fct_events": q_fct_events,
     "clean_events": q_clean_events,
+    "clean_events_good_copies": q_clean_events_good_copies,
     "insert_new_events": q_insert_new_events,
     "sessionize": q_sessionize,
     "sessions": q_sessions,
     "sessions_single_window": q_sessions_single_window,
     "replace_scope_sessions": q_replace_scope_sessions,
-    "title_attrs": q_title_attrs,
-    "title_overrides": q_title_overrides,
     "title_snapshot": q_title_snapshot,
     "attr_hash": q_attr_hash,
     "pending_snapshots": q_pending_snapshots,
     "scd2_merge": q_scd2_merge,
     "scd2_rebuild": q_scd2_rebuild,
     "fct_sessions": q_fct_sessions,
+    "fct_sessions_salted": q_fct_sessions_salted,
     "mart_engagement": q_mart_engagement,
     "join_merge": _join("merge"),
     "join_broadcast": _join("broadcast"),
     "join_auto": _join("auto"),
-    "join_salted": _join("salted", hot_threshold=1, n=8, salt_cols=["event_id"]),
+    "join_salted": _join("salted"),
+    "join_big_big": q_join_big_big,
     "heavy_hitters": q_heavy_hitters,
+    "heavy_hitters_count_min": q_heavy_hitters_count_min,
+    "heavy_users_count_min": q_heavy_users_count_min,
     "top_keys": q_top_keys,
     "key_skew": q_key_skew,
     "distinct_exact": q_distinct_exact,
@@ -342,15 +470,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_approx": q_distinct_approx,
     "distinct_error": q_distinct_error,
     "distinct_sketch": q_distinct_sketch,
-    "bucket_session_id": q_bucket_session_id,
-    "event_time_from_parts": q_event_time_from_parts,
     "date_bounds": q_date_bounds,
-    "replay_batch": q_replay_batch,
     "clustered_layout": q_clustered_layout,
     "compact_layout": q_compact_layout,
     "sessions_hot_title": q_sessions_hot_title,
     "ingest_with_rescue": q_ingest_with_rescue,
     "jobs_mart_qos": q_jobs_mart_qos,
+    "ingest_schema_evolution": q_ingest_schema_evolution,
+    "title_stream": q_title_stream,
+    "title_chain": q_title_chain,
+    "run_day_engagement": q_run_day_engagement,
+    "run_day_qos": q_run_day_qos,
+    "late_data_rebuild": q_late_data_rebuild,
 }
 
 
@@ -387,6 +518,22 @@ SELECT e.event_id, e.title_id, e.user_id, d.title_name, d.content_type, d.runtim
 FROM silver_hot e JOIN dim d ON e.title_id = d.title_id AND d.is_current""")
 _HOT_COUNTS = "SELECT title_id, COUNT(*) AS n FROM silver_hot GROUP BY title_id"
 
+_ENGAGEMENT = """
+SELECT session_date, genre, country_code, COUNT(*) AS total_sessions,
+       COUNT(DISTINCT user_id) AS distinct_users,
+       CAST((SUM(heartbeats * 10) + 18) // 36 AS DOUBLE) / 100.0 AS watch_hours,
+       CAST(((SUM(c15) * 200 + COUNT(c15)) // (2 * COUNT(c15)) + 50000000000000)
+            // 100000000000000 AS DOUBLE) / 1000.0 AS avg_completion
+FROM (SELECT *, unnest(genres) AS genre,
+             -- Spark's DECIMAL(26,15) ratio, HALF_UP, capped at 1.0, as an integer
+             CASE WHEN max_position_sec IS NULL OR runtime_min IS NULL OR runtime_min = 0
+                  THEN CAST(1000000000000000 AS HUGEINT)
+                  ELSE LEAST((CAST(max_position_sec AS HUGEINT) * 2000000000000000
+                              + runtime_min * 60) // (2 * runtime_min * 60),
+                             CAST(1000000000000000 AS HUGEINT)) END AS c15
+      FROM f WHERE version_from IS NOT NULL)
+GROUP BY session_date, genre, country_code"""
+
 ORACLE: dict[str, str] = {
     "mart_qos": O.with_ctes(["silver"], body="""
 SELECT event_date, cdn_pop, device_type, COUNT(*) AS total_events,
@@ -402,6 +549,7 @@ SELECT event_date, cdn_pop, device_type, COUNT(*) AS total_events,
        ROUND(AVG(bitrate_kbps), 0) AS avg_bitrate
 FROM silver GROUP BY event_date, cdn_pop, device_type"""),
     "clean_events": O.with_ctes(["silver2"], body=f"SELECT {_SILVER_COLS} FROM silver2"),
+    "clean_events_good_copies": O.with_ctes(["silver2_good"], body=f"SELECT {_SILVER_COLS} FROM silver2_good"),
     "insert_new_events": O.with_ctes(["silver", "silver2"], body=f"""
 SELECT {_SILVER_COLS} FROM silver2 s
 WHERE NOT EXISTS (SELECT 1 FROM silver t
@@ -412,19 +560,7 @@ WHERE NOT EXISTS (SELECT 1 FROM silver t
     "sessions": O.with_ctes(["silver"], _SESS, "SELECT * FROM sessions"),
     "sessions_single_window": O.with_ctes(["silver"], _SESS, "SELECT * FROM sessions"),
     "replace_scope_sessions": O.with_ctes(["silver"], {
-        **_SESS,
-        "wrows": O.session_rows("silver", SESSION_GAP, *SCOPE),
-        "wsessions": O.session_rollup("wrows"),
-    }, f"""
-SELECT * FROM sessions
-WHERE NOT coalesce(session_date BETWEEN DATE '{SCOPE[0]}' AND DATE '{SCOPE[1]}', false)
-UNION ALL SELECT * FROM wsessions"""),
-    "title_attrs": O.with_ctes(["attrs"], body="""
-SELECT title_id, title_name, array_to_string(genres, ',') AS genres, content_type,
-       release_year, runtime_min FROM attrs"""),
-    "title_overrides": O.with_ctes(["v2"], body="""
-SELECT title_id, title_name, array_to_string(genres, ',') AS genres, content_type,
-       release_year, runtime_min FROM v2"""),
+        "srows": _SESS["srows"], "sessions": O.session_rollup("srows", key="start")}, "SELECT * FROM sessions"),
     "title_snapshot": O.with_ctes(["silver_titles"], body=f"""
 SELECT title_id, title_name, array_to_string(genres, ',') AS genres, content_type, release_year,
        runtime_min, _snapshot_date, _source_file, _ingest_ts
@@ -441,27 +577,24 @@ WHERE _snapshot_date IS NOT NULL AND _snapshot_date <> ''
 SELECT session_key, user_id, title_id, session_start, session_end, session_date, heartbeats,
        max_position_sec, rebuffer_events, avg_bitrate, country_code, device_type, version_from
 FROM f"""),
-    "mart_engagement": O.with_ctes(["silver", "dim"], {**_SESS, "f": _ASOF}, """
-SELECT session_date, genre, country_code, COUNT(*) AS total_sessions,
-       COUNT(DISTINCT user_id) AS distinct_users,
-       CAST((SUM(heartbeats * 10) + 18) // 36 AS DOUBLE) / 100.0 AS watch_hours,
-       CAST(((SUM(c15) * 200 + COUNT(c15)) // (2 * COUNT(c15)) + 50000000000000)
-            // 100000000000000 AS DOUBLE) / 1000.0 AS avg_completion
-FROM (SELECT *, unnest(genres) AS genre,
-             -- Spark's DECIMAL(26,15) ratio, HALF_UP, capped at 1.0, as an integer
-             CASE WHEN max_position_sec IS NULL OR runtime_min IS NULL OR runtime_min = 0
-                  THEN CAST(1000000000000000 AS HUGEINT)
-                  ELSE LEAST((CAST(max_position_sec AS HUGEINT) * 2000000000000000
-                              + runtime_min * 60) // (2 * runtime_min * 60),
-                             CAST(1000000000000000 AS HUGEINT)) END AS c15
-      FROM f WHERE version_from IS NOT NULL)
-GROUP BY session_date, genre, country_code"""),
+    "fct_sessions_salted": O.with_ctes(["silver", "dim"], {**_SESS, "f": _ASOF}, """
+SELECT session_key, user_id, title_id, session_date, version_from FROM f"""),
+    "mart_engagement": O.with_ctes(["silver", "dim"], {**_SESS, "f": _ASOF}, _ENGAGEMENT),
     "join_merge": _JOIN,
     "join_broadcast": _JOIN,
     "join_auto": _JOIN,
     "join_salted": _JOIN,
+    "join_big_big": O.with_ctes(["silver_hot"], {"srows": O.session_rows("silver_hot", LATE_GAP)}, """
+SELECT event_id, user_id, title_id,
+       concat_ws('_', CAST(user_id AS VARCHAR), CAST(title_id AS VARCHAR),
+                 CAST(epoch_us(MIN(event_ts) OVER (PARTITION BY user_id, title_id, session_num)) // 1000000 AS VARCHAR)) AS session_key
+FROM srows"""),
     "heavy_hitters": O.with_ctes(["silver_hot"], {"c": _HOT_COUNTS}, f"""
 SELECT title_id, n FROM c WHERE n > {HOT_FRACTION} * (SELECT COUNT(*) FROM silver_hot)"""),
+    "heavy_hitters_count_min": O.with_ctes(["silver_hot"], {"c": _HOT_COUNTS}, f"""
+SELECT title_id, n FROM c WHERE n > {HOT_FRACTION} * (SELECT COUNT(*) FROM silver_hot)"""),
+    "heavy_users_count_min": O.with_ctes(["silver"], {"c": "SELECT user_id, COUNT(*) AS n FROM silver GROUP BY user_id"}, """
+SELECT user_id, n FROM c WHERE n > CAST(1.1 AS DOUBLE) / (SELECT COUNT(*) FROM c) * (SELECT SUM(n) FROM c)"""),
     "top_keys": O.with_ctes(["silver_hot"], {"c": _HOT_COUNTS},
                             f"SELECT title_id, n FROM c ORDER BY n DESC, title_id ASC NULLS FIRST LIMIT {TOP_K}"),
     "key_skew": O.with_ctes(["silver_hot"], {"c": _HOT_COUNTS},
@@ -474,16 +607,10 @@ SELECT title_id, country_code, COUNT(*) AS events FROM silver GROUP BY title_id,
                                   "SELECT CAST(SUM(distinct_users) AS BIGINT) AS exact, true AS within_bound FROM g"),
     "distinct_sketch": O.with_ctes(["silver"], body=f"""
 SELECT title_id, country_code, distinct_users, true AS within_bound FROM ({_DISTINCT})"""),
-    "bucket_session_id": """
-SELECT event_id, concat_ws('_', CAST(user_id AS VARCHAR), strftime(ts, '%Y%m%d'),
-                           CAST(hour(ts) // 2 AS VARCHAR)) AS session_id
-FROM events""",
-    "event_time_from_parts": "SELECT event_id, date_trunc('second', ts) AS event_ts_seconds FROM events",
     "date_bounds": O.with_ctes(["silver"], body="SELECT MIN(event_date) AS min_d, MAX(event_date) AS max_d FROM silver"),
-    "replay_batch": O.with_ctes(["hb2"], body="""
-SELECT event_id, user_id, title_id, playback_position_sec, event_ts, _ingest_ts, _source_file FROM hb2"""),
-    "clustered_layout": O.with_ctes(["silver"], body=f"SELECT {_SILVER_COLS} FROM silver"),
-    "compact_layout": O.with_ctes(["silver"], body=f"SELECT {_SILVER_COLS} FROM silver"),
+    "clustered_layout": O.with_ctes(["silver"], body="SELECT title_id, COUNT(*) AS events, true AS narrow FROM silver GROUP BY title_id"),
+    "compact_layout": O.with_ctes(["silver"], body="""
+SELECT event_date, COUNT(*) AS events, 1 AS files_after, true AS fewer FROM silver GROUP BY event_date"""),
     "sessions_hot_title": O.with_ctes(["silver_hot"], {
         "srows": O.session_rows("silver_hot", GAP_SECONDS, keys="title_id"),
         "sessions": O.session_rollup("srows", keys="title_id"),
@@ -498,5 +625,23 @@ FROM hb"""),
 }
 
 
+ORACLE |= {
+    "ingest_schema_evolution": O.with_ctes(["hb"], body=f"""
+SELECT event_id, CASE WHEN CAST(event_ts AS DATE) >= DATE '{NEW_FIELD_FROM}' THEN 'v' || CAST(event_id % 5 AS VARCHAR) END AS app_version,
+       event_id % {fx.RESCUE_EVERY} = 0 AS rescued, event_id % {fx.RESCUE_EVERY} <> 0 AS in_silver
+FROM hb"""),
+    "title_stream": O.with_ctes(["v2"], body=f"""
+SELECT title_id, '{fx.SNAP_V1}' AS snapshot_date, '{fx.SNAP_V1}' AS folder, true AS has_ingest_ts FROM v1
+UNION ALL SELECT title_id, '{fx.SNAP_V2}', '{fx.SNAP_V2}', true FROM v2
+UNION ALL SELECT title_id, NULL, 'stray', true FROM v1 WHERE title_id = 0"""),
+    "title_chain": ORACLE["scd2_merge"],
+    # the landing files hold each snapshot once
+    "run_day_engagement": O.with_ctes(["silver", "dim_once"], {**_SESS, "f": _ASOF.replace("JOIN dim d", "JOIN dim_once d")}, _ENGAGEMENT),
+    "run_day_qos": ORACLE["mart_qos"],
+    "late_data_rebuild": O.with_ctes(["silver_hot"], {
+        "srows": O.session_rows("silver_hot", LATE_GAP), "sessions": O.session_rollup("srows", key="start")}, "SELECT * FROM sessions"),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in ORACLE.items() if k in QUERIES}

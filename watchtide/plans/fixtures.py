@@ -12,9 +12,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchtide.functions.columns import bucket_session_id, pick
-from watchtide.operators.replay import replay_batch
-from watchtide.operators.titles import apply_overrides, derive_title_attrs, title_drift_rules
+from watchtide.functions.columns import pick
+from watchtide.operators.clean import nest
 
 # ---------------------------------------------------------------------------
 # The value pools of the reference's heartbeat generator.
@@ -28,10 +27,12 @@ DEVICE_OS = ["tizen", "android", "ios", "webos", "roku", "windows"]
 
 SNAP_V1 = "2024-01-01"
 SNAP_V2 = "2024-01-16"
-TITLES_PER_KEY = 20  # title_id = k % 20
 HOT_BELOW = 50  # hot_title_id = 0 when k < 50
 RESCUE_EVERY = 97  # event ids divisible by 97 carry rescued data
 REPLAY_EVERY = 50  # event ids divisible by 50 are delivered twice
+REPLAY_BAD = 3  # of the second deliveries every third is a rescued row, whatever the first was
+REISSUE_SIZE = 10  # titles whose size divides by 10 gain a genre in the second snapshot
+HOUSE_BRAND = "Brand#7"  # titles of this brand change their type in the second snapshot
 NEW_IN_V2_MOD, NEW_IN_V2_REM = 25, 24  # titles with id % 25 = 24 first appear in v2
 REDELIVER_MOD, REDELIVER_REM = 7, 3  # v2 titles with id % 7 = 3 are delivered twice
 
@@ -48,9 +49,9 @@ def heartbeats(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame
     """Bronze-shaped heartbeats over ``events`` (one row per event)."""
     ev = read(spark, sf_dir, "events")
     k = _k()
-    title = (F.when(k < HOT_BELOW, F.lit(0)).otherwise(k) if hot else k % TITLES_PER_KEY)
+    title = F.when(k < HOT_BELOW, F.lit(0)).otherwise(k) if hot else k
     ts = F.col("ts").cast("timestamp")
-    return ev.select(
+    flat = ev.select(
         F.col("event_id"), F.col("user_id"),
         title.cast("int").alias("title_id"),
         F.floor(F.col("value") * 20).cast("int").alias("playback_position_sec"),
@@ -59,27 +60,40 @@ def heartbeats(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame
         pick(COUNTRIES, F.col("user_id")).alias("country_code"),
         pick(CDN_POPS, F.col("event_id")).alias("cdn_pop"),
         ts.alias("event_ts"),
-        bucket_session_id("user_id", ts).alias("session_id"),
-        F.struct(pick(DEVICE_TYPES, F.col("user_id")).alias("device_type"),
-                 pick(DEVICE_OS, F.col("user_id")).alias("device_os")).alias("device"),
+        F.concat_ws("-", "user_id", F.to_date(ts)).alias("session_id"),
+        pick(DEVICE_TYPES, F.col("user_id")).alias("device_type"),
+        pick(DEVICE_OS, F.col("user_id")).alias("device_os"),
         F.date_add(F.to_date(ts), 1).cast("timestamp").alias("_ingest_ts"),
         F.lit("landing/playback_heartbeats/part-00000.json").alias("_source_file"),
         F.when(F.pmod(F.col("event_id"), F.lit(RESCUE_EVERY)) == 0, F.lit("bad"))
         .alias("_rescued_data"))
+    return nest(flat, "device", ["device_type", "device_os"])
 
 
 def heartbeats_with_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Heartbeats plus a second, later delivery of every 50th event."""
+    """Heartbeats plus a second, later delivery of every 50th event.
+
+    The second copy's rescue flag is its own: it can be bad where the first was good,
+    and good where the first was bad.
+    """
     hb = heartbeats(spark, sf_dir)
-    return replay_batch(hb, hb, method="every", every=REPLAY_EVERY, changes={
+    again = hb.filter(F.pmod(F.col("event_id"), F.lit(REPLAY_EVERY)) == 0).withColumns({
         "_ingest_ts": F.col("_ingest_ts") + F.expr("INTERVAL 1 DAY"),
         "playback_position_sec": F.col("playback_position_sec") + 1,
         "_source_file": F.lit("landing/playback_heartbeats/part-00001.json"),
+        "_rescued_data": F.when(F.pmod(F.col("event_id"), F.lit(REPLAY_EVERY * REPLAY_BAD)) == 0, F.lit("bad")),
     })
+    return hb.unionByName(again)
 
 
-def title_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("title_id"))
+def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The title catalog over ``part``: a title per part, described by the part's columns."""
+    name, kind = F.split("p_name", " "), F.lower("p_type")
+    return read(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("long").alias("title_id"), F.col("p_name").alias("title_name"),
+        F.array(F.element_at(name, -1), kind).alias("genres"), F.col("p_brand").alias("content_type"),
+        (F.lit(1970) + F.col("p_size")).cast("int").alias("release_year"),
+        (F.lit(30) + 2 * F.col("p_size")).cast("int").alias("runtime_min"))
 
 
 def _new_in_v2() -> F.Column:
@@ -87,13 +101,17 @@ def _new_in_v2() -> F.Column:
 
 
 def titles_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive_title_attrs(title_ids(spark, sf_dir)).filter(~_new_in_v2())
+    return titles(spark, sf_dir).filter(~_new_in_v2())
 
 
 def titles_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = derive_title_attrs(title_ids(spark, sf_dir))
-    return apply_overrides(base.filter(~_new_in_v2()), title_drift_rules(),
-                           new_rows=base.filter(_new_in_v2()))
+    """The second snapshot: titles of the first with some changed, and new ones."""
+    old = ~_new_in_v2()
+    size = F.col("release_year") - 1970
+    return titles(spark, sf_dir).withColumns({
+        "genres": F.when(old & (size % REISSUE_SIZE == 0), F.concat("genres", F.array(F.lit("reissue")))).otherwise(F.col("genres")),
+        "content_type": F.when(old & (F.col("content_type") == HOUSE_BRAND), F.lit("house")).otherwise(F.col("content_type")),
+    })
 
 
 def _delivered(df: DataFrame, snap: str, part: int, hours: int) -> DataFrame:

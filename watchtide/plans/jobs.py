@@ -1,4 +1,4 @@
-"""Loaders: one function per reference job, in dependency order.
+"""Loaders: one function per pipeline job, in dependency order.
 
 Each loader reads its inputs from shared storage, runs the pure operators and
 writes its output; state passes between loaders only through tables, so every
@@ -7,181 +7,213 @@ step can be retried on its own and re-running a step is idempotent.
 
 from __future__ import annotations
 
-import datetime as dt
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchtide.config import PipelineConfig
-from watchtide.operators.clean import clean_events, clean_title_snapshot, date_window, ingest_day, snapshot
+from watchtide.operators.clean import clean_events, clean_titles, ingest_day, snapshot
 from watchtide.operators.marts import fct_events, fct_sessions, mart_engagement, mart_qos
 from watchtide.operators.merge import insert_new
 from watchtide.operators.scd2 import empty_dim, scd2_apply
-from watchtide.operators.scope import full_window, window_for
-from watchtide.operators.sessions import rollup_sessions
+from watchtide.operators.scope import date_ranges, days_between, full_window, window_for
+from watchtide.operators.sessions import rollup_sessions, scoped_sessions
 from watchtide.operators.titles import pending_list
-from watchtide.schemas import BRONZE_TITLE, GOLD_DIM_TITLE, SILVER_EVENTS, SILVER_SESSIONS, SILVER_TITLE, conform
-from watchtide.sources.tables import (append_table, overwrite_dates, overwrite_partition,
-                                      read_table, replace_table, table_exists)
+from watchtide.schemas import (BRONZE_HEARTBEAT, BRONZE_TITLE, GOLD_DIM_TITLE, GOLD_FCT_EVENTS, GOLD_FCT_SESSIONS,
+                               SILVER_EVENTS, SILVER_SESSIONS, SILVER_TITLE, conform)
+from watchtide.session import apply_defaults, apply_scale
+from watchtide.sources.files import load_note, save_note
+from watchtide.sources.tables import (RunReport, append_table, drop_partition, overwrite_dates, overwrite_partition,
+                                      partition_values, read_table, replace_table, table_exists)
 from watchtide.streaming.bronze import ingest_heartbeats, ingest_titles
 
 
-def _window(spark, df: DataFrame, col: str, processing_date, lookback: int):
-    if processing_date:
-        return window_for(processing_date, lookback)
-    return full_window(df, col)
+def _table(spark, cfg: PipelineConfig, layer: str, name: str, schema) -> DataFrame:
+    """A table by its contract; an empty one if nothing was ever written to it."""
+    path = cfg.path(layer, name)
+    return read_table(spark, path, schema) if table_exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def _ranges(df: DataFrame, col: str, processing_date, lookback: int, dates=()) -> list[tuple[str, str]]:
+    """What a scoped load replaces: the lookback window of its date and ``dates`` from a late
+    delivery; without a processing date, all there is."""
+    if not processing_date:
+        w = full_window(df, col)
+        return [w] if w else []
+    return date_ranges([*days_between(*window_for(processing_date, lookback)), *dates])
 
 
 def load_bronze(spark: SparkSession, cfg: PipelineConfig) -> dict:
-    """Incremental ingestion of both landing folders (availableNow streams)."""
+    """Incremental ingestion of both landing folders (availableNow streams); fields that
+    come new in a delivery are added to the stored schemas."""
     land = cfg.landing.rstrip("/")
     return {
         "heartbeats": ingest_heartbeats(spark, f"{land}/playback_heartbeats",
                                         cfg.path("bronze", "playback_heartbeats"),
-                                        f"{cfg.ops}/checkpoints/playback_heartbeats"),
+                                        f"{cfg.ops}/checkpoints/playback_heartbeats",
+                                        schema_store=f"{cfg.ops}/schemas/playback_heartbeats"),
         "titles": ingest_titles(spark, f"{land}/title", cfg.path("bronze", "dim_title"),
-                                f"{cfg.ops}/checkpoints/title"),
+                                f"{cfg.ops}/checkpoints/title", schema_store=f"{cfg.ops}/schemas/title"),
     }
 
 
 def load_events(spark: SparkSession, cfg: PipelineConfig, ingest_date=None,
-                filter_first: bool = False) -> None:
-    """Bronze slice -> cleaned events appended to silver when not yet present."""
-    bronze = read_table(spark, cfg.path("bronze", "playback_heartbeats"), merge_schema=True)
-    if ingest_date:
-        if "_ingest_date" in bronze.columns:  # partition pruning to the one ingest day
-            bronze = bronze.filter(F.col("_ingest_date") == F.lit(str(ingest_date)).cast("date"))
+                filter_first: bool = False) -> RunReport:
+    """Bronze slice -> cleaned events appended to silver when not yet present.
+
+    The report's dates are those that got new events, however late these came.
+    """
+    bronze = _table(spark, cfg, "bronze", "playback_heartbeats", BRONZE_HEARTBEAT)
+    if ingest_date:  # partition pruning to the one ingest day, then its exact bounds
+        bronze = bronze.filter(F.col("_ingest_date") == F.lit(str(ingest_date)).cast("date"))
         bronze = ingest_day(bronze, ingest_date)
-    staged = conform(clean_events(bronze, filter_first=filter_first), SILVER_EVENTS)
+    staged = clean_events(bronze, filter_first=filter_first)
     target_path = cfg.path("silver", "playback_events")
     if table_exists(spark, target_path):
         # date bounds from the raw slice (one cheap aggregate, no dedup) prune the target
         bounds = full_window(bronze.select(F.to_date("event_ts").alias("d")), "d")
         if bounds is None:
-            return
-        staged = insert_new(read_table(spark, target_path), staged, ["event_id", "event_date"],
+            return RunReport()
+        staged = insert_new(read_table(spark, target_path, SILVER_EVENTS), staged, ["event_id", "event_date"],
                             prune_col="event_date", bounds=bounds)
-    append_table(staged, target_path, partition_by="event_date")
+    return append_table(staged, target_path, partition_by="event_date")
 
 
-def load_sessions(spark: SparkSession, cfg: PipelineConfig, processing_date=None,
-                  read_back_days: int = 0) -> list[str]:
-    """Recompute sessions of a date window and replace exactly that window.
+def load_sessions(spark: SparkSession, cfg: PipelineConfig, processing_date=None, dates=()) -> list[tuple[str, str]]:
+    """Recompute sessions that events of a window, or of ``dates``, can have changed.
 
-    ``read_back_days=k`` reads events from ``lo - k`` so a session that began
-    before the window is not cut at ``lo``; only sessions starting inside the
-    window are written (0 = the reference's behaviour).
+    A changed date can alter sessions that began the day before or go on the day
+    after, so the scope replaced is that much wider, and it is widened further as long
+    as sessions reach beyond it. Returns the ranges of session dates replaced.
     """
-    events = read_table(spark, cfg.path("silver", "playback_events"))
-    w = _window(spark, events, "event_date", processing_date, cfg.session_lookback_days)
-    if w is None:
-        return []
-    lo, hi = w
-    read_lo = str(dt.date.fromisoformat(lo) - dt.timedelta(days=read_back_days))
-    sessions = rollup_sessions(date_window(events, "event_date", read_lo, hi),
-                               gap_seconds=cfg.gap_seconds, interval_sec=cfg.interval_sec,
-                               split_seconds=cfg.split_seconds)
-    if read_back_days:
-        sessions = date_window(sessions, "session_date", lo, hi)
-    return overwrite_dates(conform(sessions, SILVER_SESSIONS),
-                           cfg.path("silver", "viewing_sessions"), "session_date", lo, hi)
+    events = _table(spark, cfg, "silver", "playback_events", SILVER_EVENTS)
+    out_path = cfg.path("silver", "viewing_sessions")
+    options = {"gap_seconds": cfg.gap_seconds, "interval_sec": cfg.interval_sec}
+    pad = 1 + cfg.gap_seconds // 86400
+    done = []
+    if not processing_date:
+        for lo, hi in _ranges(events, "event_date", None, 0):
+            sessions = rollup_sessions(events, key="start", **options)
+            overwrite_dates(conform(sessions, SILVER_SESSIONS), out_path, "session_date", lo, hi)
+            done.append((lo, hi))
+        return done
+    changed = _ranges(events, "event_date", processing_date, cfg.session_lookback_days, dates)
+    for lo, hi in date_ranges([d for r in changed for d in days_between(*r)], join_days=4 * pad):
+        width = pad
+        while True:
+            inside, beyond, scope = scoped_sessions(events, lo, hi, width, **options)
+            if beyond.isEmpty():
+                break
+            width *= 2
+        inside = inside.persist(StorageLevel.DISK_ONLY)
+        overwrite_dates(conform(inside, SILVER_SESSIONS), out_path, "session_date", *scope)
+        inside.unpersist()
+        done.append(scope)
+    return done
 
 
 def load_titles(spark: SparkSession, cfg: PipelineConfig, force=()) -> list[str]:
     """Clean every bronze snapshot not yet in silver (plus ``force``), oldest first."""
-    bronze = read_table(spark, cfg.path("bronze", "dim_title"), schema=BRONZE_TITLE)
-    silver_path = cfg.path("silver", "dim_title")
-    if table_exists(spark, silver_path):
-        pending = pending_list(bronze, read_table(spark, silver_path, schema=SILVER_TITLE))
-    else:
-        pending = pending_list(bronze, bronze.limit(0))
+    bronze = _table(spark, cfg, "bronze", "dim_title", BRONZE_TITLE)
+    pending = pending_list(bronze, _table(spark, cfg, "silver", "dim_title", SILVER_TITLE))
     todo = sorted(set(pending) | {str(s) for s in force})
     for snap in todo:
-        overwrite_partition(clean_title_snapshot(bronze, snap), silver_path, "_snapshot_date", snap)
+        overwrite_partition(clean_titles(bronze, snap), cfg.path("silver", "dim_title"), "_snapshot_date", snap)
     return todo
 
 
+def _applied(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
+    """Snapshots the dimension holds, oldest first, from the bookkeeping folder."""
+    note = load_note(spark, f"{cfg.ops}/dim_title_state")
+    return note["applied"] if note else []
+
+
 def read_dim(spark: SparkSession, cfg: PipelineConfig) -> DataFrame | None:
-    """The latest published state of the SCD2 dimension."""
-    root = cfg.path("gold", "dim_title")
-    if not table_exists(spark, root):
+    """The published state of the SCD2 dimension: one folder, found by its kept name."""
+    applied = _applied(spark, cfg)
+    if not applied:
         return None
-    states = read_table(spark, root)
-    last = states.agg(F.max(F.col("asof").cast("string"))).first()[0]
-    return states.filter(F.col("asof").cast("string") == last).drop("asof")
+    return spark.read.schema(GOLD_DIM_TITLE).parquet(f"{cfg.path('gold', 'dim_title')}/asof={applied[-1]}")
 
 
-def load_dim(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
+def load_dim(spark: SparkSession, cfg: PipelineConfig, keep_states: int = 3) -> list[str]:
     """Apply pending silver snapshots to the SCD2 dimension, oldest first.
 
-    Each new state is written to its own ``asof=<snapshot>`` folder and read
-    back before the next one (no in-place overwrite of a table being read;
-    lineage is cut after every snapshot). Snapshots older than the newest
-    applied one are rejected: applying them would close versions backwards.
+    Each new state is written to its own ``asof=<snapshot>`` folder, then its name is
+    stored for readers, and the next snapshot starts from it (no in-place overwrite of
+    a table being read; lineage is cut after every snapshot). The newest ``keep_states``
+    states stay. Snapshots older than the newest applied one are rejected: applying them
+    would close versions backwards. If the stored name is lost, the next run builds the
+    dimension again from all snapshots.
     """
-    silver = read_table(spark, cfg.path("silver", "dim_title"), schema=SILVER_TITLE)
+    silver = _table(spark, cfg, "silver", "dim_title", SILVER_TITLE)
     root = cfg.path("gold", "dim_title")
-    dim = read_dim(spark, cfg)
-    if dim is None:
-        applied, dim = [], empty_dim(spark)
-    else:
-        applied = [r[0] for r in read_table(spark, root)
-                   .select(F.col("asof").cast("string")).distinct().collect()]
-    pending = pending_list(silver, silver.limit(0)) if not applied else [
-        s for s in pending_list(silver, read_table(spark, root), done_col="asof")]
-    newest = max(applied) if applied else None
-    late = [s for s in pending if newest and s < newest]
+    applied = _applied(spark, cfg)
+    pending = pending_list(silver, spark.createDataFrame([(s,) for s in applied], "_snapshot_date string"))
+    late = [s for s in pending if applied and s < applied[-1]]
     if late:
-        raise ValueError(f"snapshots {late} are older than the applied {newest}; rebuild instead")
+        raise ValueError(f"snapshots {late} are older than the applied {applied[-1]}; rebuild instead")
     for snap in pending:
-        nxt = scd2_apply(dim, snapshot(silver, snap), snap)
-        nxt.write.mode("overwrite").parquet(f"{root}/asof={snap}")
-        # continue from the state just published (lineage cut, one folder read)
-        dim = spark.read.schema(GOLD_DIM_TITLE).parquet(f"{root}/asof={snap}")
+        dim = read_dim(spark, cfg)
+        dim = empty_dim(spark) if dim is None else dim
+        scd2_apply(dim, snapshot(silver, snap), snap).write.mode("overwrite").parquet(f"{root}/asof={snap}")
+        applied = [*applied, snap]
+        save_note(spark, {"applied": applied}, f"{cfg.ops}/dim_title_state")
+    for old in partition_values(spark, root, "asof")[:-keep_states]:
+        drop_partition(spark, root, "asof", old)
     return pending
 
 
-def load_fct_events(spark: SparkSession, cfg: PipelineConfig, processing_date=None) -> list[str]:
-    events = read_table(spark, cfg.path("silver", "playback_events"))
-    w = _window(spark, events, "event_date", processing_date, cfg.event_fact_lookback_days)
-    if w is None:
-        return []
-    lo, hi = w
-    return overwrite_dates(fct_events(events, lo, hi), cfg.path("gold", "fct_playback_events"),
-                           "event_date", lo, hi)
+def load_fct_events(spark: SparkSession, cfg: PipelineConfig, processing_date=None, dates=()) -> list[RunReport]:
+    """Event facts of the window and of late ``dates``, replaced."""
+    events = _table(spark, cfg, "silver", "playback_events", SILVER_EVENTS)
+    return [overwrite_dates(fct_events(events, lo, hi), cfg.path("gold", "fct_playback_events"), "event_date", lo, hi)
+            for lo, hi in _ranges(events, "event_date", processing_date, cfg.event_fact_lookback_days, dates)]
 
 
-def load_fct_sessions(spark: SparkSession, cfg: PipelineConfig, processing_date=None) -> list[str]:
-    sessions = read_table(spark, cfg.path("silver", "viewing_sessions"))
-    w = _window(spark, sessions, "session_date", processing_date, cfg.session_fact_lookback_days)
+def load_fct_sessions(spark: SparkSession, cfg: PipelineConfig, processing_date=None, dates=()) -> list[RunReport]:
+    """Session facts of the window and of ``dates`` (those of replaced sessions), replaced."""
+    sessions = _table(spark, cfg, "silver", "viewing_sessions", SILVER_SESSIONS)
     dim = read_dim(spark, cfg)
-    if w is None or dim is None:
-        return []
-    lo, hi = w
-    return overwrite_dates(fct_sessions(sessions, dim, lo, hi),
-                           cfg.path("gold", "fct_viewing_sessions"), "session_date", lo, hi)
+    dim = empty_dim(spark) if dim is None else dim
+    return [overwrite_dates(fct_sessions(sessions, dim, lo, hi), cfg.path("gold", "fct_viewing_sessions"), "session_date", lo, hi)
+            for lo, hi in _ranges(sessions, "session_date", processing_date, cfg.session_fact_lookback_days, dates)]
 
 
 def load_marts(spark: SparkSession, cfg: PipelineConfig) -> None:
     """Full rebuild of both marts (small aggregates, always consistent)."""
     dim = read_dim(spark, cfg)
-    fs = read_table(spark, cfg.path("gold", "fct_viewing_sessions"))
-    fe = read_table(spark, cfg.path("gold", "fct_playback_events"))
-    replace_table(mart_engagement(fs, dim, cfg.interval_sec), cfg.path("gold", "mart_engagement"))
+    fs = _table(spark, cfg, "gold", "fct_viewing_sessions", GOLD_FCT_SESSIONS)
+    fe = _table(spark, cfg, "gold", "fct_playback_events", GOLD_FCT_EVENTS)
+    engagement = mart_engagement(fs, empty_dim(spark) if dim is None else dim, cfg.interval_sec)
+    replace_table(engagement, cfg.path("gold", "mart_engagement"))
     replace_table(mart_qos(fe), cfg.path("gold", "mart_qos"))
 
 
 def run_day(spark: SparkSession, cfg: PipelineConfig, processing_date=None,
-            ingest_date=None) -> dict:
-    """Every loader once, in the reference job's dependency order."""
-    out = {}
+            ingest_date=None, input_bytes: int | None = None, cores: int = 8) -> dict:
+    """Every loader once, in dependency order.
+
+    Session and fact loads replace the window of the processing date and every date
+    that got events in this run, however late; facts of sessions from a newly applied
+    title snapshot on are enriched anew. With ``input_bytes`` the session's shuffle
+    settings are sized for the run.
+    """
+    apply_defaults(spark)
+    if input_bytes:
+        apply_scale(spark, input_bytes, cores, window_heavy=True)
+    out: dict = {}
     if cfg.landing:
         out["bronze"] = load_bronze(spark, cfg)
-    load_events(spark, cfg, ingest_date)
+    out["events"] = load_events(spark, cfg, ingest_date)
+    late = out["events"].dates
     out["titles"] = load_titles(spark, cfg)
     out["dim"] = load_dim(spark, cfg)
-    out["fct_events_emptied"] = load_fct_events(spark, cfg, processing_date)
-    out["sessions_emptied"] = load_sessions(spark, cfg, processing_date)
-    out["fct_sessions_emptied"] = load_fct_sessions(spark, cfg, processing_date)
+    out["fct_events"] = load_fct_events(spark, cfg, processing_date, late)
+    out["sessions"] = load_sessions(spark, cfg, processing_date, late)
+    touched = [d for lo, hi in out["sessions"] for d in days_between(lo, hi)]
+    if out["dim"] and touched:
+        touched += [d for d in partition_values(spark, cfg.path("silver", "viewing_sessions"), "session_date") if d >= min(out["dim"])]
+    out["fct_sessions"] = load_fct_sessions(spark, cfg, processing_date, touched)
     load_marts(spark, cfg)
     return out

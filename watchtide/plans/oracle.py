@@ -8,7 +8,6 @@ for the deterministic representative, HALF_UP watch hours in integers.
 
 from __future__ import annotations
 
-from watchtide.config import GENRE_POOL
 from watchtide.plans import fixtures as fx
 
 
@@ -16,8 +15,6 @@ def _list(vals) -> str:
     return "[" + ", ".join(repr(v) if isinstance(v, str) else str(v) for v in vals) + "]"
 
 
-GENRES = _list(GENRE_POOL)
-
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
 
@@ -39,7 +36,8 @@ def _hb(title_expr: str) -> str:
   FROM events"""
 
 
-def _clean(src: str) -> str:
+def _clean(src: str, good_copies: bool = False) -> str:
+    src = f"(SELECT * FROM {src} WHERE _rescued_data IS NULL AND event_ts IS NOT NULL AND title_id IS NOT NULL)" if good_copies else src
     return f"""
   SELECT event_id, user_id, title_id, playback_position_sec, bitrate_kbps, is_rebuffering,
          country_code, cdn_pop, event_ts, CAST(event_ts AS DATE) AS event_date,
@@ -51,35 +49,32 @@ def _clean(src: str) -> str:
 
 
 CTE = {
-    "hb": _hb(f"{K} % {fx.TITLES_PER_KEY}"),
+    "hb": _hb(K),
     "hb_hot": _hb(f"CASE WHEN {K} < {fx.HOT_BELOW} THEN 0 ELSE {K} END"),
     "hb2": f"""
   SELECT * FROM hb
   UNION ALL
   SELECT event_id, user_id, title_id, playback_position_sec + 1, bitrate_kbps, is_rebuffering,
          country_code, cdn_pop, event_ts, device_type, device_os,
-         _ingest_ts + INTERVAL 1 DAY, 'landing/playback_heartbeats/part-00001.json', _rescued_data
+         _ingest_ts + INTERVAL 1 DAY, 'landing/playback_heartbeats/part-00001.json',
+         CASE WHEN event_id % {fx.REPLAY_EVERY * fx.REPLAY_BAD} = 0 THEN 'bad' END
   FROM hb WHERE event_id % {fx.REPLAY_EVERY} = 0""",
     "silver": _clean("hb"),
     "silver2": _clean("hb2"),
+    "silver2_good": _clean("hb2", good_copies=True),
     "silver_hot": _clean("hb_hot"),
-    "attrs": f"""
-  SELECT CAST(p_partkey AS BIGINT) AS title_id,
-         'Title ' || CAST(p_partkey AS VARCHAR) AS title_name,
-         CASE WHEN {GENRES}[p_partkey % 10 + 1] = {GENRES}[(p_partkey * 7) % 10 + 1]
-              THEN [{GENRES}[p_partkey % 10 + 1]]
-              ELSE [{GENRES}[p_partkey % 10 + 1], {GENRES}[(p_partkey * 7) % 10 + 1]] END AS genres,
-         CASE WHEN p_partkey % 3 = 0 THEN 'movie' ELSE 'series' END AS content_type,
-         CAST(2000 + p_partkey % 26 AS INTEGER) AS release_year,
-         CAST(20 + p_partkey % 120 AS INTEGER) AS runtime_min
+    "attrs": """
+  SELECT CAST(p_partkey AS BIGINT) AS title_id, p_name AS title_name,
+         [split_part(p_name, ' ', -1), lower(p_type)] AS genres, p_brand AS content_type,
+         CAST(1970 + p_size AS INTEGER) AS release_year, CAST(30 + 2 * p_size AS INTEGER) AS runtime_min
   FROM part""",
     "v1": f"""
   SELECT * FROM attrs WHERE title_id % {fx.NEW_IN_V2_MOD} <> {fx.NEW_IN_V2_REM}""",
     "v2": f"""
   SELECT title_id, title_name,
-         CASE WHEN title_id % 10 = 0 AND NOT list_contains(genres, 'Drama')
-              THEN list_append(genres, 'Drama') ELSE genres END AS genres,
-         CASE WHEN title_id % 50 = 0 THEN 'special' ELSE content_type END AS content_type,
+         CASE WHEN (release_year - 1970) % {fx.REISSUE_SIZE} = 0 THEN list_append(genres, 'reissue')
+              ELSE genres END AS genres,
+         CASE WHEN content_type = '{fx.HOUSE_BRAND}' THEN 'house' ELSE content_type END AS content_type,
          release_year, runtime_min
   FROM v1
   UNION ALL
@@ -121,12 +116,19 @@ CTE = {
   WHERE prev IS NULL OR prev <> attr_hash""",
 }
 
+# The same chain over snapshots that were delivered once.
+CTE["bronze_once"] = CTE["bronze_titles"].rpartition("UNION ALL")[0]
+CTE["silver_once"] = CTE["silver_titles"].replace("bronze_titles", "bronze_once")
+CTE["hashed_once"] = CTE["hashed_titles"].replace("silver_titles", "silver_once")
+CTE["dim_once"] = CTE["dim"].replace("hashed_titles", "hashed_once")
+
 DEPS = {
-    "hb2": ["hb"], "silver": ["hb"], "silver2": ["hb", "hb2"], "silver_hot": ["hb_hot"],
+    "hb2": ["hb"], "silver": ["hb"], "silver2": ["hb", "hb2"], "silver2_good": ["hb", "hb2"], "silver_hot": ["hb_hot"],
     "v1": ["attrs"], "v2": ["attrs", "v1"], "bronze_titles": ["attrs", "v1", "v2"],
     "silver_titles": ["attrs", "v1", "v2", "bronze_titles"],
     "hashed_titles": ["attrs", "v1", "v2", "bronze_titles", "silver_titles"],
     "dim": ["attrs", "v1", "v2", "bronze_titles", "silver_titles", "hashed_titles"],
+    "dim_once": ["attrs", "v1", "v2", "bronze_once", "silver_once", "hashed_once"],
 }
 
 
@@ -156,10 +158,11 @@ def session_rows(src: str, gap: int, lo: str | None = None, hi: str | None = Non
         FROM {src} {where})"""
 
 
-def session_rollup(src: str, interval: int = 10, keys: str = "user_id, title_id") -> str:
+def session_rollup(src: str, interval: int = 10, keys: str = "user_id, title_id", key: str = "number") -> str:
     key_text = ", ".join(f"CAST({k.strip()} AS VARCHAR)" for k in keys.split(","))
+    tail = "session_num" if key == "number" else "epoch_us(MIN(event_ts)) // 1000000"
     return f"""
-  SELECT concat_ws('_', {key_text}, CAST(session_num AS VARCHAR)) AS session_key,
+  SELECT concat_ws('_', {key_text}, CAST({tail} AS VARCHAR)) AS session_key,
          {keys},
          MIN(event_ts) AS session_start, MAX(event_ts) AS session_end,
          CAST(MIN(event_ts) AS DATE) AS session_date,

@@ -36,10 +36,13 @@ BRONZE_HEARTBEAT = T.StructType(RAW_HEARTBEAT.fields + [
     T.StructField("_ingest_ts", T.TimestampType()),
     T.StructField("_source_file", T.StringType()),
     T.StructField("_rescued_data", T.StringType()),
+    T.StructField("_unknown_fields", T.StringType()),
+    T.StructField("_ingest_date", T.DateType()),
 ])
 
 BRONZE_TITLE = T.StructType(RAW_TITLE.fields + [
     T.StructField("_rescued_data", T.StringType()),
+    T.StructField("_unknown_fields", T.StringType()),
     T.StructField("_source_file", T.StringType()),
     T.StructField("_snapshot_date", T.StringType()),
     T.StructField("_ingest_ts", T.TimestampType()),

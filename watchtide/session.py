@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -38,19 +39,19 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
+def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage; only when it is
-    unset (local tests) is ``fallback`` installed as the checkpoint dir.
+    On a cluster it must be set to shared storage. Only a session whose tasks all run
+    in this process may go without: it gets a new temporary folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        if fallback is None:
-            raise RuntimeError("spark.checkpoint.dir is not set; pass a shared fallback")
-        spark.sparkContext.setCheckpointDir(fallback)
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        d = fallback
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="watchtide-")
+        spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
 
 
@@ -59,6 +60,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/watchtide/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def publish(df, name: str):
+    """Write a DataFrame to a new folder of the shared storage and read it back: computed
+    once, and of a size the optimizer knows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what :func:`scratch_path` handed out, once no result that reads it is in use."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/watchtide")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def apply_scale(spark: SparkSession, input_bytes: int, cores: int, window_heavy: bool = False) -> None:
+    """Set :func:`scale_conf` on a running session (all of it can change between queries)."""
+    for k, v in scale_conf(input_bytes, cores, window_heavy).items():
+        spark.conf.set(k, v)
+
+
 def scale_conf(input_bytes: int, cores: int, window_heavy: bool = False) -> dict:
     """Shuffle sizing for a run reading ``input_bytes`` on ``cores`` task slots.
 
@@ -69,6 +90,7 @@ def scale_conf(input_bytes: int, cores: int, window_heavy: bool = False) -> dict
       ~10x), so window-heavy stages (sessionization, dedup) target 16 MiB;
     * skew split: a partition over 5x the median and 256 MiB is split; lower the
       byte floor with the advisory size so hot keys are caught early;
+    * broadcasts: up to 64 MiB by the size measured at run time;
     * file splits: 128 MiB input partitions.
     """
     per_task = 128 * 1024 * 1024
@@ -79,6 +101,7 @@ def scale_conf(input_bytes: int, cores: int, window_heavy: bool = False) -> dict
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * advisory),
         "spark.sql.files.maxPartitionBytes": str(per_task),

@@ -3,11 +3,15 @@ rescued data, lineage and path-derived columns."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from watchtide.config import SNAPSHOT_PATH_PATTERN
+from watchtide.sources.tables import table_exists
 
 CORRUPT = "_corrupt_record"
 
@@ -37,59 +41,82 @@ def evolve_schema(stored: T.StructType, observed: T.StructType) -> T.StructType:
     return T.StructType(list(stored.fields) + [f for f in observed.fields if f.name not in names])
 
 
-def load_schema(spark: SparkSession, store: str) -> T.StructType | None:
-    try:
-        row = spark.read.text(store).first()
-    except Exception:  # noqa: BLE001 - absent store
+def load_note(spark: SparkSession, store: str) -> dict | None:
+    """A small JSON record kept in shared storage; None if there is none."""
+    if not table_exists(spark, store):
         return None
-    return T.StructType.fromJson(__import__("json").loads(row[0])) if row else None
+    row = spark.read.text(store).first()
+    return json.loads(row[0]) if row else None
+
+
+def save_note(spark: SparkSession, note: dict, store: str) -> None:
+    spark.createDataFrame([(json.dumps(note),)], "s string").coalesce(1).write.mode("overwrite").text(store)
+
 
+def load_schema(spark: SparkSession, store: str) -> tuple[T.StructType, str | None] | None:
+    """The stored schema and the time up to which files were looked at; None without a store."""
+    kept = load_note(spark, store)
+    return (T.StructType.fromJson(kept["schema"]), kept["seen"]) if kept else None
 
-def save_schema(spark: SparkSession, schema: T.StructType, store: str) -> None:
-    spark.createDataFrame([(schema.json(),)], "s string").coalesce(1) \
-         .write.mode("overwrite").text(store)
 
+def save_schema(spark: SparkSession, schema: T.StructType, store: str, seen: str | None = None) -> None:
+    save_note(spark, {"schema": schema.jsonValue(), "seen": seen}, store)
 
-def infer_schema(spark: SparkSession, path: str, hints: str | None = None,
+
+def infer_schema(spark: SparkSession, path: str, hints: str | T.StructType | None = None,
                  store: str | None = None, sampling_ratio: float = 1.0,
                  recursive: bool = False) -> T.StructType:
-    """Infer a JSON schema (typed, not all-strings), force ``hints`` and
-    persist it at ``store``; later runs evolve the stored schema add-only."""
+    """Infer a JSON schema (typed, not all-strings), force ``hints`` and persist it.
+
+    With a ``store``, later runs look only at files that came since, and evolve the
+    stored schema add-only: known fields keep their types, new ones are appended.
+    """
     if store:
         _check_outside(path, store)
+    kept = load_schema(spark, store) if store else None
+    # Files of the minute before are looked at again: their clock may differ from ours.
+    now = spark.range(1).select(F.date_format(F.current_timestamp() - F.expr("INTERVAL 1 MINUTE"),
+                                              "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
     reader = spark.read.option("samplingRatio", sampling_ratio)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    observed = reader.json(path).schema
+    if kept and kept[1]:
+        reader = reader.option("modifiedAfter", kept[1])
+    try:
+        observed = reader.json(path).schema
+    except AnalysisException:  # no file, or none that is new
+        observed = T.StructType([])
     observed = T.StructType([f for f in observed.fields if f.name != CORRUPT])
+    if isinstance(hints, str):
+        hints = schema_from_ddl(spark, hints)
     if hints:
-        observed = apply_hints(observed, schema_from_ddl(spark, hints))
-    stored = load_schema(spark, store) if store else None
-    schema = evolve_schema(stored, observed) if stored else observed
+        observed = apply_hints(observed, hints)
+    schema = evolve_schema(kept[0], observed) if kept else observed
     if store:
-        save_schema(spark, schema, store)
+        save_schema(spark, schema, store, now)
     return schema
 
 
 def parse_with_rescue(lines: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
-    """Parse JSON text lines, keeping what does not fit in ``_rescued_data``.
+    """Parse JSON text lines, keeping what does not fit. Nothing is dropped.
 
-    Malformed lines and values of the wrong type keep their row (parsed
-    fields as far as possible) and carry the raw line; keys unknown to the
-    schema are carried as a JSON object of those keys. Nothing is dropped.
+    ``_rescued_data`` holds the raw line if it is malformed or a value has the wrong
+    type (the row keeps what could be parsed); silver turns such rows away. Keys that
+    the schema doesn't know are no fault: they go to ``_unknown_fields`` as a JSON
+    object, until the schema knows them.
     """
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value_col), with_corrupt,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     known = F.array(*[F.lit(n) for n in schema.fieldNames()])
-    as_map = F.from_json(F.col(value_col), T.MapType(T.StringType(), T.StringType()))
-    extra = F.map_filter(as_map, lambda k, v: ~F.array_contains(known, k))
-    rescued = (F.when(F.col("_p").getField(CORRUPT).isNotNull(), F.col("_p").getField(CORRUPT))
-               .when(F.size(F.col("_x")) > 0, F.to_json(F.col("_x"))))
+    unknown = F.array_except(F.json_object_keys(F.col(value_col)), known)
+    # the values are parsed a second time only for lines that have unknown keys
+    values = F.map_filter(F.from_json(F.col(value_col), T.MapType(T.StringType(), T.StringType())),
+                          lambda k, v: ~F.array_contains(known, k))
     keep = [c for c in lines.columns if c != value_col]
-    out = lines.select(*keep, parsed.alias("_p"), extra.alias("_x"))
+    out = lines.select(*keep, parsed.alias("_p"), F.when(F.size(unknown) > 0, F.to_json(values)).alias("_unknown_fields"))
     return out.select(*keep, *[F.col("_p").getField(n).alias(n) for n in schema.fieldNames()],
-                      rescued.alias("_rescued_data"))
+                      F.col("_p").getField(CORRUPT).alias("_rescued_data"), "_unknown_fields")
 
 
 def with_lineage(df: DataFrame) -> DataFrame:

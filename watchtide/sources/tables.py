@@ -1,54 +1,83 @@
 """Parquet tables on shared storage: reads, scoped overwrites, layout jobs.
 
 Without a transactional table format, ``MERGE``/``replaceWhere`` become:
-* scoped overwrite — dynamic partition overwrite of the dates that got rows,
-  plus an explicit empty overwrite of in-scope dates that got none (so no
-  ghost rows survive);
+* scoped overwrite — one dynamic partition overwrite of the dates that got rows;
+  partitions of the scope that got none are removed right after it;
 * single-partition overwrite — a static write into that partition's folder;
 * insert-only merge — anti join + append (``operators.merge.insert_new``).
 """
 
 from __future__ import annotations
 
-import datetime as dt
+from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from watchtide.operators.layout import cluster_by, compact, rebalance
+
+
+@dataclass(frozen=True)
+class RunReport:
+    """What one write did: rows written, partition dates written and emptied."""
+
+    rows: int = 0
+    dates: list[str] = field(default_factory=list)
+    emptied: list[str] = field(default_factory=list)
+
+
+def folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
-
-
-def read_table(spark: SparkSession, path: str, merge_schema: bool = False,
-               schema=None) -> DataFrame:
-    """Read a Parquet table; with ``schema`` the partition columns keep the
-    contract's types instead of inferred ones (a snapshot date stays a string)."""
-    r = spark.read.option("mergeSchema", str(merge_schema).lower())
-    if schema is not None:
-        r = r.schema(schema)
+    """Whether anything was ever written to the table's folder."""
+    fs, p = folder(spark, path)
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
+
+
+def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Read a Parquet table; with ``schema`` no file footers are read for it, and the
+    partition columns keep the contract's types instead of inferred ones."""
+    r = spark.read if schema is None else spark.read.schema(schema)
     return r.parquet(path)
 
 
+def _cols(partition_by) -> list[str]:
+    return [partition_by] if isinstance(partition_by, str) else list(partition_by)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
-    w = df.write.mode(mode)
+    """Write a table; a partitioned one with its rows brought together by partition first."""
     if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    w.parquet(path)
+        cols = _cols(partition_by)
+        rebalance(df, cols).write.mode(mode).partitionBy(*cols).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
-def append_table(df: DataFrame, path: str, partition_by=None) -> None:
-    write_table(df, path, "append", partition_by)
+def _observed(df: DataFrame, col: str) -> tuple[DataFrame, Observation]:
+    """``df`` with its rows and distinct dates counted by the job that writes it."""
+    obs = Observation("written")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(col).cast("string")).alias("dates")), obs
 
 
-def _dates(lo, hi) -> list[dt.date]:
-    a, b = dt.date.fromisoformat(str(lo)), dt.date.fromisoformat(str(hi))
-    return [a + dt.timedelta(days=i) for i in range((b - a).days + 1)]
+def _report(obs: Observation) -> RunReport:
+    try:
+        seen = obs.get
+    except Py4JJavaError:  # a plan that turned out empty at run time carries no metrics
+        return RunReport()
+    return RunReport(seen["rows"], sorted(seen["dates"] or []))
+
+
+def append_table(df: DataFrame, path: str, partition_by: str) -> RunReport:
+    """Append to a table partitioned by a date; reports what was written, without a second scan."""
+    out, obs = _observed(df, partition_by)
+    write_table(out, path, "append", partition_by)
+    return _report(obs)
 
 
 def overwrite_partition(df: DataFrame, path: str, col: str, value) -> None:
@@ -56,27 +85,39 @@ def overwrite_partition(df: DataFrame, path: str, col: str, value) -> None:
     df.drop(col).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{col}={value}")
 
 
-def overwrite_dates(df: DataFrame, path: str, col: str, lo, hi) -> list[str]:
+def partition_values(spark: SparkSession, path: str, col: str) -> list[str]:
+    """Values of the partition folders of a table; a listing, no job."""
+    fs, p = folder(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{col}="))
+
+
+def drop_partition(spark: SparkSession, path: str, col: str, value: str) -> None:
+    """Remove one partition's folder."""
+    fs, p = folder(spark, f"{path.rstrip('/')}/{col}={value}")
+    fs.delete(p, True)
+
+
+def overwrite_dates(df: DataFrame, path: str, col: str, lo, hi) -> RunReport:
     """Replace every ``col`` partition in ``[lo, hi]`` with the rows of ``df``.
 
     ``df`` must only hold rows inside the scope. Dates that receive rows are
-    replaced by a dynamic partition overwrite in one write job; in-scope dates
-    that receive none are emptied afterwards. The set of dates written is
-    observed during the write itself (bounded: one value per day in scope),
-    so ``df`` is computed once. Returns the emptied dates.
+    replaced by one write job; partitions of the scope that exist and received none are
+    removed afterwards (folders only, no job). The dates written are observed during
+    the write, so ``df`` is computed once. A failure between the two steps leaves old
+    partitions standing; running the load again removes them.
     """
-    obs = Observation("written_dates")
-    observed = df.observe(obs, F.collect_set(F.col(col).cast("string")).alias("dates"))
-    (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    spark = df.sparkSession
+    out, obs = _observed(df, col)
+    (rebalance(out, [col]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(col).parquet(path))
-    written = set(obs.get.get("dates") or [])
-    emptied = []
-    empty = df.limit(0)
-    for d in _dates(lo, hi):
-        if str(d) not in written:
-            overwrite_partition(empty, path, col, d)
-            emptied.append(str(d))
-    return emptied
+    done = _report(obs)
+    emptied = [d for d in partition_values(spark, path, col) if str(lo) <= d <= str(hi) and d not in done.dates]
+    for d in emptied:
+        drop_partition(spark, path, col, d)
+    return RunReport(done.rows, done.dates, emptied)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
@@ -89,23 +130,30 @@ def run_noop(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def files_read(df: DataFrame) -> int:
+    """Number of files the rows of a scan come from (from the hidden file metadata)."""
+    return df.select(F.col("_metadata.file_path")).distinct().count()
+
+
 def file_count(spark: SparkSession, path: str) -> int:
-    """Number of data files behind a table (from the hidden file metadata)."""
-    return (spark.read.parquet(path).select(F.col("_metadata.file_path"))
-            .distinct().count())
+    """Number of data files behind a table, empty ones included."""
+    return len(spark.read.parquet(path).inputFiles())
 
 
-def compact_table(spark: SparkSession, path: str, out_path: str, target_files: int,
+def compact_table(spark: SparkSession, path: str, out_path: str, target_files: int = 1,
                   partition_by=None) -> tuple[int, int]:
-    """Rewrite a table into ``target_files`` files per output; returns the
-    file counts (before, after). Writes to a new path, never over its input."""
-    from watchtide.operators.layout import compact
+    """Rewrite a table into fewer files; returns the file counts (before, after).
+
+    An unpartitioned table gets ``target_files`` files; a partitioned one as few per
+    partition as the advisory partition size allows. Writes to a new path, never over
+    its input.
+    """
     before = file_count(spark, path)
-    write_table(compact(read_table(spark, path), target_files), out_path, "overwrite", partition_by)
+    df = read_table(spark, path)
+    write_table(df if partition_by else compact(df, target_files), out_path, "overwrite", partition_by)
     return before, file_count(spark, out_path)
 
 
 def cluster_table(spark: SparkSession, path: str, out_path: str, cols, n: int) -> None:
     """Rewrite a table range-clustered on ``cols`` for min/max data skipping."""
-    from watchtide.operators.layout import cluster_by
     write_table(cluster_by(read_table(spark, path), cols, n), out_path)

@@ -11,10 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from watchtide.config import SNAPSHOT_PATH_PATTERN
 from watchtide.schemas import RAW_HEARTBEAT, RAW_TITLE
-from watchtide.sources.files import _check_outside, path_date, read_json, with_lineage
+from watchtide.sources.files import _check_outside, infer_schema, path_date, read_json, with_lineage
+
+MAX_FILES = 1000  # of one micro-batch: a first load of a large backlog is many batches, each of its own commit
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by=None,
@@ -36,22 +39,31 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by=None,
             "rows": sum(p.get("numInputRows", 0) for p in progress)}
 
 
+def _landed(spark: SparkSession, landing: str, checkpoint: str, bronze: str, schema: T.StructType, store: str | None,
+            recursive: bool, max_files: int | None) -> DataFrame:
+    """A landing folder as a stream with lineage. With a schema ``store``, fields that new
+    files bring are added to the schema first; ``schema`` gives the types that are fixed."""
+    _check_outside(landing, checkpoint, bronze)
+    if store:
+        schema = infer_schema(spark, landing, schema, store, recursive=recursive)
+    return with_lineage(read_json(spark, landing, schema, rescue=True, recursive=recursive, streaming=True,
+                                  max_files_per_trigger=max_files))
+
+
 def ingest_heartbeats(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
-                      schema=RAW_HEARTBEAT, max_files_per_trigger: int | None = None) -> dict:
+                      schema=RAW_HEARTBEAT, max_files_per_trigger: int | None = MAX_FILES,
+                      schema_store: str | None = None) -> dict:
     """Landing heartbeat JSON -> bronze (raw + rescued data + lineage)."""
-    _check_outside(landing, checkpoint, bronze)
-    df = read_json(spark, landing, schema, rescue=True, streaming=True,
-                   max_files_per_trigger=max_files_per_trigger)
-    df = with_lineage(df).withColumn("_ingest_date", F.to_date("_ingest_ts"))
+    df = _landed(spark, landing, checkpoint, bronze, schema, schema_store, False, max_files_per_trigger)
     # partitioned by ingest day, so the daily silver slice prunes to one folder
-    return append_stream(df, bronze, checkpoint, partition_by="_ingest_date")
+    return append_stream(df.withColumn("_ingest_date", F.to_date("_ingest_ts")), bronze, checkpoint, partition_by="_ingest_date")
 
 
 def ingest_titles(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
-                  schema=RAW_TITLE, pattern: str = SNAPSHOT_PATH_PATTERN) -> dict:
+                  schema=RAW_TITLE, pattern: str = SNAPSHOT_PATH_PATTERN,
+                  max_files_per_trigger: int | None = MAX_FILES, schema_store: str | None = None) -> dict:
     """Landing title snapshots (``title/<date>/``) -> bronze with ``_snapshot_date``."""
-    _check_outside(landing, checkpoint, bronze)
-    df = read_json(spark, landing, schema, rescue=True, recursive=True, streaming=True)
-    df = with_lineage(df).withColumn("_snapshot_date", path_date(F.col("_source_file"), pattern))
+    df = _landed(spark, landing, checkpoint, bronze, schema, schema_store, True, max_files_per_trigger)
     # partitioned by snapshot, so one snapshot's load reads one folder
-    return append_stream(df, bronze, checkpoint, partition_by="_snapshot_date")
+    return append_stream(df.withColumn("_snapshot_date", path_date(F.col("_source_file"), pattern)), bronze, checkpoint,
+                         partition_by="_snapshot_date")
