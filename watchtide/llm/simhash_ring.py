@@ -116,7 +116,7 @@ def links(fps: DataFrame, tau: int = 2, segments: int = 8, family: int = 32) ->
         raise ValueError("links: families of near copies are joined for a radius of 2")
     keys = cut(ring_keys(fps, segments, tau), "ring-keys")
     shared = keys.groupBy("chain", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = shared.select(F.col("chain").alias("_c"), F.col("key").alias("_k"), "n")
+    shared = cut(shared.select(F.col("chain").alias("_c"), F.col("key").alias("_k"), "n"), "ring-shared")
     met = cut(keys.join(shared, (F.col("chain") == F.col("_c")) & (F.col("key") == F.col("_k"))).drop("_c", "_k"), "ring-met")
 
     few = met.where(F.col("n") <= family)
@@ -146,7 +146,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, tau: int = 2, segments: i
            .select("fp", "least", F.coalesce("component", "fp").alias("_comp")))
     ids = cut(ids, "ring-classes")
     smallest = ids.groupBy("_comp").agg(F.min("least").alias("component_id"))
-    named = ids.join(smallest, "_comp").select(F.col("fp").alias("_fp"), "component_id")
+    named = cut(ids.join(smallest, "_comp").select(F.col("fp").alias("_fp"), "component_id"), "ring-named")
     # Very many documents may share a fingerprint: adaptive execution splits their side.
     return fps.join(named, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
