@@ -96,6 +96,8 @@ def write_warc(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES)
     shared = (rows.where(F.octet_length("payload") >= MIN_SHARED).groupBy(F.col("digest").alias("_digest"))
               .agg(F.min(F.struct(F.col("page_id").isNull().alias("n"), "page_id", "_row", "rid")).alias("_first"), F.count(F.lit(1)).alias("_n"))
               .where("_n > 1").select("_digest", F.col("_first.rid").alias("_first")))
+    # One payload may be a third of all: as a table of its own it can meet a split side.
+    shared = cut(shared, "warc-shared")
     rows = (rows.join(shared, F.col("digest") == F.col("_digest"), "left")
             .withColumn("refers", F.when(F.col("_first") != F.col("rid"), F.col("_first")))
             .select("rid", "url", F.when(F.col("refers").isNull(), F.col("payload")).alias("payload"), "digest", "refers"))
