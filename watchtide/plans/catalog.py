@@ -109,6 +109,11 @@ def q_sessionize(spark, sf):
     return neutral(s.select("event_id", "user_id", "title_id", "event_ts", "session_num"))
 
 
+def q_sessionize_from_one(spark, sf):
+    s = sessionize(_silver(spark, sf), gap_seconds=SESSION_GAP, first_index=1)
+    return neutral(s.select("event_id", "user_id", "title_id", "event_ts", "session_num"))
+
+
 def q_sessions(spark, sf):
     return neutral(_sessions(spark, sf))
 
@@ -145,6 +150,14 @@ def q_scd2_merge(spark, sf):
     return _dim_out(_dim(spark, sf))
 
 
+def q_title_keys(spark, sf):
+    """Surrogate keys of all versions: derived from title and start date, none twice."""
+    dim = _dim(spark, sf)
+    derived = F.xxhash64("title_id", F.col("valid_from").cast("string")) == F.col("title_sk")
+    per_key = dim.groupBy("title_sk").agg(F.count(F.lit(1)).alias("_n"))
+    return dim.join(per_key, "title_sk").select("title_id", "valid_from", derived.alias("derived"), (F.col("_n") == 1).alias("single"))
+
+
 def q_scd2_rebuild(spark, sf):
     return _dim_out(scd2_rebuild(clean_titles(fx.bronze_titles(spark, sf))))
 
@@ -444,6 +457,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_events_good_copies": q_clean_events_good_copies,
     "insert_new_events": q_insert_new_events,
     "sessionize": q_sessionize,
+    "sessionize_from_one": q_sessionize_from_one,
     "sessions": q_sessions,
     "sessions_single_window": q_sessions_single_window,
     "replace_scope_sessions": q_replace_scope_sessions,
@@ -452,6 +466,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pending_snapshots": q_pending_snapshots,
     "scd2_merge": q_scd2_merge,
     "scd2_rebuild": q_scd2_rebuild,
+    "title_keys": q_title_keys,
     "fct_sessions": q_fct_sessions,
     "fct_sessions_salted": q_fct_sessions_salted,
     "mart_engagement": q_mart_engagement,
@@ -635,6 +650,9 @@ SELECT title_id, '{fx.SNAP_V1}' AS snapshot_date, '{fx.SNAP_V1}' AS folder, true
 UNION ALL SELECT title_id, '{fx.SNAP_V2}', '{fx.SNAP_V2}', true FROM v2
 UNION ALL SELECT title_id, NULL, 'stray', true FROM v1 WHERE title_id = 0"""),
     "title_chain": ORACLE["scd2_merge"],
+    "title_keys": O.with_ctes(["dim"], body="SELECT title_id, valid_from, true AS derived, true AS single FROM dim"),
+    "sessionize_from_one": O.with_ctes(["silver"], {"srows": _SESS["srows"]},
+                                       "SELECT event_id, user_id, title_id, event_ts, session_num + 1 AS session_num FROM srows"),
     # the landing files hold each snapshot once
     "run_day_engagement": O.with_ctes(["silver", "dim_once"], {**_SESS, "f": _ASOF.replace("JOIN dim d", "JOIN dim_once d")}, _ENGAGEMENT),
     "run_day_qos": ORACLE["mart_qos"],
