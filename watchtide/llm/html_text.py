@@ -2,8 +2,8 @@
 
 Pass 1 cuts the page into blocks and classifies each by itself: blocks in menus, headers,
 footers, sidebars, forms, adverts, notices and comments, and blocks of links, are bad;
-long blocks dense with stop words are good; the rest - short blocks and those of middling
-density - stay undecided. In pass 2 undecided blocks inherit the label of the nearest
+long blocks dense with stop words are good; the rest - short blocks, and long ones with
+few stop words (lists, code, other languages) - stay undecided. In pass 2 undecided blocks inherit the label of the nearest
 decided neighbours: the nearer of the two, bad if they are equally near and differ. The
 edges of an article count as good neighbours of what is within it, and while a page has
 an article, what lies outside is no main text.
@@ -32,7 +32,7 @@ STOP_WORDS = frozenset((
     "le la les de des du et en un une que qui est dans pour par sur au avec ne pas il ce se "
     "el los las y del que en un una por con para es al lo como su no se").split())
 
-LONG, DENSE, SOME = 70, 0.30, 0.15  # characters; shares of stop words
+LONG, DENSE = 70, 0.20  # characters; share of stop words
 LINKED, LINKED_IN_ARTICLE = 0.34, 0.67  # shares of a block's characters within links
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -182,8 +182,6 @@ def label_alone(b: Block) -> str:
     stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
     if len(b.text) >= LONG and stops >= DENSE:
         return "good"
-    if len(b.text) >= LONG and stops < SOME and not b.article:
-        return "bad"
     return ""
 
 
