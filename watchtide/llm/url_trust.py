@@ -93,7 +93,7 @@ def host_verdicts(judged: DataFrame, edges: DataFrame, damping: float = 0.85, ro
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
     distrust = propagate(back, bad, damping, rounds).withColumnRenamed("score", "distrust")
     both = trust.join(distrust, "host", "full").na.fill(0.0, ["trust", "distrust"])
-    blocked = F.col("distrust") > F.col("trust") * factor
+    blocked = F.round(F.col("distrust") - F.col("trust") * factor, 12) > 0  # the order of sums must not decide
     return both.select("host", "trust", "distrust", F.when(blocked, "block").otherwise("allow").alias("host_verdict"))
 
 
