@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as E
 import corpus_pipeline as C
 from conftest import SF001
+from pyspark.sql import functions as F
 from watchtide.llm import importance, mixing, simhash_ring, templates
 from watchtide.llm.common import cut, table
 from test_simhash_ring import plain_components, plain_fingerprint
@@ -88,3 +89,19 @@ def test_op1_against_sql(spark):
     df = E.queries()["op1_warc_segments"](spark, SF001)
     rel = con.sql(E.oracle_sql()["op1_warc_segments"])
     assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(rel.columns, rel.fetchall())[0]
+
+
+CLASHES = ("doc", "source_size", "kept", "bad", "gone", "twice", "row", "copy", "size", "text_crc32", "_h", "_copies", "_k", "_f", "shard", "slot",
+           "component_id", "fp", "count", "placed_copy", "h", "key")
+
+
+def test_stages_keep_columns_whose_names_they_use_themselves(spark):
+    docs = table(spark, SF001, "documents")
+    for c in CLASHES:
+        docs = docs.withColumn(c, F.concat(F.lit(f"{c}:"), "doc_id"))
+    for name, stage in C.STAGES:
+        docs = cut(stage(spark, docs, SF001), f"clash-{name}")
+    own = [c for c in CLASHES if c not in ("shard", "slot")]
+    assert set(docs.columns) == {*table(spark, SF001, "documents").columns, *CLASHES}
+    for r in docs.collect():
+        assert all(r[c] == f"{c}:{r.doc_id}" for c in own)

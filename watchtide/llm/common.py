@@ -60,6 +60,14 @@ def discard(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def packed(docs: DataFrame, *cols: str) -> DataFrame:
+    """The rows as one struct ``doc`` beside ``cols``, so that no other column's name can clash.
+
+    ``select("doc.*")`` gives the rows back.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *cols)
+
+
 def slots(spark: SparkSession) -> int:
     """How many ways hot groups are split: the session's shuffle parallelism."""
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchtide.llm.common import chunks, cut, lower_ascii, mix, span_hashes, text_bytes, word_bounds
+from watchtide.llm.common import chunks, cut, lower_ascii, mix, packed, span_hashes, text_bytes, word_bounds
 
 BUCKETS = 1 << 16
 MAX_TARGET = 20_000  # labelled rows at most from which the target model is made
@@ -108,20 +108,21 @@ def log_ratio(raw: np.ndarray, good: np.ndarray, smooth: float = 4.0) -> np.ndar
     return out
 
 
-def weights(docs: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
-    """doc_id, log_weight, key (log_weight plus the document's Gumbel draw, in units of 1 / _SCALE)."""
+def weights(rows: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
+    """Add log_weight and key (log_weight plus the document's Gumbel draw, in units of 1 / _SCALE)
+    to rows with doc_id and text."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in chunks(whole, "text"):
-                grams, doc = features(b.column("text"))
-                w = np.bincount(doc, ratio[grams], minlength=b.num_rows).astype(float)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(w)], ["doc_id", "log_weight"])
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        out = [np.zeros(0)]
+        for b in chunks(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+            grams, doc = features(b.column("text"))
+            out.append(np.bincount(doc, ratio[grams], minlength=b.num_rows))
+        return pa.array(np.concatenate(out).astype(float))
 
-    w = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, log_weight double")
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11) + 0.5) / float(1 << 53)
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")), 11) + 0.5) / float(1 << 53)
     key = F.col("log_weight") - F.log(-F.log(u))
-    return w.withColumn("log_weight", F.round("log_weight", 6)).withColumn("key", F.round(key * _SCALE).cast("long"))
+    return rows.withColumn("log_weight", score("text")).withColumn("key", F.round(key * _SCALE).cast("long"))
 
 
 def kth_largest(keys: DataFrame, col: str, k: int, fan: int = 4096) -> int | None:
@@ -159,27 +160,39 @@ def target_ids(labels: DataFrame, bound: int = MAX_TARGET, seed: int = 5) -> np.
     return np.sort(np.array([r[0] for r in rows], np.int64))
 
 
-def resample(docs: DataFrame, labels: DataFrame, errors: float = 4.0, seed: int = 23) -> DataFrame:
-    """The sampled documents: doc_id, log_weight, gumbel_key.
+def _bar(docs: DataFrame, labels: DataFrame, errors: float, seed: int) -> tuple[np.ndarray, DataFrame, int | None]:
+    """The log ratio per bucket, the documents' weights and keys, and the k-th largest key.
 
     k is all documents times the labels' share of good ones plus ``errors`` standard
     errors of that share, so that chance in the labels rejects no good documents.
+    Without good labels, or without others, the ratio is 0 and there is no bar.
     """
     good, n = good_share(labels)
     ratio = np.zeros(BUCKETS)
     if 0 < good < n:
         ratio = log_ratio(*ngram_counts(docs, target_ids(labels)))
-    w = cut(weights(docs, ratio, seed), "quality-weights")
-    out = w.select("doc_id", "log_weight", (F.col("key") / float(_SCALE)).alias("gumbel_key"), "key")
-    if 0 < good < n:
-        rows, share = w.count(), good / n
-        share += errors * (share * (1 - share) / n) ** 0.5
-        bar = kth_largest(w, "key", min(rows, math.ceil(rows * share)))
-        out = out.where(F.col("key") >= (bar if bar is not None else 0))
-    return out.drop("key")
+    w = cut(weights(docs.select("doc_id", "text"), ratio, seed).drop("text"), "quality-weights")
+    if not 0 < good < n:
+        return ratio, w, None
+    rows, share = w.count(), good / n
+    share += errors * (share * (1 - share) / n) ** 0.5
+    return ratio, w, kth_largest(w, "key", min(rows, math.ceil(rows * share)))
 
 
-def kept_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that the sample holds, with their own columns."""
-    ids = resample(docs, labels, **options).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
+def resample(docs: DataFrame, labels: DataFrame, errors: float = 4.0, seed: int = 23) -> DataFrame:
+    """The sampled documents: doc_id, log_weight, gumbel_key."""
+    _, w, bar = _bar(docs, labels, errors, seed)
+    kept = w if bar is None else w.where(F.col("key") >= bar)
+    return kept.select("doc_id", F.round("log_weight", 6).alias("log_weight"), (F.col("key") / float(_SCALE)).alias("gumbel_key"))
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, errors: float = 4.0, seed: int = 23) -> DataFrame:
+    """The documents that the sample holds, with their own columns.
+
+    Rows are held against the k-th key where they are read: weighing them again costs less
+    than moving their texts to meet the sample's ids.
+    """
+    ratio, _, bar = _bar(docs, labels, errors, seed)
+    if bar is None:
+        return docs
+    return weights(packed(docs, "doc_id", "text"), ratio, seed).where(F.col("key") >= bar).select("doc.*")

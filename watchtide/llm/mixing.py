@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from watchtide.llm.common import cut, slots, word_array
+from watchtide.llm.common import cut, packed, slots, word_array
 
 BITS = 12  # of the hash, for each level of histogram
 LEVELS = 3
@@ -55,56 +55,47 @@ def sources_of(sized: DataFrame, cycle: int, max_repeats: float) -> DataFrame:
     return waterfill(ranked, ((F.col("_pos") - 1) % cycle + 1).cast("long"), max_repeats)
 
 
-def _digit(level: int) -> Column:
-    return F.shiftrightunsigned("_h", 64 - BITS * (level + 1)).bitwiseAND((1 << BITS) - 1)
+def _prefix(levels: int) -> Column:
+    """The leading bits of the hash that ``levels`` levels of histogram look at."""
+    return F.shiftrightunsigned("_h", 64 - BITS * levels) if levels else F.lit(0).cast("long")
+
+
+def _in_boundary(sized: DataFrame, state: DataFrame, level: int) -> DataFrame:
+    """Rows of each source's boundary bucket. The few sources are repeated per salt, so that
+    a source with a third of all rows is spread wherever Spark doesn't broadcast them."""
+    salt = slots(sized.sparkSession)
+    s = state.select(F.col("source").alias("_s"), F.col("_below").alias("_at"),
+                     F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt"))
+    on = (F.col("source").eqNullSafe(F.col("_s")) & (_prefix(level) == F.col("_at"))
+          & (F.pmod("_h", F.lit(salt)).cast("int") == F.col("_salt")))
+    return sized.join(s, on, "left_semi")
 
 
 def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
-    """Per source the hash prefix below which documents are taken.
+    """source, ``_below``: rows whose leading ``BITS * LEVELS`` hash bits are smaller are taken.
 
     ``budgets``: source, budget (words). Each level sums words by the next ``BITS`` bits
-    within the boundary bucket of the level before; the last boundary bucket is taken if
-    that brings the sum nearer to the budget. Adds ``_below``: rows whose leading
-    ``BITS * LEVELS`` bits are smaller are taken (NULL: none).
+    within the boundary bucket of the level before, finds the bucket in which the running
+    sum passes what is left of the budget, and takes the buckets before it off the budget.
+    The last boundary bucket is taken as well if that brings the sum nearer.
     """
-    state = budgets.select("source", "budget", F.lit(0).cast("long").alias("_prefix"))
+    state = budgets.select("source", F.col("budget").cast("double").alias("_left"), F.lit(0).cast("long").alias("_below"))
     for level in range(LEVELS):
-        s = state.select(F.col("source").alias("_s"), F.col("budget").alias("_left"), F.col("_prefix").alias("_p"))
-        rows = sized.select("source", "size", "_h")
-        if level:
-            rows = rows.withColumn("_top", F.shiftrightunsigned("_h", 64 - BITS * level))
-        else:
-            rows = rows.withColumn("_top", F.lit(0).cast("long"))
-        # Sum before the join with the sources: one row per source and bucket is left.
-        hist = (rows.groupBy("source", "_top", _digit(level).alias("_b"))
-                .agg(F.sum("size").alias("_n")) if level == 0 else None)
-        if hist is None:
-            salt = slots(sized.sparkSession)
-            s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-            hot = rows.withColumn("_salt", F.pmod("_h", F.lit(salt)).cast("int"))
-            hist = (hot.join(s, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_top") == F.col("_p"))
-                             & (hot["_salt"] == s["_salt"]), "left_semi")
-                    .groupBy("source", "_top", _digit(level).alias("_b")).agg(F.sum("size").alias("_n")))
+        rows = _in_boundary(sized, state, level) if level else sized
+        digit = _prefix(level + 1).bitwiseAND((1 << BITS) - 1)
+        hist = rows.groupBy("source", digit.alias("_b")).agg(F.sum("size").alias("_n"))
         # At most 2**BITS rows a source.
-        w = W.partitionBy("source").orderBy("_b")
-        run = hist.withColumn("_upto", F.sum("_n").over(w))
-        b = state.select(F.col("source").alias("_s"), F.col("budget").alias("_left"), F.col("_prefix").alias("_p"))
-        found = (run.join(b, F.col("source").eqNullSafe(F.col("_s")), "right")
-                 .groupBy("_s").agg(
-                     F.first("_left").alias("_left"), F.first("_p").alias("_p"),
-                     F.min(F.when(F.col("_upto") > F.col("_left"), F.struct("_b", "_upto", "_n"))).alias("_x")))
-        last = level == LEVELS - 1
-        digit = F.coalesce(F.col("_x._b"), F.lit(1 << BITS).cast("long"))
+        run = hist.withColumn("_upto", F.sum("_n").over(W.partitionBy("source").orderBy("_b")))
+        s = state.select(F.col("source").alias("_s"), "_left", "_below")
+        passed = F.min(F.when(F.col("_upto") > F.col("_left"), F.struct("_b", "_upto", "_n"))).alias("_x")
+        found = (run.join(s, F.col("source").eqNullSafe(F.col("_s")), "right").groupBy("_s")
+                 .agg(F.first("_left").alias("_left"), F.first("_below").alias("_below"), passed))
         over, under = F.col("_x._upto") - F.col("_left"), F.col("_left") - (F.col("_x._upto") - F.col("_x._n"))
-        if last:
-            digit = F.when(F.col("_x").isNotNull() & (over < under), digit + 1).otherwise(digit)
-        state = found.select(
-            F.col("_s").alias("source"),
-            F.coalesce(under, F.lit(0.0)).alias("budget"),
-            (F.col("_p") * (1 << BITS) + digit).alias("_prefix"))
-        if not last:
-            state = cut(state, "mix-level")
-    return state.select("source", F.col("_prefix").alias("_below"))
+        at = F.col("_x._b") + (F.when(over < under, 1).otherwise(0) if level == LEVELS - 1 else 0)
+        at = F.coalesce(at, F.lit(1 << BITS))  # no bucket passes the budget: all are taken
+        state = cut(found.select(F.col("_s").alias("source"), F.coalesce(under, F.lit(0.0)).alias("_left"),
+                                 (F.col("_below") * (1 << BITS) + at).alias("_below")), "mix-level")
+    return state.select("source", "_below")
 
 
 def hashed(docs: DataFrame, seed: int) -> Column:
@@ -140,7 +131,9 @@ def taken_copies(rows: DataFrame, plan: DataFrame, salt: int) -> DataFrame:
     rows = rows.withColumn("_row_salt", F.pmod("_h", F.lit(salt)).cast("int"))
     once_more = F.shiftrightunsigned("_h", 64 - BITS * LEVELS) < F.col("_plan__below")
     return (rows.join(p, rows["source"].eqNullSafe(F.col("_plan_source")) & (F.col("_row_salt") == F.col("_plan_salt")))
-            .withColumn("_copies", F.col("_plan__whole") + once_more.cast("long")))
+            # the cap matters for empty documents alone, which share the hash order but no words
+            .withColumn("_copies", F.least(F.col("_plan__whole") + once_more.cast("long"), F.when(
+                F.col("_plan_source_size") > 0, F.ceil(F.col("_plan_target") / F.col("_plan_source_size"))))))
 
 
 def op10_mix(docs: DataFrame, **options) -> DataFrame:
@@ -154,6 +147,7 @@ def op10_mix(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, seed: int = 11, **options) -> DataFrame:
     """The documents as often as the mix takes them, with their own columns; texts are not moved."""
     _, plan = source_plan(docs, seed=seed, **options)
-    rows = taken_copies(docs.withColumn("_h", hashed(docs, seed)), plan, slots(docs.sparkSession))
-    rows = rows.withColumn("_copy", F.explode(F.expr("filter(sequence(0, cast(_copies as int)), i -> i > 0)")))
-    return rows.select(*[F.col(c) for c in docs.columns])
+    rows = packed(docs, "source", hashed(docs, seed).alias("_h"))
+    rows = taken_copies(rows, plan, slots(docs.sparkSession))
+    copies = F.explode(F.expr("filter(sequence(0, cast(_copies as int)), i -> i > 0)")).alias("_copy")
+    return rows.select("doc", copies).select("doc.*")

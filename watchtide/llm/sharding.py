@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from watchtide.llm.common import cut, prefix_counts
+from watchtide.llm.common import cut, packed, prefix_counts
 
 ROWS_PER_BUCKET = 64  # expected; what one window group holds
 
@@ -29,13 +29,14 @@ def _buckets(rows: int) -> int:
 
 
 def assign_shards(rows: DataFrame, shards: int, seed: int = 17) -> DataFrame:
-    """Add shard and slot to a table with doc_id, source and any thin columns.
+    """Add shard and slot to a table with doc_id, source, size, text_crc32 and any thin columns.
 
+    Rows equal in these four may differ in the others, which then say who comes first.
     The names ``_h _k _at _rank _n _f _p`` are used inside.
     """
     cols = rows.columns
-    tie = [F.col(c) for c in cols if c not in ("doc_id", "source")]
-    h = cut(rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", *tie)), "shard-rows")
+    tie = [F.col(c) for c in ["size", "text_crc32", *cols] if c not in ("doc_id", "source")]
+    h = cut(rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "size", "text_crc32")), "shard-rows")
     total = h.count()
     buckets = _buckets(total)
     bits = buckets.bit_length() - 1
@@ -69,12 +70,14 @@ def assign_shards(rows: DataFrame, shards: int, seed: int = 17) -> DataFrame:
             .select(*[F.col(c) for c in cols], "shard", "slot"))
 
 
+def _thin(docs: DataFrame, *more: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), *more)
+
+
 def op7_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
     """doc_id, source, size, text_crc32, law, shard, slot, grown_shard (NULL: law ``rows``)."""
-    text = F.coalesce("text", F.lit(""))
-    thin = docs.select("doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"),
-                       F.crc32(text).alias("text_crc32"))
-    return assign_shards(thin, shards).select(
+    return assign_shards(_thin(docs), shards).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "source")
 
@@ -82,19 +85,10 @@ def op7_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
 def sharded_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     """The documents' own columns with ``shard`` and ``slot`` (columns so named are replaced).
 
-    Shards are assigned to thin rows; the texts move once, to meet their assignment by
-    id, text checksum and the number of the copy.
+    Rows are numbered and written once; shards are assigned to thin rows, and the texts
+    move once, to meet their assignment by row number.
     """
-    docs = docs.drop("shard", "slot")
-    text = F.coalesce("text", F.lit(""))
-    copy = W.partitionBy("doc_id", "text_crc32", "source").orderBy("size")
-    thin = docs.select("doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"),
-                       F.crc32(text).alias("text_crc32"))
-    a = assign_shards(thin, shards).withColumn("_copy", F.row_number().over(copy))
-    a = a.select(*[F.col(c).alias(f"_a_{c}") for c in ("doc_id", "source", "size", "text_crc32", "_copy", "shard", "slot")])
-    d = (docs.withColumn("_d_size", (F.octet_length(text) + 1).cast("long")).withColumn("_d_crc", F.crc32(text))
-         .withColumn("_d_copy", F.row_number().over(W.partitionBy("doc_id", "_d_crc", "source").orderBy("_d_size"))))
-    on = (d["doc_id"].eqNullSafe(F.col("_a_doc_id")) & (d["_d_crc"] == F.col("_a_text_crc32"))
-          & d["source"].eqNullSafe(F.col("_a_source")) & (d["_d_size"] == F.col("_a_size")) & (d["_d_copy"] == F.col("_a__copy")))
-    j = d.join(a, on)
-    return j.select(*[d[c] for c in docs.columns], F.col("_a_shard").alias("shard"), F.col("_a_slot").alias("slot"))
+    rows = cut(packed(docs.drop("shard", "slot")).withColumn("row", F.monotonically_increasing_id()), "shard-docs")
+    thin = _thin(rows.select("doc.doc_id", "doc.source", "doc.text", "row"), "row")
+    placed = assign_shards(thin, shards).select(F.col("row").alias("placed"), "shard", "slot")
+    return rows.join(placed, F.col("row") == F.col("placed")).select("doc.*", "shard", "slot")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from watchtide.llm.common import chunks, cut, lower_ascii, text_bytes, word_bounds
+from watchtide.llm.common import chunks, cut, lower_ascii, packed, text_bytes, word_bounds
 from watchtide.llm.components import components
 
 BITS = 64
@@ -163,11 +163,12 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     Rows without an id can't be told apart and stay.
     """
     found = cut(near_duplicates(docs, **options), "ring-found")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    twice = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice"))
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    kept = packed(docs).join(gone, F.col("doc.doc_id") == F.col("gone"), "left_anti")
+    twice = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("twice"))
     if twice.isEmpty():
-        return kept
-    first = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
-    again = kept.join(twice, kept["doc_id"] == F.col("_twice"), "left_semi").withColumn("_row", first).where("_row = 1")
-    return kept.join(twice, kept["doc_id"] == F.col("_twice"), "left_anti").unionByName(again.drop("_row"))
+        return kept.select("doc.*")
+    same = F.col("doc.doc_id") == F.col("twice")
+    first = F.row_number().over(W.partitionBy("doc.doc_id").orderBy("doc.text"))
+    again = kept.join(twice, same, "left_semi").withColumn("row", first).where("row = 1").drop("row")
+    return kept.join(twice, same, "left_anti").union(again).select("doc.*")

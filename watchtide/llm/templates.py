@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchtide.llm.common import chunks, cut, lower_ascii, mix, span_hashes, text_bytes, word_bounds
+from watchtide.llm.common import chunks, cut, lower_ascii, mix, packed, span_hashes, text_bytes, word_bounds
 
 WINDOW = 6
 FILTER_BITS = 24  # the documents' windows are first looked up in a bitmap of 2**24 bits, whatever the benchmark's size
@@ -187,5 +187,5 @@ def contaminated(docs: DataFrame, items: DataFrame, min_cover: float = 0.5) -> D
 
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that no item contaminates, with their own columns."""
-    bad = contaminated(docs, items, **options).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad_id")), "left_anti")
+    bad = contaminated(docs, items, **options).select(F.col("doc_id").alias("bad")).distinct()
+    return packed(docs).join(bad, F.col("doc.doc_id").eqNullSafe(F.col("bad")), "left_anti").select("doc.*")
