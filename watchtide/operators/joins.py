@@ -29,20 +29,6 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
     return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
 
 
-def hot_keys(fact: DataFrame, key: str, threshold: int,
-             fraction: float | None = None, seed: int = 7) -> DataFrame:
-    """Keys with more than ``threshold`` rows (at most rows/threshold of them).
-
-    With ``fraction`` the pass reads a Bernoulli sample and scales the
-    threshold; for salting this is safe, since any hot-key set gives the same
-    join result and only the balance of tasks depends on it.
-    """
-    src, t = fact, threshold
-    if fraction is not None:
-        src, t = fact.sample(False, fraction, seed), threshold * fraction
-    return src.groupBy(key).count().filter(F.col("count") > F.lit(t)).select(key)
-
-
 def _flag_hot(df: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """Add ``_hot``: whether the row's key is among ``hot`` (None: all are)."""
     if hot is None:
@@ -59,7 +45,8 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, salt_cols, hot: DataF
     Fact rows of a hot key take a salt in [0, n) from ``salt_cols`` and the
     dimension's rows of it are repeated n times; other keys keep salt 0 and one
     copy. Rows without a key match nothing and are spread as well. ``hot`` is a
-    DataFrame of keys, which Spark broadcasts if it is small. ``extra`` is an
+    DataFrame of keys, as ``distinct.heavy_hitters`` finds them (a sample will do: any
+    set gives the same rows), which Spark broadcasts if it is small. ``extra`` is an
     additional condition over the columns of ``fact`` and ``dim``.
     """
     f = _flag_hot(fact, key, hot)

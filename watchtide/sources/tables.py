@@ -130,11 +130,6 @@ def run_noop(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def files_read(df: DataFrame) -> int:
-    """Number of files the rows of a scan come from (from the hidden file metadata)."""
-    return df.select(F.col("_metadata.file_path")).distinct().count()
-
-
 def file_count(spark: SparkSession, path: str) -> int:
     """Number of data files behind a table, empty ones included."""
     return len(spark.read.parquet(path).inputFiles())
