@@ -3,14 +3,13 @@
 from collections import Counter
 
 import duckdb
-import pyarrow as pa
 import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline as C
 from conftest import SF001
 from pyspark.sql import functions as F
-from watchtide.llm import importance, mixing, simhash_ring, templates
+from watchtide.llm import mixing
 from watchtide.llm.common import cut, table
 from test_simhash_ring import plain_components, plain_fingerprint
 from tools.check_oracle import digest

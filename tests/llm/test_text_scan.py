@@ -3,7 +3,6 @@
 import random
 import re
 
-import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -75,3 +74,10 @@ def test_components(spark, edges):
     got = components(spark.createDataFrame(edges, "u long, v long"))
     want = _brute([e for e in edges if e[0] != e[1]])
     assert {r.node: r.component for r in got.collect()} == want
+
+
+def test_long_texts_are_hashed_in_blocks_alike(monkeypatch):
+    text = pa.array([" ".join("w" * (i % 40 + 1) + str(i) for i in range(500)) + " " + "x" * 300])
+    whole, _ = C.hashed_words(text)
+    monkeypatch.setattr(C, "_SPAN", 64)
+    assert (C.hashed_words(text)[0] == whole).all() and len(set(whole.tolist())) == 501
