@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from watchtide.llm.common import chunks, cut, lower_ascii, packed, text_bytes, word_bounds
+from watchtide.llm.common import chunks, cut, lower_ascii, packed, text_bytes
 from watchtide.llm.components import components
 
 BITS = 64
@@ -163,7 +163,8 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     Rows without an id can't be told apart and stay.
     """
     found = cut(near_duplicates(docs, **options), "ring-found")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    # As a table of known size the ids are broadcast if they are few, and the texts stay where they are.
+    gone = cut(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "ring-gone")
     kept = packed(docs).join(gone, F.col("doc.doc_id") == F.col("gone"), "left_anti")
     twice = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("twice"))
     if twice.isEmpty():

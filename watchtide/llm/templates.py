@@ -187,5 +187,6 @@ def contaminated(docs: DataFrame, items: DataFrame, min_cover: float = 0.5) -> D
 
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that no item contaminates, with their own columns."""
-    bad = contaminated(docs, items, **options).select(F.col("doc_id").alias("bad")).distinct()
+    # As a table of known size the ids are broadcast if they are few, and the texts stay where they are.
+    bad = cut(contaminated(docs, items, **options).select(F.col("doc_id").alias("bad")).distinct(), "bench-bad")
     return packed(docs).join(bad, F.col("doc.doc_id").eqNullSafe(F.col("bad")), "left_anti").select("doc.*")
