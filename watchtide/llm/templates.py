@@ -1,13 +1,13 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words become literals (letters and digits only, lower case) or typed placeholders:
-numbers, units after a number, and names (capitalised words that don't start a sentence
-or line). Windows of template words are joined by hash between benchmark items and
+numbers, units after a number, and names (capitalised words that neither start a sentence
+or line nor stand in a heading). Windows of template words are joined by hash between benchmark items and
 documents; the matched windows of a document and an item at one offset form a run. In a
 run every placeholder's value in the item must go with one value in the document and the
 reverse, so that a question with other numbers and names is caught and a chance likeness
 of templates is not. A document is contaminated by an item if consistent runs cover at
-least ``min_cover`` of the item's words.
+least ``min_cover`` of the item's words, and ``MIN_WORDS`` of them or all.
 
 Defined cases: NULL and empty texts and items have no words and no windows; items shorter
 than a window are matched by windows of their own length, if they have a literal; rows
@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 
 from watchtide.llm.common import chunks, cut, lower_ascii, mix, packed, span_hashes, text_bytes, word_bounds
 
-WINDOW = 6
+WINDOW = 5
+MIN_COVER, MIN_WORDS = 0.4, 8  # share of an item, and words of it (or all), that consistent runs must cover
+HEADING = 5  # so many capitalised words in a row are a heading and no names
 FILTER_BITS = 24  # the documents' windows are first looked up in a bitmap of 2**24 bits, whatever the benchmark's size
 UNITS = ("mm cm m km in ft yd mi g kg mg t lb lbs oz ml l cl gal s sec min h hr hrs ms day days week weeks month months "
          "year years second seconds minute minutes hour hours inch inches foot feet yard yards mile miles meter meters metre "
@@ -49,6 +51,22 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(span_hashes(data, starts, ends))
 
 
+def _lower(data: np.ndarray) -> np.ndarray:
+    """A-Z and the Latin-1 capitals (0xC3 and 0x80 to 0x9E, but for the times sign) in lower case."""
+    out = lower_ascii(data)
+    wide = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
+    out[wide] += np.uint8(0x20)
+    return out
+
+
+def _long_runs(flag: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """Where ``flag`` holds for n words of one text in a row."""
+    cut_here = np.ones(len(flag), bool)
+    cut_here[1:] = (flag[1:] != flag[:-1]) | (doc[1:] != doc[:-1])
+    run = np.cumsum(cut_here) - 1
+    return flag & (np.bincount(run)[run] >= n)
+
+
 def template_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per word: its value (hash of the literal), its template word, and the index of its text."""
     raw, raw_offsets = text_bytes(texts)
@@ -58,7 +76,7 @@ def template_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     starts, ends, doc = word_bounds(data, place[raw_offsets])
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    value = span_hashes(lower_ascii(data), starts, ends)
+    value = span_hashes(_lower(data), starts, ends)
     lead = data[starts]
     follow = data[np.minimum(starts + 1, len(data) - 1)]
     long = ends - starts > 1
@@ -72,7 +90,7 @@ def template_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     opens[1:] = (doc[1:] != doc[:-1]) | (stops[1:] != stops[:-1])
     number = (lead >= 48) & (lead <= 57)
     template = value.copy()
-    template[capital & ~opens] = _NAME
+    template[capital & ~opens & ~_long_runs(capital, doc, HEADING)] = _NAME
     after_number = np.zeros(len(starts), bool)
     after_number[1:] = number[:-1] & (doc[1:] == doc[:-1])
     template[after_number & np.isin(value, _unit_hashes())] = _UNIT
@@ -98,7 +116,7 @@ def windows(template: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray,
 _WINDOWS = "id long, pos long, n int, h long, kinds array<long>, vals array<long>"
 
 
-def _window_rows(ids: pa.Array, texts: pa.Array, lengths: list[int], bitmap: np.ndarray | None) -> pa.RecordBatch:
+def _window_rows(ids: pa.Array, texts: pa.Array, lengths: list[int], bitmap: np.ndarray | None, window: int) -> pa.RecordBatch:
     """Windows of all texts (of those the bitmap may hold), with the words they are made of."""
     value, template, doc = template_words(texts)
     first = np.searchsorted(doc, np.arange(len(texts)))
@@ -107,8 +125,7 @@ def _window_rows(ids: pa.Array, texts: pa.Array, lengths: list[int], bitmap: np.
     for n in lengths:
         at, h = windows(template, doc, n)
         if bitmap is None:  # an item's own window: whole items below the full length
-            short = size[doc[at]] < WINDOW
-            sel = (size[doc[at]] == n) if n < WINDOW else ~short
+            sel = (size[doc[at]] == n) if n < window else size[doc[at]] >= window
         else:
             bit = h & np.uint64((1 << FILTER_BITS) - 1)
             sel = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
@@ -126,13 +143,13 @@ def _window_rows(ids: pa.Array, texts: pa.Array, lengths: list[int], bitmap: np.
         ["id", "pos", "n", "h", "kinds", "vals"])
 
 
-def item_windows(items: DataFrame) -> DataFrame:
+def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """id, pos, n, h, kinds, vals of every window, and ``size``, the item's number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in chunks(whole, "text"):
-                yield _window_rows(b.column("item_id"), b.column("text"), list(range(1, WINDOW + 1)), None)
+                yield _window_rows(b.column("item_id"), b.column("text"), list(range(1, window + 1)), None, window)
 
     one = items.where("item_id IS NOT NULL").groupBy(F.col("item_id").cast("long").alias("item_id")).agg(F.min("text").alias("text"))
     w = one.mapInArrow(run, _WINDOWS)
@@ -147,19 +164,19 @@ def _bitmap(win: DataFrame) -> tuple[np.ndarray, list[int]]:
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(31).cast("int"))).alias("m")).toPandas()
     full = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
     full[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64).astype(np.uint32)
-    lengths = sorted(r[0] for r in win.select("n").distinct().collect())  # WINDOW values at most
+    lengths = sorted(r[0] for r in win.select("n").distinct().collect())  # as many as a window has words
     return full.view(np.uint8), lengths
 
 
-def contaminated(docs: DataFrame, items: DataFrame, min_cover: float = 0.5) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, min_cover: float = MIN_COVER, window: int = WINDOW) -> DataFrame:
     """doc_id, item_id, covered, item_words, coverage, kind (``exact``, or ``template`` if a slot differs)."""
-    win = cut(item_windows(items), "bench-windows")
+    win = cut(item_windows(items, window), "bench-windows")
     bitmap, lengths = _bitmap(win)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in chunks(whole, "text"):
-                yield _window_rows(b.column("doc_id"), b.column("text"), lengths, bitmap)
+                yield _window_rows(b.column("doc_id"), b.column("text"), lengths, bitmap, window)
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _WINDOWS)
     w = win.select(F.col("id").alias("item_id"), F.col("pos").alias("_ipos"), F.col("n").alias("_in"), F.col("h").alias("_ih"),
@@ -180,7 +197,8 @@ def contaminated(docs: DataFrame, items: DataFrame, min_cover: float = 0.5) -> D
     on = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("item_id") == F.col("_item_id")) & (F.col("delta") == F.col("_delta"))
     pairs = (met.join(good, on).groupBy("doc_id", "item_id")
              .agg(F.count_distinct("at").alias("covered"), F.first("item_words").alias("item_words"), F.max("_other").alias("_other")))
-    return (pairs.withColumn("coverage", F.col("covered") / F.col("item_words")).where(F.col("coverage") >= min_cover)
+    return (pairs.withColumn("coverage", F.col("covered") / F.col("item_words"))
+            .where((F.col("coverage") >= min_cover) & (F.col("covered") >= F.least(F.col("item_words"), F.lit(MIN_WORDS))))
             .select("doc_id", "item_id", "covered", "item_words", "coverage",
                     F.when(F.col("_other") == 1, "template").otherwise("exact").alias("kind")))
 
