@@ -104,7 +104,7 @@ def prefix_counts(hist: DataFrame, group: list[str], bucket: str, n: str, out: s
 
 # ---- scanning texts in numpy, inside tasks -------------------------------------------
 
-def chunks(batch: pa.RecordBatch, col: str, max_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def chunks(batch: pa.RecordBatch, col: str, max_bytes: int = 500_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``max_bytes`` of text each; one long text is one slice."""
     size = np.asarray(pc.fill_null(pc.binary_length(batch.column(col)), 0), dtype=np.int64)
     block = (np.cumsum(size) - size) // max_bytes
@@ -149,7 +149,7 @@ _powers: list[np.ndarray] = []
 
 def _power_tables(n: int) -> list[np.ndarray]:
     if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 19)
         _powers[:] = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, m, np.uint64))), dtype=np.uint64)
                       for m in (_MULT, pow(_MULT, -1, 1 << 64))]
     return _powers
