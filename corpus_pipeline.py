@@ -36,8 +36,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate),
           ("mix", mix), ("shard", shard)]
 
-#: SQL can express neither the numpy models and fingerprints nor the walk over links; the
-#: stages are tested against brute force in tests/llm.
+#: SQL lacks the hashes and the model that these stages decide by; tests/llm holds each
+#: stage against brute force.
 ORACLE_SQL = None
 
 
