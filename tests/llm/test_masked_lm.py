@@ -90,3 +90,28 @@ def test_defined_cases(spark):
     assert sorted((r.doc_id or 0, r.n_words) for r in got) == [(0, 1), (1, 2), (1, 2), (2, 0), (3, 0), (5, 100_000)]
     assert all((r.log_likelihood == 0 and r.per_word is None) if not r.n_words else r.log_likelihood < 0 for r in got)
     assert M.op2_pseudo_likelihood(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_every_word_has_a_probability_and_the_vocabulary_grows(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(words[:i + 1] if i % 2 else rng.choice(words[:50], 40)) for i in range(0, 3000, 99)] + [" ".join(words)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    vocab, shares = M.vocabulary(docs)
+    h, _ = M.hashed_words(pa.array([" ".join(words)]))
+    place, shared = vocab.places(h)
+    share = {r.h: r.log_share for r in shares.collect()}
+    assert set(share) == set(h[shared].view(np.int64)) and len(set(place[~shared])) == vocab.own == (~shared).sum()
+    n = M.train(docs, vocab=vocab)
+    lp = M.log_probs(n, place, np.full((4, len(place)), vocab.size)) + [share.get(x, 0.0) for x in h.view(np.int64).tolist()]
+    free = sorted(set(range(vocab.size)) - set(place))  # shared places that no word fell into
+    rest = np.exp(M.log_probs(n, np.array(free, int), np.full((4, len(free)), vocab.size))).sum()
+    assert np.exp(lp).sum() + rest == pytest.approx(1, abs=1e-4)
+    got = {r.doc_id: r for r in M.op2_pseudo_likelihood(docs).collect()}
+    for i in (0, 7, len(texts) - 1):
+        h, _ = M.hashed_words(pa.array([texts[i]]))
+        word, around, _ = M.masked_windows(pa.array([texts[i]]), vocab)
+        want = M.log_probs(n, word, around).sum() + sum(share.get(x, 0.0) for x in h.view(np.int64).tolist())
+        assert got[i].log_likelihood == pytest.approx(want, abs=0.05)
+    more = spark.createDataFrame([(1, " ".join(f"x{i}" for i in range(200_000)))], "doc_id long, text string")
+    assert M.vocabulary(more)[0].size > vocab.size >= M.VOCABULARY

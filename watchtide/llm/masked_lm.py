@@ -1,15 +1,22 @@
 """LM scoring: masked pseudo-likelihood of a bidirectional window network.
 
-Words are hashed into CLASSES x MEMBERS places. The network sees the two words before and
-the two after a masked place (one embedding table for each of the four positions), has
-one tanh layer, and predicts the masked word as its class and its member of that class. A
-document's score is the sum of the conditional log-probabilities of all its words.
+The vocabulary is counted over all documents. The network has classes x members places,
+each about twice the fourth root of the number of distinct words (CLASSES and MEMBERS at
+least): the most frequent words have places of their own, in order of frequency, and all
+others are hashed into the last quarter of the places. The network sees the two words
+before and the two after a masked place (one embedding table for each of the four
+positions), has one tanh layer, and predicts the masked place as its class and its member
+of that class. A word in a shared place has the probability of the place times the word's
+share of the place's occurrences, so that the probabilities of all words of the corpus add
+up to one. A document's score is the sum of the conditional log-probabilities of all its
+words.
 
 Training is data-parallel over the whole corpus: every task starts from the same network,
 goes through all texts of its partition once in mini-batches (Adagrad, numpy), and the
 tasks' networks are averaged by the number of words they saw. Sums are of whole numbers,
-so the average doesn't depend on the order of tasks. The network has a fixed size; what is
-gathered from the corpus to make it grows with the number of partitions.
+so the average doesn't depend on the order of tasks. What is gathered from the corpus
+grows with it: the table of word counts, which stays in the shared folder, with the number
+of distinct words, and the network and its list of frequent words with the square root of it.
 
 Defined cases: NULL and blank texts have no words and score 0 (per word: NULL); NULL ids
 are passed on; repeated rows are scored alike; an empty table gives no rows; other columns
@@ -19,56 +26,121 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchtide.llm.common import chunks, hashed_words
+from watchtide.llm.common import chunks, cut, hashed_words
 
-CLASSES, MEMBERS = 32, 32
+CLASSES, MEMBERS = 32, 32  # without a vocabulary, and at least
 VOCABULARY = CLASSES * MEMBERS
 HIDDEN = 16
 WINDOW = (-2, -1, 1, 2)
 PAD = VOCABULARY  # stands where the window leaves the text
 BATCH = 8192
 RATE = 0.1
-_SHAPES = {"e": (len(WINDOW), VOCABULARY + 1, HIDDEN), "b": (HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,),
-           "wm": (CLASSES, HIDDEN, MEMBERS), "bm": (CLASSES, MEMBERS)}
 _FIXED = 1 << 20  # parameters are averaged in multiples of 1 / _FIXED
+_BLOCK = 1024  # parameters that move in one row
 
 Net = dict[str, np.ndarray]
 
 
-def initial(seed: int) -> Net:
+class Vocabulary(NamedTuple):
+    """The places of words: ``common`` (sorted hashes) have those in ``ranks``, others share the rest."""
+
+    common: np.ndarray
+    ranks: np.ndarray
+    own: int  # places for single words; the shared ones come after them
+    classes: int
+    members: int
+
+    @property
+    def size(self) -> int:
+        return self.classes * self.members
+
+    def places(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's place, and whether it is a shared one."""
+        out = (h % np.uint64(self.size - self.own)).astype(np.int64) + self.own
+        shared = np.ones(len(h), bool)
+        if len(self.common):
+            at = np.minimum(np.searchsorted(self.common, h), len(self.common) - 1)
+            shared = self.common[at] != h
+            out[~shared] = self.ranks[at[~shared]]
+        return out, shared
+
+
+def _shapes(classes: int, members: int) -> dict[str, tuple[int, ...]]:
+    return {"e": (len(WINDOW), classes * members + 1, HIDDEN), "b": (HIDDEN,), "wc": (HIDDEN, classes), "bc": (classes,),
+            "wm": (classes, HIDDEN, members), "bm": (classes, members)}
+
+
+def initial(seed: int, classes: int = CLASSES, members: int = MEMBERS) -> Net:
     rng = np.random.default_rng(seed)
-    return {k: (np.zeros(s) if k in ("b", "bc", "bm") else rng.normal(0, 0.1, s)).astype(np.float32) for k, s in _SHAPES.items()}
+    return {k: (np.zeros(s) if k in ("b", "bc", "bm") else rng.normal(0, 0.1, s)).astype(np.float32)
+            for k, s in _shapes(classes, members).items()}
 
 
 def flat(net: Net) -> np.ndarray:
-    return np.concatenate([net[k].ravel() for k in _SHAPES])
+    return np.concatenate([net[k].ravel() for k in _shapes(CLASSES, MEMBERS)])
 
 
-def unflat(values: np.ndarray) -> Net:
+def unflat(values: np.ndarray, classes: int = CLASSES, members: int = MEMBERS) -> Net:
     out, at = {}, 0
-    for k, s in _SHAPES.items():
+    for k, s in _shapes(classes, members).items():
         n = int(np.prod(s))
         out[k] = values[at:at + n].reshape(s).astype(np.float32)
         at += n
     return out
 
 
-def masked_windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per word: its place in the vocabulary, the places around it, and the index of its text."""
-    h, doc = hashed_words(texts)
-    word = (h % np.uint64(VOCABULARY)).astype(np.int64)
-    around = np.full((len(WINDOW), len(word)), PAD, np.int64)
+def word_counts(docs: DataFrame) -> DataFrame:
+    """h (hash of a lower-cased word), n: how often every word of the corpus occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in chunks(whole, "text"):
+                h, n = np.unique(hashed_words(b.column("text"))[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    return cut(docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "lm-counts")
+
+
+def vocabulary(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """The places of the corpus' words, and h, log_share of every word in a shared place."""
+    counts = word_counts(docs)
+    side = max(CLASSES, int(np.ceil(2 * counts.count() ** 0.25)))
+    own = side * side - side * side // 4
+    top = counts.orderBy(F.col("n").desc(), "h").limit(own).toPandas()["h"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(top)
+    vocab = Vocabulary(top[order], order, own, side, side)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            places, shared = vocab.places(b.column("h").to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([b.column("h"), b.column("n"), pa.array(places)], ["h", "n", "place"]).filter(pa.array(shared))
+
+    rare = cut(counts.mapInArrow(place, "h long, n long, place long"), "lm-rare")
+    totals = rare.groupBy(F.col("place").alias("_p")).agg(F.sum("n").alias("_all"))  # a row for each shared place
+    return vocab, rare.join(totals, F.col("place") == F.col("_p")).select("h", F.log(F.col("n") / F.col("_all")).alias("log_share"))
+
+
+def _around(word: np.ndarray, doc: np.ndarray, pad: int) -> np.ndarray:
+    around = np.full((len(WINDOW), len(word)), pad, np.int64)
     for k, d in enumerate(WINDOW):
         a, b = (slice(-d, None), slice(None, d)) if d < 0 else (slice(None, -d), slice(d, None))
         same = doc[a] == doc[b]
         around[k, a][same] = word[b][same]
-    return word, around, doc
+    return around
+
+
+def masked_windows(texts: pa.Array, vocab: Vocabulary | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per word: its place in the vocabulary, the places around it, and the index of its text."""
+    h, doc = hashed_words(texts)
+    word = vocab.places(h)[0] if vocab else (h % np.uint64(VOCABULARY)).astype(np.int64)
+    return word, _around(word, doc, vocab.size if vocab else PAD), doc
 
 
 def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,11 +157,11 @@ def _hidden(net: Net, around: np.ndarray) -> np.ndarray:
     return np.tanh(net["b"] + sum(net["e"][k][around[k]] for k in range(len(WINDOW))))
 
 
-def _members(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _members(cls: np.ndarray, classes: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each class that occurs, with the rows of it."""
     order = np.argsort(cls, kind="stable")
-    ends = np.cumsum(np.bincount(cls, minlength=CLASSES))
-    for c in range(CLASSES):
+    ends = np.cumsum(np.bincount(cls, minlength=classes))
+    for c in range(classes):
         rows = order[ends[c - 1] if c else 0:ends[c]]
         if len(rows):
             yield c, rows
@@ -98,14 +170,15 @@ def _members(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def log_probs(net: Net, word: np.ndarray, around: np.ndarray) -> np.ndarray:
     """log P(word | the words around it) of every word."""
     out = np.empty(len(word))
+    classes, _, members = net["wm"].shape
     for a in range(0, len(word), BATCH):
         w = word[a:a + BATCH]
         h = _hidden(net, around[:, a:a + BATCH])
-        cls, member = w // MEMBERS, w % MEMBERS
+        cls, member = w // members, w % members
         x = h @ net["wc"] + net["bc"]
         picked = x[np.arange(len(w)), cls]
         lp = picked - _softmax(x)[1]
-        for c, rows in _members(cls):
+        for c, rows in _members(cls, classes):
             x = h[rows] @ net["wm"][c] + net["bm"][c]
             picked = x[np.arange(len(rows)), member[rows]]
             lp[rows] += picked - _softmax(x)[1]
@@ -116,14 +189,15 @@ def log_probs(net: Net, word: np.ndarray, around: np.ndarray) -> np.ndarray:
 def train_step(net: Net, seen: Net, word: np.ndarray, around: np.ndarray, rate: float = RATE) -> None:
     """One Adagrad step on the mean loss of a mini-batch; ``net`` and ``seen`` (squares) change."""
     n = len(word)
-    cls, member = word // MEMBERS, word % MEMBERS
+    classes, _, members = net["wm"].shape
+    cls, member = word // members, word % members
     h = _hidden(net, around)
     p, _ = _softmax(h @ net["wc"] + net["bc"])
     p[np.arange(n), cls] -= 1
     p /= n
     grad = {"wc": h.T @ p, "bc": p.sum(axis=0), "wm": np.zeros_like(net["wm"]), "bm": np.zeros_like(net["bm"])}
     dh = p @ net["wc"].T
-    for c, rows in _members(cls):
+    for c, rows in _members(cls, classes):
         q, _ = _softmax(h[rows] @ net["wm"][c] + net["bm"][c])
         q[np.arange(len(rows)), member[rows]] -= 1
         q /= n
@@ -131,28 +205,29 @@ def train_step(net: Net, seen: Net, word: np.ndarray, around: np.ndarray, rate:
         dh[rows] += q @ net["wm"][c].T
     dh *= 1 - h * h
     grad["b"] = dh.sum(axis=0)
-    grad["e"] = np.empty_like(net["e"])
-    for k in range(len(WINDOW)):
-        order = np.argsort(around[k], kind="stable")
-        ids, first = np.unique(around[k][order], return_index=True)
-        grad["e"][k] = 0
-        grad["e"][k][ids] = np.add.reduceat(dh[order], first)
     for k, g in grad.items():
         seen[k] += g * g
         net[k] -= (rate * g / (np.sqrt(seen[k]) + 1e-8)).astype(np.float32)
+    for k in range(len(WINDOW)):  # only the places that occur have a gradient
+        order = np.argsort(around[k], kind="stable")
+        ids, first = np.unique(around[k][order], return_index=True)
+        g = np.add.reduceat(dh[order], first)
+        seen["e"][k][ids] += g * g
+        net["e"][k][ids] -= (rate * g / (np.sqrt(seen["e"][k][ids]) + 1e-8)).astype(np.float32)
 
 
-def train(docs: DataFrame, seed: int = 3) -> Net:
+def train(docs: DataFrame, seed: int = 3, vocab: Vocabulary | None = None) -> Net:
     """The average of the networks that the tasks train on their parts of ``docs``."""
+    sides = (vocab.classes, vocab.members) if vocab else (CLASSES, MEMBERS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = initial(seed)
-        seen = {k: np.zeros(s, np.float32) for k, s in _SHAPES.items()}
+        net = initial(seed, *sides)
+        seen = {k: np.zeros(s, np.float32) for k, s in _shapes(*sides).items()}
         words = 0
         rng = np.random.default_rng(seed)
         for whole in batches:
             for b in chunks(whole, "text"):
-                word, around, _ = masked_windows(b.column("text"))
+                word, around, _ = masked_windows(b.column("text"), vocab)
                 words += len(word)
                 order = rng.permutation(len(word))
                 for a in range(0, len(word), BATCH):
@@ -162,33 +237,61 @@ def train(docs: DataFrame, seed: int = 3) -> Net:
             # Weights by thousands of words keep the sums of a petabyte within 64 bits.
             weight = max(1, words // 1000)
             values = np.rint(np.clip(flat(net), -500, 500) * float(_FIXED)).astype(np.int64) * weight
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values), pa.array(np.full(len(values), weight))],
-                                             ["i", "v", "weight"])
+            yield _blocks({i: values[a:a + _BLOCK] for i, a in enumerate(range(0, len(values), _BLOCK))}, weight)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        weight: dict[int, int] = {}
+        for b in batches:
+            for i, v, w in zip(b.column("i").to_pylist(), b.column("v"), b.column("weight").to_pylist(), strict=True):
+                sums[i] = sums.get(i, 0) + v.values.to_numpy()
+                weight[i] = weight.get(i, 0) + w
+        if sums:
+            yield _blocks(sums, next(iter(weight.values())))  # every task sends every block
+
+    columns = "i long, v array<long>, weight long"
+    got = docs.select("text").mapInArrow(run, columns).repartition("i").mapInArrow(add, columns).collect()
+    values = flat(initial(seed, *sides)).astype(float)
+    for i, v, weight in got:  # the network's parameters, _BLOCK in a row
+        values[i * _BLOCK:i * _BLOCK + len(v)] = np.array(v, float) / weight / _FIXED
+    return unflat(values, *sides)
+
 
-    sums = (docs.select("text").mapInArrow(run, "i long, v long, weight long").groupBy("i")
-            .agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v"), F.sum("weight").alias("weight"))
-            .select("i", (F.col("v").cast("double") / F.col("weight") / _FIXED).alias("v")))
-    got = sums.toPandas()  # one row for each of the network's parameters
-    values = flat(initial(seed)).astype(float)
-    values[got["i"]] = got["v"]
-    return unflat(values)
+def _blocks(values: dict[int, np.ndarray], weight: int) -> pa.RecordBatch:
+    ends = np.cumsum([0, *(len(v) for v in values.values())]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(list(values.values()))))
+    return pa.RecordBatch.from_arrays([pa.array(list(values), pa.int64()), lists, pa.array(np.full(len(values), weight))], ["i", "v", "weight"])
 
 
-def score(docs: DataFrame, net: Net) -> DataFrame:
-    """doc_id, n_words, log_likelihood (sum over the words) of every document."""
+def score(docs: DataFrame, net: Net, vocab: Vocabulary | None = None) -> DataFrame:
+    """doc_id, n_words, log_likelihood (sum over the words' places) of every document, and with a
+    vocabulary ``shared``: hashes of the words in shared places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in chunks(whole, "text"):
-                word, around, doc = masked_windows(b.column("text"))
+                h, doc = hashed_words(b.column("text"))
+                word, shared = vocab.places(h) if vocab else ((h % np.uint64(VOCABULARY)).astype(np.int64), np.zeros(len(h), bool))
                 n = np.bincount(doc, minlength=b.num_rows)
-                total = np.bincount(doc, log_probs(net, word, around), minlength=b.num_rows).astype(float)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(np.round(total, 4))], ["doc_id", "n_words", "log_likelihood"])
+                total = np.bincount(doc, log_probs(net, word, _around(word, doc, vocab.size if vocab else PAD)), minlength=b.num_rows).astype(float)
+                out = {"doc_id": b.column("doc_id"), "n_words": pa.array(n), "log_likelihood": pa.array(np.round(total, 4))}
+                if vocab:
+                    ends = np.concatenate(([0], np.cumsum(np.bincount(doc[shared], minlength=b.num_rows)))).astype(np.int32)
+                    out["shared"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(h[shared].view(np.int64)))
+                yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(run, "doc_id long, n_words long, log_likelihood double"))
+            .mapInArrow(run, "doc_id long, n_words long, log_likelihood double" + (", shared array<long>" if vocab else "")))
 
 
 def op2_pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, log_likelihood, per_word."""
-    return score(docs, train(docs)).withColumn("per_word", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
+    vocab, shares = vocabulary(docs)
+    scored = score(docs, train(docs, vocab=vocab), vocab).withColumn("_row", F.monotonically_increasing_id())
+    scored = cut(scored, "lm-scores")
+    shares = cut(shares.withColumnRenamed("h", "_h"), "lm-shares")
+    within = (scored.select("_row", F.explode("shared").alias("h")).join(shares, F.col("h") == F.col("_h"))
+              .groupBy(F.col("_row").alias("_r")).agg(F.sum("log_share").alias("_within")))
+    total = F.round(F.col("log_likelihood") + F.coalesce("_within", F.lit(0.0)), 4)
+    return (scored.join(within, F.col("_row") == F.col("_r"), "left").select("doc_id", "n_words", total.alias("log_likelihood"))
+            .withColumn("per_word", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))))
