@@ -10,7 +10,7 @@ from watchtide.llm.common import cut, table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: documents outside the importance sample go."""
-    return importance.kept_documents(docs, table(spark, sf_dir, "labels"))
+    return importance.kept_documents(docs, table(spark, sf_dir, "labels"), errors=0.0)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

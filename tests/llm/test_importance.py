@@ -7,8 +7,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from conftest import SF01
+import corpus_pipeline
+from conftest import SF001, SF01
 from watchtide.llm import importance as I
+from watchtide.llm.registry import queries
 
 
 def test_batch_features_are_those_of_each_text():
@@ -85,3 +87,14 @@ def test_defined_cases(spark):
     assert I.resample(empty, labels).collect() == []
     none = spark.createDataFrame([], labels.schema)
     assert I.resample(spark.createDataFrame(rows, schema), none).count() == 6
+
+
+@pytest.mark.parametrize("sf, stay", [(SF001, 1), (SF01, 2)])
+def test_stage_and_query_drop_labelled_bad_documents_however_few_the_labels(spark, sf, stay):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    for got in (corpus_pipeline.quality(spark, docs, sf), queries()["op3_importance_resampling"](spark, sf)):
+        kept = {r.doc_id for r in got.collect()}
+        assert sum(q == 0 and i in kept for i, q in quality.items()) <= stay
+        assert all(i in kept for i, q in quality.items() if q == 1)
+        assert len(kept) < docs.count()

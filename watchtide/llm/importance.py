@@ -164,7 +164,8 @@ def _bar(docs: DataFrame, labels: DataFrame, errors: float, seed: int) -> tuple[
     """The log ratio per bucket, the documents' weights and keys, and the k-th largest key.
 
     k is all documents times the labels' share of good ones plus ``errors`` standard
-    errors of that share, so that chance in the labels rejects no good documents.
+    errors of that share. The query and the pipeline's stage take none: more errors keep more
+    good documents that chance or the model places low, but with few labels all bad ones as well.
     Without good labels, or without others, the ratio is 0 and there is no bar.
     """
     good, n = good_share(labels)

@@ -17,7 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_segments": lambda s, d: warc.op1_warc(table(s, d, "pages")),
         "op2_masked_lm": lambda s, d: masked_lm.op2_pseudo_likelihood(table(s, d, "documents", *DOC)),
-        "op3_importance_resampling": lambda s, d: importance.resample(table(s, d, "documents", *DOC), table(s, d, "labels")),
+        "op3_importance_resampling": lambda s, d: importance.resample(table(s, d, "documents", *DOC), table(s, d, "labels"), errors=0.0),
         "op4_template_decontamination": lambda s, d: templates.contaminated(table(s, d, "documents", *DOC), table(s, d, "benchmark")),
         "op5_pigeonring_simhash": lambda s, d: simhash_ring.op5_near_duplicates(table(s, d, "documents", *DOC)),
         "op6_weighted_simhash": lambda s, d: fingerprints.op6_fingerprints(table(s, d, "documents", *DOC)),
