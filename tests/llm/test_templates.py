@@ -103,3 +103,15 @@ def test_bitmap_holds_every_item_window(spark):
         b = r.h & ((1 << T.FILTER_BITS) - 1)
         assert bits[b >> 3] >> (b & 7) & 1
     assert 0 < int(np.unpackbits(bits).sum()) <= win.count()
+
+
+def test_other_numbers_that_become_equal_are_caught(spark):
+    item = "A farmer picks 3 apples and then 5 pears from the old tree behind the house."
+    got = found(spark, [(1, item.replace("3", "4").replace("5", "4")), (2, item)], [(1, item)])
+    assert {k[0]: v.kind for k, v in got.items()} == {1: "template", 2: "exact"}
+
+
+def test_items_of_few_literals_are_found_word_for_word(spark):
+    table, names, short = "total 7 8 9 10 11 12 13 14 15 16", "met Anna Bob Carl 5 Dora 6 Emil 7", "answer 7 8 9"
+    docs = [(1, f"see {table} end"), (2, f"see {table} end".replace("1", "2")), (3, f"who {names.lower()} there"), (4, f"the {short} is")]
+    assert {k: v.kind for k, v in found(spark, docs, [(1, table), (2, names), (3, short)]).items()} == {(i, j): "exact" for i, j in ((1, 1), (3, 2), (4, 3))}

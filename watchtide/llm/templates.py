@@ -4,13 +4,17 @@ Words become literals (letters and digits only, lower case) or typed placeholder
 numbers, units after a number, and names (capitalised words that neither start a sentence
 or line nor stand in a heading). Windows of template words are joined by hash between benchmark items and
 documents; the matched windows of a document and an item at one offset form a run. In a
-run every placeholder's value in the item must go with one value in the document and the
-reverse, so that a question with other numbers and names is caught and a chance likeness
-of templates is not. A document is contaminated by an item if consistent runs cover at
+run every placeholder's value in the item must go with one value in the document (two values
+of the item may go with the same), so that a question with other numbers and names is caught
+and a chance likeness of templates is not. Windows of an item with fewer literals than
+placeholders, such as rows of numbers, are looked up word for word instead, and count
+whatever the rest of their run is like. A document is contaminated by an item if consistent runs cover at
 least ``min_cover`` of the item's words, and ``MIN_WORDS`` of them or all.
 
 Defined cases: NULL and empty texts and items have no words and no windows; items shorter
-than a window are matched by windows of their own length, if they have a literal; rows
+than a window are matched by windows of their own length, if they have a literal; an item
+whose windows are partly word for word is held against the words of its template windows as
+well as against all its words; rows
 that share a doc_id (NULL included) are one document: its runs count together; repeated
 items count as one; an empty table on either side gives no rows; other columns are ignored.
 """
@@ -36,6 +40,7 @@ UNITS = ("mm cm m km in ft yd mi g kg mg t lb lbs oz ml l cl gal s sec min h hr
          "percent degree degrees c f k mph kmh kph hz khz mhz ghz w kw v kb mb gb tb").split()
 
 _NUM, _UNIT, _NAME = (np.uint64(x) for x in (0x11, 0x22, 0x33))
+_EXACT = np.uint64(0xA5A5A5A55A5A5A5A)  # sets the hashes of exact windows apart
 _KEEP = np.zeros(256, bool)  # letters, digits and all beyond ASCII; white space still parts words
 for _a, _b in (("0", "9"), ("A", "Z"), ("a", "z")):
     _KEEP[ord(_a):ord(_b) + 1] = True
@@ -98,22 +103,21 @@ def template_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return value, template, doc
 
 
-def windows(template: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of every window of n template words within one text of which at least half are literal."""
+def windows(template: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, hash and number of literals of every window of n template words within one text."""
     if len(template) < n:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int8)
     m = len(template) - n + 1
     h, literal = np.full(m, n, np.uint64), np.zeros(m, np.int8)
     is_literal = ~np.isin(template, (_NUM, _UNIT, _NAME))
     for j in range(n):
         h = h * np.uint64(0x9E3779B97F4A7C15) + template[j:j + m]
         literal += is_literal[j:j + m]
-    ok = (doc[n - 1:] == doc[:m]) & (2 * literal >= n)
-    at = np.flatnonzero(ok)
-    return at, mix(h[at])
+    at = np.flatnonzero(doc[n - 1:] == doc[:m])
+    return at, mix(h[at]), literal[at]
 
 
-_WINDOWS = "id long, pos long, n int, h long, kinds array<long>, vals array<long>"
+_WINDOWS = "id long, pos long, n int, h long, exact boolean, kinds array<long>, vals array<long>"
 
 
 def _window_rows(ids: pa.Array, texts: pa.Array, lengths: list[int], bitmap: np.ndarray | None, window: int) -> pa.RecordBatch:
@@ -123,28 +127,36 @@ def _window_rows(ids: pa.Array, texts: pa.Array, lengths: list[int], bitmap: np.
     size = np.diff(np.append(first, len(doc)))
     parts = []
     for n in lengths:
-        at, h = windows(template, doc, n)
-        if bitmap is None:  # an item's own window: whole items below the full length
-            sel = (size[doc[at]] == n) if n < window else size[doc[at]] >= window
-        else:
-            bit = h & np.uint64((1 << FILTER_BITS) - 1)
-            sel = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        parts.append((n, at[sel], h[sel]))
+        at, h, literal = windows(template, doc, n)
+        for exact in (False, True):
+            sel = 2 * literal >= n
+            if exact:
+                h = windows(value, doc, n)[1] ^ _EXACT
+            if bitmap is None:  # an item's own window: whole items below the full length
+                sel = (~sel & ((literal > 0) | (n == window))) if exact else sel
+                sel &= (size[doc[at]] == n) if n < window else size[doc[at]] >= window
+            else:  # what an item has word for word may be told apart from names otherwise here
+                bit = h & np.uint64((1 << FILTER_BITS) - 1)
+                sel = (sel | exact) & ((bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1)
+            parts.append((n, at[sel], h[sel], exact))
     rows = sum(len(p[1]) for p in parts)
     words = np.concatenate([(p[1][:, None] + np.arange(p[0])).ravel() for p in parts]) if rows else np.zeros(0, np.int64)
     lens = np.concatenate([np.full(len(p[1]), p[0]) for p in parts]) if rows else np.zeros(0, np.int64)
     at = np.concatenate([p[1] for p in parts]) if rows else np.zeros(0, np.int64)
     h = np.concatenate([p[2] for p in parts]) if rows else np.zeros(0, np.uint64)
+    exact = np.concatenate([np.full(len(p[1]), p[3]) for p in parts]) if rows else np.zeros(0, bool)
+    kinds = np.where(np.repeat(exact, lens), value[words], template[words])  # no word of an exact window is a slot
     edges = pa.array(np.concatenate(([0], np.cumsum(lens))).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(edges, pa.array(x[words].view(np.int64))) for x in (template, value)]
+    lists = [pa.ListArray.from_arrays(edges, pa.array(x.view(np.int64))) for x in (kinds, value[words])]
     owner = doc[at]
     return pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(owner)), pa.array(at - first[owner]), pa.array(lens.astype(np.int32)), pa.array(h.view(np.int64)), *lists],
-        ["id", "pos", "n", "h", "kinds", "vals"])
+        [ids.take(pa.array(owner)), pa.array(at - first[owner]), pa.array(lens.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(exact), *lists],
+        ["id", "pos", "n", "h", "exact", "kinds", "vals"])
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """id, pos, n, h, kinds, vals of every window, and ``size``, the item's number of words."""
+    """id, pos, n, h, exact, kinds, vals of every window, ``_reach``, the item's number of words, and
+    ``_near``, the end of its last template window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -153,7 +165,8 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
 
     one = items.where("item_id IS NOT NULL").groupBy(F.col("item_id").cast("long").alias("item_id")).agg(F.min("text").alias("text"))
     w = one.mapInArrow(run, _WINDOWS)
-    size = w.groupBy("id").agg(F.max(F.col("pos") + F.col("n")).alias("_reach"))
+    end = F.col("pos") + F.col("n")
+    size = w.groupBy("id").agg(F.max(end).alias("_reach"), F.max(F.when(~F.col("exact"), end)).alias("_near"))
     return w.join(size.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id")).drop("_id")
 
 
@@ -180,25 +193,30 @@ def contaminated(docs: DataFrame, items: DataFrame, min_cover: float = MIN_COVER
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _WINDOWS)
     w = win.select(F.col("id").alias("item_id"), F.col("pos").alias("_ipos"), F.col("n").alias("_in"), F.col("h").alias("_ih"),
-                   F.col("kinds").alias("_ikinds"), F.col("vals").alias("_ivals"), F.col("_reach").alias("item_words"))
+                   F.col("kinds").alias("_ikinds"), F.col("vals").alias("_ivals"), F.col("exact").alias("_iexact"),
+                   F.col("_reach").alias("item_words"), F.col("_near").alias("near_words"))
     # Very many documents may hold one passage: adaptive execution splits their side of this join.
-    met = (found.join(w, (F.col("h") == F.col("_ih")) & (F.col("n") == F.col("_in")) & (F.col("kinds") == F.col("_ikinds")))
-           .select(F.col("id").alias("doc_id"), "item_id", "item_words", (F.col("pos") - F.col("_ipos")).alias("delta"),
+    met = (found.join(w, (F.col("h") == F.col("_ih")) & (F.col("n") == F.col("_in")) & (F.col("exact") == F.col("_iexact"))
+                      & (F.col("kinds") == F.col("_ikinds")))
+           .select(F.col("id").alias("doc_id"), "item_id", "item_words", "near_words", "exact", (F.col("pos") - F.col("_ipos")).alias("delta"),
                    F.explode(F.arrays_zip(F.sequence(F.col("_ipos"), F.col("_ipos") + F.col("n") - 1).alias("at"),
                                           F.col("kinds").alias("kind"), F.col("vals").alias("mine"), F.col("_ivals").alias("its"))).alias("x")))
-    met = cut(met.select("doc_id", "item_id", "item_words", "delta", "x.*").distinct(), "bench-met")
+    met = cut(met.select("doc_id", "item_id", "item_words", "near_words", "exact", "delta", "x.*").distinct(), "bench-met")
     slot = F.col("kind").isin(int(_NUM), int(_UNIT), int(_NAME))
     run_key = ["doc_id", "item_id", "delta"]
     runs = met.groupBy(*run_key).agg(
         F.count_distinct(F.when(slot, F.struct("mine", "its"))).alias("_pairs"),
-        F.count_distinct(F.when(slot, F.col("mine"))).alias("_mine"), F.count_distinct(F.when(slot, F.col("its"))).alias("_its"),
+        F.count_distinct(F.when(slot, F.col("its"))).alias("_its"),
         F.max((slot & (F.col("mine") != F.col("its"))).cast("int")).alias("_other"))
-    good = runs.where("_pairs = _mine AND _pairs = _its").select(*[F.col(c).alias(f"_{c}") for c in run_key], "_other")
+    good = runs.where("_pairs = _its").select(*[F.col(c).alias(f"_{c}") for c in run_key], "_other")
     on = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("item_id") == F.col("_item_id")) & (F.col("delta") == F.col("_delta"))
-    pairs = (met.join(good, on).groupBy("doc_id", "item_id")
-             .agg(F.count_distinct("at").alias("covered"), F.first("item_words").alias("item_words"), F.max("_other").alias("_other")))
+    good = cut(met.join(good, on, "left").where("exact OR _other IS NOT NULL"), "bench-good")
+    pairs = (good.groupBy("doc_id", "item_id")
+             .agg(F.count_distinct("at").alias("covered"), F.first("item_words").alias("item_words"), F.max(F.when(~F.col("exact"), F.col("_other"))).alias("_other"),
+                  F.count_distinct(F.when(~F.col("exact"), F.col("at"))).alias("_covered"), F.first("near_words").alias("_near")))
     return (pairs.withColumn("coverage", F.col("covered") / F.col("item_words"))
-            .where((F.col("coverage") >= min_cover) & (F.col("covered") >= F.least(F.col("item_words"), F.lit(MIN_WORDS))))
+            .where(((F.col("coverage") >= min_cover) & (F.col("covered") >= F.least(F.col("item_words"), F.lit(MIN_WORDS))))
+                   | ((F.col("_covered") / F.col("_near") >= min_cover) & (F.col("_covered") >= F.least(F.col("_near"), F.lit(MIN_WORDS)))))
             .select("doc_id", "item_id", "covered", "item_words", "coverage",
                     F.when(F.col("_other") == 1, "template").otherwise("exact").alias("kind")))
 
