@@ -115,3 +115,17 @@ def test_items_of_few_literals_are_found_word_for_word(spark):
     table, names, short = "total 7 8 9 10 11 12 13 14 15 16", "met Anna Bob Carl 5 Dora 6 Emil 7", "answer 7 8 9"
     docs = [(1, f"see {table} end"), (2, f"see {table} end".replace("1", "2")), (3, f"who {names.lower()} there"), (4, f"the {short} is")]
     assert {k: v.kind for k, v in found(spark, docs, [(1, table), (2, names), (3, short)]).items()} == {(i, j): "exact" for i, j in ((1, 1), (3, 2), (4, 3))}
+
+
+def test_rows_without_an_id_are_told_apart_by_their_text(spark):
+    words = [f"lit{i}" for i in range(40)]
+    docs = [(None, " ".join(words)), (None, "clean text of its own"), (None, " ".join(words[:12])), (None, " ".join(words[12:24])), (None, None)]
+    items = spark.createDataFrame([(1, " ".join(words))], ITEMS)
+    kept = T.clean_documents(spark.createDataFrame(docs, DOCS), items)
+    assert sorted(r.text or "" for r in kept.collect()) == sorted(t or "" for _, t in docs[1:])
+
+
+def test_every_text_of_an_item_counts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(10)) for x in "abc")
+    got = T.clean_documents(spark.createDataFrame([(1, a), (2, b), (3, c), (4, "other")], DOCS), spark.createDataFrame([(1, a), (1, b), (None, c)], ITEMS))
+    assert [r.doc_id for r in got.collect()] == [4]

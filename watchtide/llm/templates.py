@@ -15,8 +15,9 @@ Defined cases: NULL and empty texts and items have no words and no windows; item
 than a window are matched by windows of their own length, if they have a literal; an item
 whose windows are partly word for word is held against the words of its template windows as
 well as against all its words; rows
-that share a doc_id (NULL included) are one document: its runs count together; repeated
-items count as one; an empty table on either side gives no rows; other columns are ignored.
+that share a doc_id are one document: its runs count together; rows without one are a
+document for each text; repeated items count as one, different texts under one item_id
+are items of their own, and so are texts without an item_id unless an item with one has them; an empty table on either side gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchtide.llm.common import chunks, cut, lower_ascii, mix, packed, span_hashes, text_bytes, word_bounds
@@ -117,10 +118,10 @@ def windows(template: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray,
     return at, mix(h[at]), literal[at]
 
 
-_WINDOWS = "id long, pos long, n int, h long, exact boolean, kinds array<long>, vals array<long>"
+_WINDOWS = "pos long, n int, h long, exact boolean, kinds array<long>, vals array<long>"
 
 
-def _window_rows(ids: pa.Array, texts: pa.Array, lengths: list[int], bitmap: np.ndarray | None, window: int) -> pa.RecordBatch:
+def _window_rows(keys: dict[str, pa.Array], texts: pa.Array, lengths: list[int], bitmap: np.ndarray | None, window: int) -> pa.RecordBatch:
     """Windows of all texts (of those the bitmap may hold), with the words they are made of."""
     value, template, doc = template_words(texts)
     first = np.searchsorted(doc, np.arange(len(texts)))
@@ -150,21 +151,25 @@ def _window_rows(ids: pa.Array, texts: pa.Array, lengths: list[int], bitmap: np.
     lists = [pa.ListArray.from_arrays(edges, pa.array(x.view(np.int64))) for x in (kinds, value[words])]
     owner = doc[at]
     return pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(owner)), pa.array(at - first[owner]), pa.array(lens.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(exact), *lists],
-        ["id", "pos", "n", "h", "exact", "kinds", "vals"])
+        [*(k.take(pa.array(owner)) for k in keys.values()), pa.array(at - first[owner]), pa.array(lens.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(exact), *lists],
+        [*keys, "pos", "n", "h", "exact", "kinds", "vals"])
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """id, pos, n, h, exact, kinds, vals of every window, ``_reach``, the item's number of words, and
+    """id (a number for each item's text), item_id, pos, n, h, exact, kinds, vals of every window, ``_reach``, the item's number of words, and
     ``_near``, the end of its last template window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in chunks(whole, "text"):
-                yield _window_rows(b.column("item_id"), b.column("text"), list(range(1, window + 1)), None, window)
-
-    one = items.where("item_id IS NOT NULL").groupBy(F.col("item_id").cast("long").alias("item_id")).agg(F.min("text").alias("text"))
-    w = one.mapInArrow(run, _WINDOWS)
+                yield _window_rows({"id": b.column("id"), "item_id": b.column("item_id")}, b.column("text"), list(range(1, window + 1)), None, window)
+
+    texts = items.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    named = texts.where("item_id IS NOT NULL")
+    unnamed = texts.where("item_id IS NULL").join(named.select(F.col("text").alias("_text")), F.col("text") == F.col("_text"), "left_anti")
+    # Written, so that the numbers stay what they are.
+    one = cut(named.unionByName(unnamed).withColumn("id", F.monotonically_increasing_id()), "bench-items")
+    w = one.mapInArrow(run, "id long, item_id long, " + _WINDOWS)
     end = F.col("pos") + F.col("n")
     size = w.groupBy("id").agg(F.max(end).alias("_reach"), F.max(F.when(~F.col("exact"), end)).alias("_near"))
     return w.join(size.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id")).drop("_id")
@@ -181,48 +186,59 @@ def _bitmap(win: DataFrame) -> tuple[np.ndarray, list[int]]:
     return full.view(np.uint8), lengths
 
 
+def _own(doc_id: str, text: str) -> Column:
+    """What tells documents without an id apart: their text, by its digest."""
+    return F.when(F.col(doc_id).isNull(), F.coalesce(F.sha2(text, 256), F.lit(""))).otherwise(F.lit(""))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, min_cover: float = MIN_COVER, window: int = WINDOW) -> DataFrame:
     """doc_id, item_id, covered, item_words, coverage, kind (``exact``, or ``template`` if a slot differs)."""
+    return _contaminated(docs, items, min_cover, window).drop("own")
+
+
+def _contaminated(docs: DataFrame, items: DataFrame, min_cover: float = MIN_COVER, window: int = WINDOW) -> DataFrame:
     win = cut(item_windows(items, window), "bench-windows")
     bitmap, lengths = _bitmap(win)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in chunks(whole, "text"):
-                yield _window_rows(b.column("doc_id"), b.column("text"), lengths, bitmap, window)
+                yield _window_rows({"id": b.column("doc_id"), "own": b.column("own")}, b.column("text"), lengths, bitmap, window)
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _WINDOWS)
-    w = win.select(F.col("id").alias("item_id"), F.col("pos").alias("_ipos"), F.col("n").alias("_in"), F.col("h").alias("_ih"),
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _own("doc_id", "text").alias("own"))
+    found = found.mapInArrow(run, "id long, own string, " + _WINDOWS)
+    w = win.select(F.col("id").alias("item"), "item_id", F.col("pos").alias("_ipos"), F.col("n").alias("_in"), F.col("h").alias("_ih"),
                    F.col("kinds").alias("_ikinds"), F.col("vals").alias("_ivals"), F.col("exact").alias("_iexact"),
                    F.col("_reach").alias("item_words"), F.col("_near").alias("near_words"))
     # Very many documents may hold one passage: adaptive execution splits their side of this join.
     met = (found.join(w, (F.col("h") == F.col("_ih")) & (F.col("n") == F.col("_in")) & (F.col("exact") == F.col("_iexact"))
                       & (F.col("kinds") == F.col("_ikinds")))
-           .select(F.col("id").alias("doc_id"), "item_id", "item_words", "near_words", "exact", (F.col("pos") - F.col("_ipos")).alias("delta"),
+           .select(F.col("id").alias("doc_id"), "own", "item", "item_id", "item_words", "near_words", "exact", (F.col("pos") - F.col("_ipos")).alias("delta"),
                    F.explode(F.arrays_zip(F.sequence(F.col("_ipos"), F.col("_ipos") + F.col("n") - 1).alias("at"),
                                           F.col("kinds").alias("kind"), F.col("vals").alias("mine"), F.col("_ivals").alias("its"))).alias("x")))
-    met = cut(met.select("doc_id", "item_id", "item_words", "near_words", "exact", "delta", "x.*").distinct(), "bench-met")
+    met = cut(met.select("doc_id", "own", "item", "item_id", "item_words", "near_words", "exact", "delta", "x.*").distinct(), "bench-met")
     slot = F.col("kind").isin(int(_NUM), int(_UNIT), int(_NAME))
-    run_key = ["doc_id", "item_id", "delta"]
+    run_key = ["doc_id", "own", "item", "delta"]
     runs = met.groupBy(*run_key).agg(
         F.count_distinct(F.when(slot, F.struct("mine", "its"))).alias("_pairs"),
         F.count_distinct(F.when(slot, F.col("its"))).alias("_its"),
         F.max((slot & (F.col("mine") != F.col("its"))).cast("int")).alias("_other"))
     good = runs.where("_pairs = _its").select(*[F.col(c).alias(f"_{c}") for c in run_key], "_other")
-    on = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("item_id") == F.col("_item_id")) & (F.col("delta") == F.col("_delta"))
+    on = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("own") == F.col("_own")) & (F.col("item") == F.col("_item")) & (F.col("delta") == F.col("_delta"))
     good = cut(met.join(good, on, "left").where("exact OR _other IS NOT NULL"), "bench-good")
-    pairs = (good.groupBy("doc_id", "item_id")
-             .agg(F.count_distinct("at").alias("covered"), F.first("item_words").alias("item_words"), F.max(F.when(~F.col("exact"), F.col("_other"))).alias("_other"),
+    pairs = (good.groupBy("doc_id", "own", "item")
+             .agg(F.first("item_id").alias("item_id"), F.count_distinct("at").alias("covered"), F.first("item_words").alias("item_words"), F.max(F.when(~F.col("exact"), F.col("_other"))).alias("_other"),
                   F.count_distinct(F.when(~F.col("exact"), F.col("at"))).alias("_covered"), F.first("near_words").alias("_near")))
     return (pairs.withColumn("coverage", F.col("covered") / F.col("item_words"))
             .where(((F.col("coverage") >= min_cover) & (F.col("covered") >= F.least(F.col("item_words"), F.lit(MIN_WORDS))))
                    | ((F.col("_covered") / F.col("_near") >= min_cover) & (F.col("_covered") >= F.least(F.col("_near"), F.lit(MIN_WORDS)))))
-            .select("doc_id", "item_id", "covered", "item_words", "coverage",
+            .select("doc_id", "own", "item_id", "covered", "item_words", "coverage",
                     F.when(F.col("_other") == 1, "template").otherwise("exact").alias("kind")))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that no item contaminates, with their own columns."""
     # As a table of known size the ids are broadcast if they are few, and the texts stay where they are.
-    bad = cut(contaminated(docs, items, **options).select(F.col("doc_id").alias("bad")).distinct(), "bench-bad")
-    return packed(docs).join(bad, F.col("doc.doc_id").eqNullSafe(F.col("bad")), "left_anti").select("doc.*")
+    bad = cut(_contaminated(docs, items, **options).select(F.col("doc_id").alias("bad"), "own").distinct(), "bench-bad")
+    on = F.col("doc.doc_id").eqNullSafe(F.col("bad")) & (_own("doc.doc_id", "doc.text") == F.col("own"))
+    return packed(docs).join(bad, on, "left_anti").select("doc.*")
