@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from watchtide.llm import (fingerprints, html_text, importance, masked_lm, mixing, sharding,
-                           simhash_ring, templates, url_trust, warc)
+from watchtide.llm import (conversations, fingerprints, html_text, importance, masked_lm, mixing, packing,
+                           sharding, simhash_ring, spelling, templates, url_trust, warc)
 from watchtide.llm.common import table
 
 DOC = ("doc_id", "text")
@@ -25,6 +25,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_block_rules": lambda s, d: html_text.op8_extract(table(s, d, "pages")),
         "op9_link_trust": lambda s, d: url_trust.op9_filter(table(s, d, "pages")),
         "op10_hash_threshold_mix": lambda s, d: mixing.op10_mix(table(s, d, "documents", *DOC, "source")),
+        "op11_window_packing": lambda s, d: packing.op11_pack(table(s, d, "documents", *DOC)),
+        "op12_spelling_variants": lambda s, d: spelling.op12_variants(table(s, d, "documents", *DOC)),
+        "op13_conversation_repair": lambda s, d: conversations.op13_repair(table(s, d, "conversations")),
     }
 
 
