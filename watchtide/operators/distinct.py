@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 GROUP = ("title_id", "country_code")
@@ -114,3 +114,71 @@ def key_skew(df: DataFrame, key: str) -> DataFrame:
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     mean = counts.select(F.avg("n")).scalar()
     return counts.withColumn("ratio_to_mean", F.col("n") / mean)
+
+
+# ---- exact counts that can be summed up again ------------------------------------------
+
+def dense_ids(values: DataFrame, col: str, known: DataFrame | None = None, parts: int = 4096) -> DataFrame:
+    """(value, id): a dictionary of a column's distinct values, ids from 0 without gaps.
+
+    Values are counted by hash bucket, and a bucket's ids begin where the smaller buckets' end, so no
+    task numbers more than one bucket. ``known`` is an earlier dictionary: its ids stay, and new values
+    go on from its greatest. NULL has no id.
+    """
+    v = values.filter(F.col(col).isNotNull()).select(F.col(col).alias("value")).distinct()
+    start = F.lit(0)
+    if known is not None:
+        v = v.join(known.select("value"), "value", "left_anti")
+        start = F.coalesce(known.agg(F.max("id") + 1).scalar(), F.lit(0))
+    v = v.withColumn("_part", F.pmod(F.xxhash64("value"), F.lit(parts)))
+    sizes = v.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # parts rows at most, whatever the number of values
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    at = F.row_number().over(Window.partitionBy("_part").orderBy("value")) - 1
+    new = (v.withColumn("_at", at).join(sizes, F.col("_part") == F.col("_p"))
+           .select("value", (start + F.col("_base") + F.col("_at")).cast("long").alias("id")))
+    return new if known is None else known.select("value", "id").unionByName(new)
+
+
+def distinct_bitmaps(df: DataFrame, keys, user: str = "user_id", ids: DataFrame | None = None) -> DataFrame:
+    """(keys, bucket, bits, events): the users of each group as bitmaps, one per 32,768 ids, and its rows.
+
+    ``ids`` is the dictionary of ``user``; without it the column holds dense ids itself. Bits are
+    set per task before the shuffle. The group's rows are counted in its bitmaps and once more
+    in a row without one, for users without an id.
+    """
+    rows = df
+    if ids is not None:
+        rows = df.join(ids.select(F.col("value").alias("_value"), F.col("id").alias("_id")), F.col(user) == F.col("_value"), "left")
+    i = F.col("_id") if ids is not None else F.col(user)
+    return rows.groupBy(*keys, F.bitmap_bucket_number(i).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(i)).alias("bits"), F.count(F.lit(1)).alias("events"))
+
+
+def merge_bitmaps(bitmaps: DataFrame, keys) -> DataFrame:
+    """Bitmaps of coarser ``keys``: exact again, unlike merged HLL sketches in their error."""
+    return bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"), F.sum("events").alias("events"))
+
+
+def count_bitmaps(bitmaps: DataFrame, keys) -> DataFrame:
+    """Distinct users and events per group from its bitmaps."""
+    users = F.when(F.col("bucket").isNotNull(), F.bitmap_count("bits")).otherwise(0)
+    return bitmaps.groupBy(*keys).agg(F.sum(users).alias("distinct_users"), F.sum("events").alias("events"))
+
+
+# ---- frequent keys in one pass -----------------------------------------------------------
+
+def frequent_sketch(df: DataFrame, key: str, keys=(), items: int = 1000) -> DataFrame:
+    """A mergeable sketch of the most frequent keys per group, in one pass: at most ``items`` counters each."""
+    return df.groupBy(*keys).agg(F.expr(f"approx_top_k_accumulate({key}, {int(items)})").alias("sketch"))
+
+
+def frequent_keys(sketches: DataFrame, key: str, k: int = 100, items: int = 1000) -> DataFrame:
+    """(key, n): the ``k`` most frequent keys of all sketches together, estimated.
+
+    No estimate is too large by more than rows / items; ``salted_join`` takes the keys for ``hot``
+    (any set of keys gives it the same rows).
+    """
+    one = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {int(items)})").alias("sketch"))
+    return one.select(F.inline(F.expr(f"approx_top_k_estimate(sketch, {int(k)})"))).toDF(key, "n")

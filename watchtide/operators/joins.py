@@ -9,7 +9,7 @@ over salts taken from a column's hash, which retried tasks draw again.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchtide.config import DEFAULT_BROADCAST_BYTES
@@ -105,3 +105,53 @@ def asof_dim_join(fact: DataFrame, dim: DataFrame, key: str = "title_id",
         d = {"auto": lambda x: x, "merge": lambda x: x.hint("merge"), "broadcast": broadcast_if_small}[strategy](d)
         out = fact.join(d, (fact[key] == d[f"_d_{key}"]) & valid, how)
     return out.select(*fact.columns, *named)
+
+
+def asof_merged(fact: DataFrame, dim: DataFrame, key: str = "title_id", date_col: str = "session_date",
+                dim_cols=("title_sk",), how: str = "left", block_days: int = 32, salts: int = 1, salt_cols=(),
+                valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+    """As-of join by merged order: what ``asof_dim_join`` gives where a key has very many versions.
+
+    Facts and versions of a key are put in one order of dates, and each fact takes the last
+    version before it: work is linear, where a join on the key meets every fact with every
+    version. Keys are cut into blocks of ``block_days``, so that one key is many tasks; the
+    version that is open when a block begins is found among the key's versions and the
+    blocks its facts lie in (no fact moves for that) and joins the block as a row. ``salts`` spreads a
+    block's facts further, by a hash of ``salt_cols``, and repeats its versions. Versions of a key must
+    not overlap; a fact in a gap between them, or without a key or date, has none.
+    """
+    keep = [c for c in dim_cols if c not in (key, valid_from, valid_to)]
+    named = [key, valid_from, valid_to, *keep]
+    block = lambda d: F.floor(F.datediff(d, F.lit("1970-01-01").cast("date")) / block_days)
+    begins = F.expr(f"date_add(DATE'1970-01-01', CAST(_block * {int(block_days)} AS INT))")
+    version = F.struct(*[F.col(c).alias(c) for c in named])
+
+    f = fact.select(F.struct(*[F.col(f"`{c}`") for c in fact.columns]).alias("_fact"), F.col(key).alias("_key"), F.to_date(date_col).alias("_date"))
+    f = f.withColumn("_block", block(F.col("_date")))
+    findable = F.col("_key").isNotNull() & F.col("_date").isNotNull()
+    v = dim.filter(F.col(key).isNotNull() & F.col(valid_from).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(valid_from).alias("_date"), version.alias("_version"))
+    v = v.withColumn("_block", block(F.col("_date")))
+
+    # what is open at the start of each block: versions and one mark per block, in order
+    marks = f.filter(findable).select("_key", "_block").distinct().withColumn("_date", begins)
+    past = Window.partitionBy("_key").orderBy("_date", F.col("_version").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    both = marks.unionByName(v.drop("_block"), allowMissingColumns=True)
+    opened = both.withColumn("_open", F.last("_version", ignorenulls=True).over(past))
+    opened = opened.filter("_version IS NULL AND _open IS NOT NULL").select("_key", "_block", "_date", F.col("_open").alias("_version"))
+
+    spread = lambda d: d.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # a version that begins on the first day of a block meets itself as the open one: either will do
+    rows = spread(v.unionByName(opened))
+    mine = f.filter(findable).withColumn("_salt", stable_salt(salts, *[F.col(f"_fact.{c}") for c in salt_cols]) if salts > 1 else F.lit(0))
+    rows = rows.unionByName(mine, allowMissingColumns=True)
+    order = Window.partitionBy("_key", "_block", "_salt").orderBy("_date", F.col("_fact").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    held = rows.withColumn("_held", F.last("_version", ignorenulls=True).over(order)).filter("_fact IS NOT NULL")
+    held = held.withColumn("_held", F.when(F.col("_date") < F.col(f"_held.{valid_to}"), F.col("_held"))).select("_fact", "_held")
+    if how == "left":
+        held = held.unionByName(f.filter(~findable).select("_fact"), allowMissingColumns=True)
+    elif how == "inner":
+        held = held.filter("_held IS NOT NULL")
+    else:
+        raise ValueError(f"unknown join {how!r}")
+    return held.select("_fact.*", *[F.col(f"_held.{c}").alias(c) for c in dim_cols])

@@ -9,7 +9,8 @@ Rules for applying snapshot ``s`` dated ``snap`` to the current versions:
 ``title_sk = xxhash64(title_id BIGINT, snapshot date string)``.
 
 ``scd2_apply`` is the incremental step (one snapshot); ``scd2_rebuild``
-derives the same history declaratively from all snapshots at once.
+derives the same history declaratively from all snapshots at once; ``scd2_splice`` puts
+snapshots that come late into the history there is.
 """
 
 from __future__ import annotations
@@ -96,3 +97,21 @@ def scd2_rebuild(snapshots: DataFrame, snap_col: str = "_snapshot_date") -> Data
     v = v.withColumn("valid_to", F.coalesce(nxt, F.col("valid_to")))
     v = v.withColumn("is_current", F.col("valid_to") == F.lit(dt.date.fromisoformat(HIGH_DATE)))
     return v.select(*DIM_COLS)
+
+
+def scd2_splice(dim: DataFrame, snapshots: DataFrame, late, snap_col: str = "_snapshot_date") -> DataFrame:
+    """The dimension after snapshots dated before its newest have come late.
+
+    ``snapshots`` holds the rows of all applied snapshots and of the ``late`` ones. A late
+    row that equals the version of its date changes nothing. The titles of the others,
+    found by join, get their chain rebuilt from all of their snapshots: a version may begin or end with
+    the late one, be cut in two by it, or begin earlier. All other titles' versions pass.
+    """
+    s = with_attr_hash(snapshots.filter(F.col(snap_col).isin([str(x) for x in late])).select(*TITLE_ATTRS, snap_col))
+    s = s.select(F.col("title_id").cast("long").alias("_t"), F.col("attr_hash").alias("_h"), F.to_date(snap_col).alias("_d"))
+    held = dim.select("title_id", "attr_hash", "valid_from", "valid_to")
+    at = (F.col("_t") == F.col("title_id")) & (F.col("_d") >= F.col("valid_from")) & (F.col("_d") < F.col("valid_to"))
+    touched = (s.join(held, at, "left").filter(F.col("attr_hash").isNull() | (F.col("attr_hash") != F.col("_h")))
+               .select("_t").distinct())
+    chains = scd2_rebuild(snapshots.join(touched, F.col("title_id").cast("long") == F.col("_t"), "left_semi"), snap_col)
+    return dim.join(touched, F.col("title_id") == F.col("_t"), "left_anti").select(*DIM_COLS).unionByName(chains)

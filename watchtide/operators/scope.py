@@ -52,6 +52,14 @@ def in_scope(col: str, lo, hi) -> Column:
                               F.lit(dt.date.fromisoformat(str(hi))))
 
 
+def in_ranges(col: str, ranges) -> Column:
+    """Whether a date lies in one of the ranges; in none of none."""
+    out = F.lit(False)
+    for lo, hi in ranges:
+        out = in_scope(col, lo, hi) | out
+    return out
+
+
 def replace_scope(existing: DataFrame, new: DataFrame, predicate: Column) -> DataFrame:
     """Rows of ``existing`` outside ``predicate``, plus all of ``new``.
 

@@ -508,8 +508,17 @@ def _wrap(fn):
     return run
 
 
+def _more():
+    """The modules that build on this one."""
+    from watchtide.plans import layout_queries, loader_queries
+    return loader_queries, layout_queries
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _wrap(v) for k, v in QUERIES.items()}
+    found = dict(QUERIES)
+    for m in _more():
+        found |= m.QUERIES
+    return {k: _wrap(v) for k, v in found.items()}
 
 
 # ---- oracle SQL -------------------------------------------------------------
@@ -662,4 +671,7 @@ UNION ALL SELECT title_id, NULL, 'stray', true FROM v1 WHERE title_id = 0"""),
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in ORACLE.items() if k in QUERIES}
+    found = dict(ORACLE)
+    for m in _more():
+        found |= m.ORACLE
+    return found

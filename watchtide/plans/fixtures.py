@@ -27,6 +27,8 @@ DEVICE_OS = ["tizen", "android", "ios", "webos", "roku", "windows"]
 
 SNAP_V1 = "2024-01-01"
 SNAP_V2 = "2024-01-16"
+SNAP_MID = "2024-01-08"  # a snapshot between them, for deliveries out of order
+MID_ABSENT, MID_CHANGED = 5, 3  # of its titles, ids that divide by 5 are missing and those by 3 have another year
 HOT_BELOW = 50  # hot_title_id = 0 when k < 50
 RESCUE_EVERY = 97  # event ids divisible by 97 carry rescued data
 REPLAY_EVERY = 50  # event ids divisible by 50 are delivered twice
@@ -114,7 +116,15 @@ def titles_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def _delivered(df: DataFrame, snap: str, part: int, hours: int) -> DataFrame:
+def titles_mid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot between: titles of the first, some missing, some of another year."""
+    changed = F.pmod(F.col("title_id"), F.lit(MID_CHANGED)) == 0
+    return titles_v1(spark, sf_dir).filter(F.pmod(F.col("title_id"), F.lit(MID_ABSENT)) != 0).withColumn(
+        "release_year", F.when(changed, F.col("release_year") + 1).otherwise(F.col("release_year")))
+
+
+def delivered(df: DataFrame, snap: str, part: int = 0, hours: int = 6) -> DataFrame:
+    """Titles as bronze rows of one snapshot's file."""
     t = dt.datetime.fromisoformat(snap) + dt.timedelta(hours=hours)
     return df.withColumns({
         "_source_file": F.lit(f"landing/title/{snap}/part-{part:05d}.json"),
@@ -129,6 +139,6 @@ def bronze_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     v2 = titles_v2(spark, sf_dir)
     again = v2.filter(F.pmod(F.col("title_id"), F.lit(REDELIVER_MOD)) == REDELIVER_REM) \
               .withColumn("title_name", F.concat(F.col("title_name"), F.lit(" (rev)")))
-    return (_delivered(titles_v1(spark, sf_dir), SNAP_V1, 0, 6)
-            .unionByName(_delivered(v2, SNAP_V2, 0, 6))
-            .unionByName(_delivered(again, SNAP_V2, 1, 7)))
+    return (delivered(titles_v1(spark, sf_dir), SNAP_V1, 0, 6)
+            .unionByName(delivered(v2, SNAP_V2, 0, 6))
+            .unionByName(delivered(again, SNAP_V2, 1, 7)))

@@ -122,12 +122,25 @@ CTE["silver_once"] = CTE["silver_titles"].replace("bronze_titles", "bronze_once"
 CTE["hashed_once"] = CTE["hashed_titles"].replace("silver_titles", "silver_once")
 CTE["dim_once"] = CTE["dim"].replace("hashed_titles", "hashed_once")
 
+# And over three, of which the middle one may come last.
+CTE["mid"] = f"""
+  SELECT title_id, title_name, genres, content_type,
+         CASE WHEN title_id % {fx.MID_CHANGED} = 0 THEN release_year + 1 ELSE release_year END AS release_year, runtime_min
+  FROM v1 WHERE title_id % {fx.MID_ABSENT} <> 0"""
+CTE["bronze_three"] = CTE["bronze_once"] + f"""
+  UNION ALL
+  SELECT *, 'landing/title/{fx.SNAP_MID}/part-00000.json', '{fx.SNAP_MID}', TIMESTAMP '{fx.SNAP_MID} 06:00:00' FROM mid"""
+CTE["silver_three"] = CTE["silver_titles"].replace("bronze_titles", "bronze_three")
+CTE["hashed_three"] = CTE["hashed_titles"].replace("silver_titles", "silver_three")
+CTE["dim_three"] = CTE["dim"].replace("hashed_titles", "hashed_three")
+
 DEPS = {
     "hb2": ["hb"], "silver": ["hb"], "silver2": ["hb", "hb2"], "silver2_good": ["hb", "hb2"], "silver_hot": ["hb_hot"],
     "v1": ["attrs"], "v2": ["attrs", "v1"], "bronze_titles": ["attrs", "v1", "v2"],
     "silver_titles": ["attrs", "v1", "v2", "bronze_titles"],
     "hashed_titles": ["attrs", "v1", "v2", "bronze_titles", "silver_titles"],
     "dim": ["attrs", "v1", "v2", "bronze_titles", "silver_titles", "hashed_titles"],
+    "dim_three": ["attrs", "v1", "v2", "mid", "bronze_three", "silver_three", "hashed_three"],
     "dim_once": ["attrs", "v1", "v2", "bronze_once", "silver_once", "hashed_once"],
 }
 

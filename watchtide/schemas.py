@@ -130,6 +130,14 @@ GOLD_FCT_EVENTS = T.StructType([
     T.StructField("playback_position_sec", T.IntegerType()),
 ])
 
+#: Bloom filters of a date's keys, a row per block and write (operators.membership).
+SEEN_KEYS = T.StructType([
+    T.StructField("blocks", T.IntegerType()),
+    T.StructField("block", T.IntegerType()),
+    T.StructField("bits", T.BinaryType()),
+    T.StructField("event_date", T.DateType()),
+])
+
 SCHEMAS = {
     "bronze/playback_heartbeats": BRONZE_HEARTBEAT,
     "bronze/dim_title": BRONZE_TITLE,

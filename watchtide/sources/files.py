@@ -3,7 +3,7 @@ rescued data, lineage and path-derived columns."""
 
 from __future__ import annotations
 
-import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +11,20 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from watchtide.config import SNAPSHOT_PATH_PATTERN
+from watchtide.sources.notes import load_note, save_note
 from watchtide.sources.tables import table_exists
 
 CORRUPT = "_corrupt_record"
 
+#: Landing lines as they were read once: text, lineage and the shape of the line.
+RAW_LINES = T.StructType([
+    T.StructField("value", T.StringType()),
+    T.StructField("_source_file", T.StringType()),
+    T.StructField("_ingest_ts", T.TimestampType()),
+    T.StructField("_shape", T.StringType()),
+    T.StructField("_ingest_date", T.DateType()),
+])
+
 
 def _check_outside(scanned: str, *others: str) -> None:
     """Bookkeeping folders must never sit inside the folder a source scans."""
@@ -41,18 +51,6 @@ def evolve_schema(stored: T.StructType, observed: T.StructType) -> T.StructType:
     return T.StructType(list(stored.fields) + [f for f in observed.fields if f.name not in names])
 
 
-def load_note(spark: SparkSession, store: str) -> dict | None:
-    """A small JSON record kept in shared storage; None if there is none."""
-    if not table_exists(spark, store):
-        return None
-    row = spark.read.text(store).first()
-    return json.loads(row[0]) if row else None
-
-
-def save_note(spark: SparkSession, note: dict, store: str) -> None:
-    spark.createDataFrame([(json.dumps(note),)], "s string").coalesce(1).write.mode("overwrite").text(store)
-
-
 def load_schema(spark: SparkSession, store: str) -> tuple[T.StructType, str | None] | None:
     """The stored schema and the time up to which files were looked at; None without a store."""
     kept = load_note(spark, store)
@@ -97,6 +95,43 @@ def infer_schema(spark: SparkSession, path: str, hints: str | T.StructType | Non
     return schema
 
 
+def shape(value) -> Column:
+    """The schema of one JSON line, as text; NULL for a malformed line."""
+    return F.schema_of_variant(F.try_parse_json(value))
+
+
+#: Type names of variant schemas that a table column names otherwise. Fractions are read as JSON
+#: sources read them; what is NULL everywhere, or differs from line to line, is kept as text.
+_VARIANT_TYPES = [(r"\bOBJECT<", "STRUCT<"), (r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE"), (r"\b(VOID|VARIANT)\b", "STRING")]
+
+
+def _from_variant_schema(spark: SparkSession, text: str | None) -> T.StructType:
+    """A variant schema as a table schema; without fields if the lines hold no objects."""
+    for pattern, name in _VARIANT_TYPES:
+        text = re.sub(pattern, name, text or "")
+    if not text.startswith("STRUCT<") or text == "STRUCT<>":
+        return T.StructType([])
+    return schema_from_ddl(spark, f"v {text}")["v"].dataType
+
+
+def evolve_from_raw(spark: SparkSession, raw: str, hints: T.StructType, store: str) -> T.StructType:
+    """The stored schema with the fields that raw lines since the last look bring; it is stored.
+
+    Lines carry their :func:`shape`, found while they were read from the landing folder. Only
+    that column is read for all lines, and one line per shape is looked into.
+    """
+    kept = load_schema(spark, store)
+    lines = spark.read.schema(RAW_LINES).parquet(raw) if table_exists(spark, raw) else spark.createDataFrame([], RAW_LINES)
+    if kept and kept[1]:
+        lines = lines.filter((F.col("_ingest_date") >= F.to_date(F.lit(kept[1]))) & (F.col("_ingest_ts") > F.lit(kept[1]).cast("timestamp")))
+    shapes = lines.groupBy("_shape").agg(F.min("value").alias("value"), F.max("_ingest_ts").alias("at"))
+    found = shapes.agg(F.schema_of_variant_agg(F.try_parse_json("value")).alias("schema"), F.max("at").cast("string").alias("at")).first()
+    observed = apply_hints(_from_variant_schema(spark, found["schema"]), hints)
+    schema = evolve_schema(kept[0], observed) if kept else observed
+    save_schema(spark, schema, store, found["at"] or (kept[1] if kept else None))
+    return schema
+
+
 def parse_with_rescue(lines: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
     """Parse JSON text lines, keeping what does not fit. Nothing is dropped.
 
