@@ -77,3 +77,9 @@ def test_defined_cases(spark):
     got = H.op8_extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
     assert sorted((r.page_id or 0, r.url, r.text, r.n_chars) for r in got) == [(0, None, "", 0), (1, "u", "a", 1), (1, "u", "a", 1)]
     assert H.op8_extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_a_paragraph_ends_whatever_it_holds():
+    for depth in (0, 1, 7, 8, 9, 50):
+        page = f'<p class="promo">Buy now {"<b>" * depth}very cheap<div>{"The cat sat on the mat and it was the best of all the days. " * 4}</div>'
+        assert H.main_text(page).startswith("The cat sat on the mat"), depth

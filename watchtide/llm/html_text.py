@@ -98,6 +98,7 @@ def blocks(page: str) -> list[Block]:
     """The page's blocks in order, with their text, links and surroundings."""
     out: list[Block] = []
     stack: list[tuple[str, bool, int]] = []  # open elements: tag, bad from here on, article
+    solid: list[str] = []  # those of them that aren't inline
     open_tags: dict[str, int] = {}
     articles = links = at = 0
     current = Block()
@@ -120,6 +121,8 @@ def blocks(page: str) -> list[Block]:
         while stack:
             top = stack.pop()[0]
             open_tags[top] -= 1
+            if top not in _INLINE:
+                solid.pop()
             links -= top == "a"
             if top == tag:
                 break
@@ -146,7 +149,7 @@ def blocks(page: str) -> list[Block]:
             elif breaks:
                 end_block()
             continue
-        if tag in _CLOSES_P and open_tags.get("p") and any(t[0] == "p" for t in stack[-8:]):
+        if tag in _CLOSES_P and solid and solid[-1] == "p":  # however many inline elements it holds
             pop("p")
         bad, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
         marked = _marked_bad(tag, attrs, article > 0)
@@ -162,6 +165,8 @@ def blocks(page: str) -> list[Block]:
             at = end.end() if end else len(page)
             continue
         stack.append((tag, bad or marked, article))
+        if breaks:
+            solid.append(tag)
         open_tags[tag] = open_tags.get(tag, 0) + 1
         links += tag == "a"
         if breaks or marked:
