@@ -77,3 +77,21 @@ def test_defined_cases(spark):
     assert kinds == [(0, 0, "response", 0), (0, 200, "revisit", 5), (3, 5, "response", 0), (4, 5, "response", 0), (5, 200, "response", 0),
                      (5, 200, "revisit", 5), (7, 600_000, "response", 0), (9, 600_000, "revisit", 7)]
     assert X.op1_warc(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_archives_of_many_members_and_broken_ones(spark, tmp_path):
+    import gzip
+
+    records = [b for i in range(5) for b in X.page_records(f"urn:page:{i}:0", f"http://a/{i}", bytes([65 + i]) * 300, "d", None, 8192)]
+    members = [gzip.compress(r + X.END.encode()) for r in records]
+    (tmp_path / "part-0.gz").write_bytes(b"".join(members))
+    found = X.read_warc(spark, str(tmp_path)).collect()
+    assert sorted(bytes(r.payload) for r in found) == [bytes([65 + i]) * 300 for i in range(5)] and all(r.complete for r in found)
+    assert X.unpacked(members[0] + b"\0" * 512) == records[0] + X.END.encode() and X.unpacked(b"") == b""
+    with pytest.raises(ValueError):
+        X.unpacked(b"".join(members)[:-9])
+
+
+def test_header_fields_with_and_without_a_space():
+    [(fields, block)] = X.parse(b"WARC/1.0\r\nWARC-Type:response\r\nContent-Length:  3 \r\nX: a:b\r\n\r\nabc\r\n\r\n")
+    assert fields == {"warc-type": "response", "content-length": "3", "x": "a:b"} and block == b"abc"

@@ -117,13 +117,25 @@ def write_warc(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES)
      .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path))
 
 
+def unpacked(content: bytes) -> bytes:
+    """The bytes of a gzip file of any number of members; ValueError if the last isn't whole."""
+    out = []
+    while content.strip(b"\0"):
+        member = zlib.decompressobj(31)
+        out.append(member.decompress(content))
+        if not member.eof:
+            raise ValueError("an archive ends within a member")
+        content = member.unused_data
+    return b"".join(out)
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields (names in lower case) and block of every record of an archive's bytes."""
     at = 0
     while (at := data.find(b"WARC/", at)) >= 0:
         end = data.index(END.encode(), at)
-        fields = dict(x.split(": ", 1) for x in data[at:end].decode().split("\r\n")[1:])
-        fields = {k.lower(): v for k, v in fields.items()}
+        lines = (x.partition(":") for x in data[at:end].decode(errors="replace").split("\r\n")[1:])
+        fields = {k.strip().lower(): v.strip() for k, _, v in lines}
         start = end + 4
         at = start + int(fields["content-length"])
         yield fields, data[start:at]
@@ -143,7 +155,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
             (pa.string(),) * 6 + (pa.int32(), pa.int64(), pa.binary()), strict=True)])
         for b in batches:
             for name, content in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                data = zlib.decompressobj(31).decompress(content) if name.endswith(".gz") else content
+                data = unpacked(content) if name.endswith(".gz") else content
                 rows, size = [], 0
                 for f, block in parse(data):
                     bare = lambda k, f=f: f[k].strip("<>") if k in f else None
