@@ -23,7 +23,7 @@ def rule_of(host, path):
     return max(fits)[1:] if fits else (None, None)
 
 
-def plain_rank(edges, seeds, damping=0.85, rounds=10):
+def plain_rank(edges, seeds, damping=0.85, rounds=200):
     total = sum(seeds.values()) or 1.0
     start = {h: m / total for h, m in seeds.items()}
     out = {}
@@ -94,5 +94,14 @@ def test_hosts_paths_and_rules(spark, url, host, path, rule):
     assert (r.host, r.path, r.rule) == (host, path, rule)
 
 
+def test_distrust_reaches_a_long_chain_of_hosts(spark):
+    """Thirty hosts, each linking to the next without naming a scheme; only the last is known to be bad."""
+    chain = [f"h{i}.org" for i in range(30)]
+    pages = [(i, f"http://{h}/", [f"//{n}/x"]) for i, (h, n) in enumerate(zip(chain, [*chain[1:], "bad.net"]))]
+    pages += [(100, "http://bad.net/fr/", []), (101, "http://apart.org/", ["/local", "https:/no", "mailto:a@b.net"])]
+    got = {r[0]: r[4] for r in result(spark, pages)}
+    assert got == {i: "block" for i in range(30)} | {100: "block", 101: "allow"}
+
+
 def test_empty_table(spark):
     assert U.op9_filter(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []

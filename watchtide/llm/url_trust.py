@@ -21,7 +21,7 @@ from watchtide.llm.common import cut, discard
 #: (host, path, verdict), as the filter's owner gives them.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block")]
-_ABSOLUTE = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*([a-z][a-z0-9+.-]*://[^"'\s>]*)"""
+_ABSOLUTE = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]*)"""
 
 
 def _ascii_lower(c: Column) -> Column:
@@ -51,14 +51,19 @@ def host_edges(pages: DataFrame) -> DataFrame:
     """src, dst, n: links from pages of one host to another host."""
     links = pages.select(F.col("host").alias("src"),
                          F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_ABSOLUTE), 1)).alias("_url"))
-    return (links.select("src", host_of(F.col("_url")).alias("dst"))
+    # a link may leave the scheme to the page
+    whole = F.when(F.col("_url").startswith("//"), F.concat(F.lit("x:"), "_url")).otherwise(F.col("_url"))
+    return (links.select("src", host_of(whole).alias("dst"))
             .where("src <> '' AND dst <> '' AND src <> dst")
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
     """Personalised PageRank over src -> dst (weight n) from seeds (host, mass): host, score.
 
+    Rounds end when all scores together change by less than ``tolerance``. Each round
+    changes them by at most ``damping`` times the round before, so that comes after about
+    log(tolerance) / log(damping) rounds at the latest, however long the ways between hosts are.
     Mass of hosts without links out goes back to the seeds by leaving it out: only
     comparisons of scores from equally treated graphs are used.
     """
@@ -68,19 +73,23 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -
     steps = cut(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("out")).alias("share")), "trust-steps")
     score = start.select("host", F.col("start").alias("score"))
     kept = None
-    for _ in range(rounds):
+    while True:
         moved = (steps.join(score, steps["src"] == score["host"])
                  .groupBy("dst").agg((F.sum(F.col("share") * F.col("score")) * damping).alias("score"))
                  .select(F.col("dst").alias("host"), "score"))
         jump = start.select("host", (F.col("start") * (1 - damping)).alias("score"))
         new = cut(moved.unionByName(jump).groupBy("host").agg(F.sum("score").alias("score")), "trust-score")
+        old = score.select(F.col("host").alias("_old"), F.col("score").alias("_was"))
+        both = new.join(old, F.col("host") == F.col("_old"), "full")
+        change = both.agg(F.sum(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("_was", F.lit(0.0))))).first()[0] or 0.0
         if kept is not None:
             discard(edges.sparkSession, kept)
         score = kept = new
-    return score
+        if change < tolerance:
+            return score
 
 
-def host_verdicts(judged: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 10,
+def host_verdicts(judged: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6,
                   factor: float = 1.0) -> DataFrame:
     """host, trust, distrust, host_verdict for every host of ``judged`` (host, verdict) and of the links."""
     per_host = judged.where("host <> ''").groupBy("host").agg(
@@ -89,9 +98,9 @@ def host_verdicts(judged: DataFrame, edges: DataFrame, damping: float = 0.85, ro
     per_host = cut(per_host.na.fill(0.0, ["good", "bad"]), "trust-hosts")
     good = per_host.where("good > 0").select("host", F.col("good").alias("mass"))
     bad = per_host.where("bad > 0").select("host", F.col("bad").alias("mass"))
-    trust = propagate(edges, good, damping, rounds).withColumnRenamed("score", "trust")
+    trust = propagate(edges, good, damping, tolerance).withColumnRenamed("score", "trust")
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
-    distrust = propagate(back, bad, damping, rounds).withColumnRenamed("score", "distrust")
+    distrust = propagate(back, bad, damping, tolerance).withColumnRenamed("score", "distrust")
     both = trust.join(distrust, "host", "full").na.fill(0.0, ["trust", "distrust"])
     blocked = F.round(F.col("distrust") - F.col("trust") * factor, 12) > 0  # the order of sums must not decide
     return both.select("host", "trust", "distrust", F.when(blocked, "block").otherwise("allow").alias("host_verdict"))
