@@ -6,8 +6,9 @@ only that bucket is summed again by the next bits of the hash. What lies below t
 threshold is taken; nothing is sorted.
 
 Defined cases: a NULL text has size 0; a NULL source is a source of its own, last in
-order; documents with the same id, text and source share one hash and are taken or
-left together; an empty table gives an empty result; columns other than those named in
+order; rows with the same id, text and source share the leading bits of their hash but not the last,
+which come from the row's place in the table, so that as many of them are taken as are needed (which
+ones makes no difference); an empty table gives an empty result; columns other than those named in
 the docstrings are ignored by :func:`op10_mix` and kept by :func:`mixed_documents`.
 """
 
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from watchtide.llm.common import cut, packed, slots, word_array
 
 BITS = 12  # of the hash, for each level of histogram
-LEVELS = 3
+LEVELS = 5
+CONTENT_BITS = 36  # of the hash, from id and text; those below tell equal rows apart
 
 
 def waterfill(sources: DataFrame, weight: Column, max_repeats: float) -> DataFrame:
@@ -98,19 +100,28 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select("source", "_below")
 
 
-def hashed(docs: DataFrame, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), docs["doc_id"], F.coalesce(docs["text"], F.lit("")))
+def hashed(seed: int, doc_id: str, text: str, row: str) -> Column:
+    """Leading bits from the document, the others from the row."""
+    low = (1 << (64 - CONTENT_BITS)) - 1
+    content = F.xxhash64(F.lit(seed), F.col(doc_id), F.coalesce(F.col(text), F.lit("")))
+    return content.bitwiseAND(~low).bitwiseOR(F.xxhash64(F.lit(seed), F.col(row)).bitwiseAND(low))
 
 
-def source_plan(docs: DataFrame, cycle: int = 3, max_repeats: float = 3.0, seed: int = 11) -> tuple[DataFrame, DataFrame]:
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows as ``doc``, with a number ``row``."""
+    return packed(docs).withColumn("row", F.monotonically_increasing_id())
+
+
+def source_plan(rows: DataFrame, cycle: int = 3, max_repeats: float = 3.0, seed: int = 11) -> tuple[DataFrame, DataFrame]:
     """Sized rows (doc_id, source, size, _h), and per source what the mix takes of it.
 
     The second table has source, source_size, target, ``_whole`` (every document is taken
     floor(target / source_size) times) and ``_below`` (and once more if its hash prefix is
     smaller). At most one document's size separates what is taken from the target.
+    ``rows`` are :func:`numbered`.
     """
-    sized = cut(docs.select("doc_id", "source", F.size(word_array(F.col("text"))).cast("long").alias("size"),
-                            hashed(docs, seed).alias("_h")), "mix-sizes")
+    sized = cut(rows.select("doc.doc_id", "doc.source", F.size(word_array(F.col("doc.text"))).cast("long").alias("size"),
+                            hashed(seed, "doc.doc_id", "doc.text", "row").alias("_h")), "mix-sizes")
     src = cut(sources_of(sized, cycle, max_repeats), "mix-targets")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     src = src.withColumn("_whole", whole)
@@ -138,16 +149,17 @@ def taken_copies(rows: DataFrame, plan: DataFrame, salt: int) -> DataFrame:
 
 def op10_mix(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken (words the mix takes of the document), copies, source."""
-    sized, plan = source_plan(docs, **options)
+    sized, plan = source_plan(numbered(docs), **options)
     return taken_copies(sized, plan, slots(docs.sparkSession)).select(
         "doc_id", "size", F.col("_plan_source_size").alias("source_size"), F.col("_plan_target").alias("target"),
         (F.col("size") * F.col("_copies")).alias("taken"), F.col("_copies").alias("copies"), "source")
 
 
 def mixed_documents(docs: DataFrame, seed: int = 11, **options) -> DataFrame:
-    """The documents as often as the mix takes them, with their own columns; texts are not moved."""
-    _, plan = source_plan(docs, seed=seed, **options)
-    rows = packed(docs, "source", hashed(docs, seed).alias("_h"))
+    """The documents as often as the mix takes them, with their own columns; texts are not shuffled."""
+    rows = cut(numbered(docs), "mix-rows")  # the numbers of both passes must be the same
+    _, plan = source_plan(rows, seed=seed, **options)
+    rows = rows.select("doc", F.col("doc.source").alias("source"), hashed(seed, "doc.doc_id", "doc.text", "row").alias("_h"))
     rows = taken_copies(rows, plan, slots(docs.sparkSession))
     copies = F.explode(F.expr("filter(sequence(0, cast(_copies as int)), i -> i > 0)")).alias("_copy")
     return rows.select("doc", copies).select("doc.*")
