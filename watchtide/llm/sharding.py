@@ -36,7 +36,11 @@ def assign_shards(rows: DataFrame, shards: int, seed: int = 17) -> DataFrame:
     """
     cols = rows.columns
     tie = [F.col(c) for c in ["size", "text_crc32", *cols] if c not in ("doc_id", "source")]
-    h = cut(rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "size", "text_crc32")), "shard-rows")
+    h = cut(rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "size", "text_crc32")).withColumn("_row", F.monotonically_increasing_id()), "shard-rows")
+    # Rows equal in all of these share a hash. Where they are many, their place in the table spreads them.
+    many = cut(h.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > ROWS_PER_BUCKET).select(F.col("_h").alias("_many")), "shard-many")
+    spread = F.when(F.col("_many").isNull(), F.col("_h")).otherwise(F.xxhash64(F.lit(seed), "_h", "_row"))
+    h = h.join(many, F.col("_h") == F.col("_many"), "left").withColumn("_h", spread).drop("_many", "_row")
     total = h.count()
     buckets = _buckets(total)
     bits = buckets.bit_length() - 1
