@@ -72,7 +72,7 @@ def test_held_out_documents_are_told_apart(spark):
     fine = [weight[i] for i, q in test.items() if q == 1]
     right = sum(a > b for a in fine for b in bad) / (len(fine) * len(bad))
     assert right > 0.99
-    kept = {r.doc_id for r in I.resample(docs, train).collect()}
+    kept = {r.doc_id for r in I.resample(docs, train, errors=4.0).collect()}
     gone = [q for i, q in test.items() if i not in kept]
     assert gone and not any(gone)
 
@@ -98,3 +98,12 @@ def test_stage_and_query_drop_labelled_bad_documents_however_few_the_labels(spar
         assert sum(q == 0 and i in kept for i, q in quality.items()) <= stay
         assert all(i in kept for i, q in quality.items() if q == 1)
         assert len(kept) < docs.count()
+
+
+def test_rows_without_an_id_draw_for_themselves(spark):
+    docs = spark.createDataFrame([(None, f"text {i}") for i in range(500)] + [(2**53 + 1, "x"), (2**53, "y")], "doc_id long, text string")
+    w = I.weights(docs, np.zeros(I.BUCKETS), 23).collect()
+    assert len({r.key for r in w if r.doc_id is None}) > 490
+    raw, good = I.ngram_counts(docs, np.array([2**53 + 1]))
+    x, _ = I.features(pa.array(["x"]))
+    assert good.sum() == len(x) and raw.sum() > good.sum()

@@ -80,9 +80,10 @@ def ngram_counts(docs: DataFrame, targets: np.ndarray) -> tuple[np.ndarray, np.n
         for whole in batches:
             for b in chunks(whole, "text"):
                 grams, doc = features(b.column("text"))
-                ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+                has = b.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+                ids = b.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
                 raw += np.bincount(grams, minlength=BUCKETS)
-                good += np.bincount(grams[np.isin(ids, targets)[doc]], minlength=BUCKETS)
+                good += np.bincount(grams[(has & np.isin(ids, targets))[doc]], minlength=BUCKETS)
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, raw[some], good[some])], ["b", "raw", "good"])
 
@@ -120,7 +121,7 @@ def weights(rows: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
             out.append(np.bincount(doc, ratio[grams], minlength=b.num_rows))
         return pa.array(np.concatenate(out).astype(float))
 
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")), 11) + 0.5) / float(1 << 53)
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.when(F.col("doc_id").isNull(), F.col("text"))), 11) + 0.5) / float(1 << 53)
     key = F.col("log_weight") - F.log(-F.log(u))
     return rows.withColumn("log_weight", score("text")).withColumn("key", F.round(key * _SCALE).cast("long"))
 
@@ -180,14 +181,14 @@ def _bar(docs: DataFrame, labels: DataFrame, errors: float, seed: int) -> tuple[
     return ratio, w, kth_largest(w, "key", min(rows, math.ceil(rows * share)))
 
 
-def resample(docs: DataFrame, labels: DataFrame, errors: float = 4.0, seed: int = 23) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, errors: float = 0.0, seed: int = 23) -> DataFrame:
     """The sampled documents: doc_id, log_weight, gumbel_key."""
     _, w, bar = _bar(docs, labels, errors, seed)
     kept = w if bar is None else w.where(F.col("key") >= bar)
     return kept.select("doc_id", F.round("log_weight", 6).alias("log_weight"), (F.col("key") / float(_SCALE)).alias("gumbel_key"))
 
 
-def kept_documents(docs: DataFrame, labels: DataFrame, errors: float = 4.0, seed: int = 23) -> DataFrame:
+def kept_documents(docs: DataFrame, labels: DataFrame, errors: float = 0.0, seed: int = 23) -> DataFrame:
     """The documents that the sample holds, with their own columns.
 
     Rows are held against the k-th key where they are read: weighing them again costs less
