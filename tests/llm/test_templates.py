@@ -37,8 +37,8 @@ def test_other_numbers_and_names_are_caught_if_consistent(spark):
     docs = [(1, "intro " * 30 + Q.replace("5", "8").replace("Ann", "Sue").replace("km", "miles") + " outro" * 9),
             (2, Q.replace("5", "8", 1)), (3, "Tom has apples. " * 20), (4, Q.upper()), (5, "x " + Q + " y " + Q)]
     got = found(spark, docs, [(9, Q)])
-    assert {k: v.kind for k, v in got.items()} == {(1, 9): "template", (5, 9): "exact"} | ({(4, 9): got[4, 9].kind} if (4, 9) in got else {})
-    assert (2, 9) not in got  # 5 goes with 8 in one place and with 5 in another
+    assert {k: v.kind for k, v in got.items()} == {(1, 9): "template", (2, 9): "exact", (5, 9): "exact"} | ({(4, 9): got[4, 9].kind} if (4, 9) in got else {})
+    assert got[2, 9].covered == got[2, 9].item_words - 1  # 5 goes with 8 in one place and with 5 in another: only the 8 is not covered
     assert got[5, 9].coverage >= 0.95  # within a sentence its first word is taken for a name
 
 
@@ -129,3 +129,27 @@ def test_every_text_of_an_item_counts(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(10)) for x in "abc")
     got = T.clean_documents(spark.createDataFrame([(1, a), (2, b), (3, c), (4, "other")], DOCS), spark.createDataFrame([(1, a), (1, b), (None, c)], ITEMS))
     assert [r.doc_id for r in got.collect()] == [4]
+
+
+def test_one_number_edited_of_two_equal_ones(spark):
+    words = [f"lit{i}" for i in range(37)]
+    item = " ".join([*words[:10], "77", *words[10:25], "77", *words[25:]])
+    edited = item.replace("77", "78", 1)
+    other = item.replace("77", "78")
+    got = found(spark, [(1, item), (2, edited), (3, other), (4, item + " and more " + other)], [(1, item)])
+    assert {k[0]: (v.kind, v.covered) for k, v in got.items()} == {1: ("exact", 39), 2: ("exact", 38), 3: ("template", 39), 4: ("exact", 39)}
+    numbers = "if 3 of 9 boxes hold 4 of 7 balls then 5 of 8 hold 2 of 6"
+    changed = "if 13 of 19 boxes hold 14 of 17 balls then 15 of 18 hold 12 of 16"
+    torn = "if 3 of 9 boxes hold 4 of 7 balls then 5 of 8 hold 2 of 6".replace("3", "5")
+    got = found(spark, [(1, numbers), (2, changed), (3, torn)], [(1, numbers)])
+    assert got[1, 1].kind == "exact" and (2, 1) in got and (3, 1) in got
+
+
+def test_a_passage_of_many_items_and_documents_stays_linear(spark):
+    """Windows that many items share with many documents go before words are told apart."""
+    shared = "please read the following text and answer it"
+    rng = random.Random(3)
+    items = [(i, shared + " " + " ".join(f"i{i}w{rng.randrange(10**6)}" for _ in range(30))) for i in range(60)]
+    docs = [(i, shared + f" doc{i} " * 10) for i in range(60)] + [(100 + i, t) for i, t in items[:5]]
+    got = found(spark, docs, items)
+    assert set(got) == {(100 + i, i) for i in range(5)}

@@ -4,12 +4,13 @@ Words become literals (letters and digits only, lower case) or typed placeholder
 numbers, units after a number, and names (capitalised words that neither start a sentence
 or line nor stand in a heading). Windows of template words are joined by hash between benchmark items and
 documents; the matched windows of a document and an item at one offset form a run. In a
-run every placeholder's value in the item must go with one value in the document (two values
-of the item may go with the same), so that a question with other numbers and names is caught
-and a chance likeness of templates is not. Windows of an item with fewer literals than
-placeholders, such as rows of numbers, are looked up word for word instead, and count
-whatever the rest of their run is like. A document is contaminated by an item if consistent runs cover at
-least ``min_cover`` of the item's words, and ``MIN_WORDS`` of them or all.
+run each placeholder's value in the item must go with one value in the document (two values
+of the item may go with the same): a question with other numbers and names is then covered as
+a whole, while a value that goes with several covers only where the document has it too.
+Words equal to the item's are covered whatever the slots around them do. Windows of an item with fewer literals than
+placeholders, such as rows of numbers, are looked up word for word instead. A document is contaminated by an item
+if the words covered are at least ``min_cover`` of the item's words, and ``MIN_WORDS`` of them or all; ``kind`` is
+``exact`` if words equal to the item's cover all that is covered, else ``template``.
 
 Defined cases: NULL and empty texts and items have no words and no windows; items shorter
 than a window are matched by windows of their own length, if they have a literal; an item
@@ -192,7 +193,7 @@ def _own(doc_id: str, text: str) -> Column:
 
 
 def contaminated(docs: DataFrame, items: DataFrame, min_cover: float = MIN_COVER, window: int = WINDOW) -> DataFrame:
-    """doc_id, item_id, covered, item_words, coverage, kind (``exact``, or ``template`` if a slot differs)."""
+    """doc_id, item_id, covered, item_words, coverage, kind (``exact``, or ``template`` if some words are covered by a slot that differs)."""
     return _contaminated(docs, items, min_cover, window).drop("own")
 
 
@@ -211,29 +212,42 @@ def _contaminated(docs: DataFrame, items: DataFrame, min_cover: float = MIN_COVE
                    F.col("kinds").alias("_ikinds"), F.col("vals").alias("_ivals"), F.col("exact").alias("_iexact"),
                    F.col("_reach").alias("item_words"), F.col("_near").alias("near_words"))
     # Very many documents may hold one passage: adaptive execution splits their side of this join.
-    met = (found.join(w, (F.col("h") == F.col("_ih")) & (F.col("n") == F.col("_in")) & (F.col("exact") == F.col("_iexact"))
-                      & (F.col("kinds") == F.col("_ikinds")))
-           .select(F.col("id").alias("doc_id"), "own", "item", "item_id", "item_words", "near_words", "exact", (F.col("pos") - F.col("_ipos")).alias("delta"),
-                   F.explode(F.arrays_zip(F.sequence(F.col("_ipos"), F.col("_ipos") + F.col("n") - 1).alias("at"),
-                                          F.col("kinds").alias("kind"), F.col("vals").alias("mine"), F.col("_ivals").alias("its"))).alias("x")))
-    met = cut(met.select("doc_id", "own", "item", "item_id", "item_words", "near_words", "exact", "delta", "x.*").distinct(), "bench-met")
+    met = found.join(w, (F.col("h") == F.col("_ih")) & (F.col("n") == F.col("_in")) & (F.col("exact") == F.col("_iexact"))
+                     & (F.col("kinds") == F.col("_ikinds")))
+    met = cut(met.select(F.col("id").alias("doc_id"), "own", "item", "item_id", "item_words", "near_words", "exact", "_ipos", "n", (F.col("pos") - F.col("_ipos")).alias("delta"),
+                         "kinds", F.col("vals").alias("mine"), F.col("_ivals").alias("its")), "bench-met")
+    # A pair whose windows do not reach enough of the item's words goes before words are told apart. A set
+    # has one place per word of the item at most.
+    key = ["doc_id", "own", "item"]
+    spans = F.array_sort(F.collect_set(F.struct(F.col("_ipos").alias("a"), (F.col("_ipos") + F.col("n")).alias("z"))))
+    hope = met.groupBy(*key).agg(spans.alias("_spans"), F.max(F.least("item_words", F.coalesce("near_words", "item_words"))).alias("_least"))
+    start = F.struct(F.lit(0).cast("long").alias("z"), F.lit(0).cast("long").alias("n"))
+    reach = F.aggregate("_spans", start, lambda s, x: F.struct(
+        F.greatest(s["z"], x["z"]).cast("long").alias("z"), (s["n"] + F.greatest(x["z"] - F.greatest(s["z"], x["a"]), F.lit(0))).cast("long").alias("n")))["n"]
+    hope = cut(hope.withColumn("_reach", reach).where((F.col("_reach") >= min_cover * F.col("_least")) & (F.col("_reach") >= F.least("_least", F.lit(MIN_WORDS))))
+               .select(*[F.col(c).alias(f"_{c}") for c in key]), "bench-hope")
+    same = lambda cols: [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols]
+    met = met.join(hope, same(key), "left_semi")
+    at = F.arrays_zip(F.sequence(F.col("_ipos"), F.col("_ipos") + F.col("n") - 1).alias("at"), F.col("kinds").alias("kind"), "mine", "its")
+    met = cut(met.select(*key, "item_id", "item_words", "near_words", "exact", "delta", F.explode(at).alias("x"))
+              .select(*key, "item_id", "item_words", "near_words", "exact", "delta", "x.*").distinct(), "bench-words")
     slot = F.col("kind").isin(int(_NUM), int(_UNIT), int(_NAME))
-    run_key = ["doc_id", "own", "item", "delta"]
-    runs = met.groupBy(*run_key).agg(
-        F.count_distinct(F.when(slot, F.struct("mine", "its"))).alias("_pairs"),
-        F.count_distinct(F.when(slot, F.col("its"))).alias("_its"),
-        F.max((slot & (F.col("mine") != F.col("its"))).cast("int")).alias("_other"))
-    good = runs.where("_pairs = _its").select(*[F.col(c).alias(f"_{c}") for c in run_key], "_other")
-    on = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("own") == F.col("_own")) & (F.col("item") == F.col("_item")) & (F.col("delta") == F.col("_delta"))
-    good = cut(met.join(good, on, "left").where("exact OR _other IS NOT NULL"), "bench-good")
-    pairs = (good.groupBy("doc_id", "own", "item")
-             .agg(F.first("item_id").alias("item_id"), F.count_distinct("at").alias("covered"), F.first("item_words").alias("item_words"), F.max(F.when(~F.col("exact"), F.col("_other"))).alias("_other"),
-                  F.count_distinct(F.when(~F.col("exact"), F.col("at"))).alias("_covered"), F.first("near_words").alias("_near")))
-    return (pairs.withColumn("coverage", F.col("covered") / F.col("item_words"))
-            .where(((F.col("coverage") >= min_cover) & (F.col("covered") >= F.least(F.col("item_words"), F.lit(MIN_WORDS))))
-                   | ((F.col("_covered") / F.col("_near") >= min_cover) & (F.col("_covered") >= F.least(F.col("_near"), F.lit(MIN_WORDS)))))
-            .select("doc_id", "own", "item_id", "covered", "item_words", "coverage",
-                    F.when(F.col("_other") == 1, "template").otherwise("exact").alias("kind")))
+    value = [*key, "delta", "its"]
+    torn = (met.where(slot).groupBy(*value).agg(F.count_distinct("mine").alias("_values")).where("_values > 1")
+            .select(*[F.col(c).alias(f"_{c}") for c in value]))
+    equal = F.col("mine") == F.col("its")
+    good = met.where(equal).unionByName(met.where(slot & ~equal).join(torn, same(value), "left_anti"))
+
+    def enough(covered: str, of: str) -> Column:
+        return (F.col(covered) / F.col(of) >= min_cover) & (F.col(covered) >= F.least(F.col(of), F.lit(MIN_WORDS)))
+
+    pairs = (good.groupBy(*key)
+             .agg(F.first("item_id").alias("item_id"), F.first("item_words").alias("item_words"), F.first("near_words").alias("_near"),
+                  F.count_distinct("at").alias("covered"), F.count_distinct(F.when(~F.col("exact"), F.col("at"))).alias("_covered"),
+                  F.count_distinct(F.when(equal, F.col("at"))).alias("_equal")))
+    return (pairs.where(enough("covered", "item_words") | enough("_covered", "_near"))
+            .select("doc_id", "own", "item_id", "covered", "item_words", (F.col("covered") / F.col("item_words")).alias("coverage"),
+                    F.when(F.col("_equal") == F.col("covered"), "exact").otherwise("template").alias("kind")))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
