@@ -25,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from watchtide.llm.common import chunks, cut, lower_ascii, packed, text_bytes
@@ -157,19 +156,16 @@ def op5_near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents without near copies: of each component the one with the smallest id stays.
+    """The documents without near copies: of each component the row with the smallest id stays.
 
-    Rows that share an id are one document, of which the row with the smallest text stays.
-    Rows without an id can't be told apart and stay.
+    Rows are told apart by their number, whatever ids they share or lack: of rows of a component
+    with one id, or without one, any one is as good as another.
     """
-    found = cut(near_duplicates(docs, **options), "ring-found")
-    # As a table of known size the ids are broadcast if they are few, and the texts stay where they are.
-    gone = cut(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "ring-gone")
-    kept = packed(docs).join(gone, F.col("doc.doc_id") == F.col("gone"), "left_anti")
-    twice = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("twice"))
-    if twice.isEmpty():
-        return kept.select("doc.*")
-    same = F.col("doc.doc_id") == F.col("twice")
-    first = F.row_number().over(W.partitionBy("doc.doc_id").orderBy("doc.text"))
-    again = kept.join(twice, same, "left_semi").withColumn("row", first).where("row = 1").drop("row")
-    return kept.join(twice, same, "left_anti").union(again).select("doc.*")
+    # Written, so that the numbers stay what they are.
+    rows = cut(packed(docs).withColumn("row", F.monotonically_increasing_id()), "ring-rows")
+    found = near_duplicates(rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), **options)
+    ids = rows.select(F.col("row").alias("_row"), F.col("doc.doc_id").alias("id"))
+    found = found.join(ids, F.col("doc_id") == F.col("_row"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", F.col("_row").alias("row"))).alias("first")
+    kept = cut(found.groupBy("component_id").agg(first).select(F.col("first.row").alias("kept")), "ring-kept")
+    return rows.join(kept, F.col("row") == F.col("kept"), "left_semi").select("doc.*")
