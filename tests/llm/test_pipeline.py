@@ -78,7 +78,7 @@ def test_empty_and_odd_documents_pass_through(spark, tmp_path):
 
 
 def test_registered_names():
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} <= {k.split("_")[0] for k in E.queries()}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} <= {k.split("_")[0] for k in E.queries()}
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
