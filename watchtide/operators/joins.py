@@ -16,6 +16,9 @@ from watchtide.config import DEFAULT_BROADCAST_BYTES
 from watchtide.functions.columns import stable_salt
 
 
+FILE_EXPANSION = 16  # of columnar files in memory, at most
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Size of a DataFrame as the optimizer sees it; for a table read from files, the files' size.
 
@@ -25,8 +28,12 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its size is known to be within the bound, else as it is."""
-    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
+    """``df`` with a broadcast hint if it is known to be within the bound in memory, else as it is.
+
+    Dictionary-coded files grow by ten and more when they are read, so the optimizer's size, which
+    for them is the files', counts ``FILE_EXPANSION`` times.
+    """
+    return F.broadcast(df) if plan_bytes(df) * FILE_EXPANSION <= max_bytes else df
 
 
 def _flag_hot(df: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:

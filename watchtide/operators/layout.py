@@ -42,12 +42,13 @@ def cluster_by(df: DataFrame, cols, n: int) -> DataFrame:
 def rank_bounds(df: DataFrame, cols, bits: int = 8, accuracy: int = 10_000) -> dict[str, list]:
     """Values that cut each column into 2 ** bits ranges of about equal rows, by approximate quantiles.
 
-    A fetch of that many values per column, whatever the rows.
+    A fetch of that many values per column, whatever the rows. A value that fills several ranges is
+    there as often, so that the ranks of every column go up to the same number.
     """
     n = 1 << bits
     shares = [i / n for i in range(1, n)]
     row = df.agg(*[F.percentile_approx(_number(df, c), shares, accuracy).alias(c) for c in cols]).first()
-    return {c: sorted(set(row[c] or [])) for c in cols}
+    return {c: sorted(row[c] or []) for c in cols}
 
 
 def _number(df: DataFrame, col: str) -> Column:

@@ -371,7 +371,7 @@ def q_title_stream(spark, sf):
 
 
 def q_title_chain(spark, sf):
-    """Landing JSON -> stream -> silver snapshots -> SCD2 states, every loader run twice."""
+    """Bronze titles -> silver snapshots -> SCD2 states, every loader run twice."""
     root = scratch_path(spark, "chain")
     cfg = PipelineConfig(root=root)
     append_table(conform_titles(fx.bronze_titles(spark, sf)), cfg.path("bronze", "dim_title"), "_snapshot_date")

@@ -22,18 +22,19 @@ JOIN_KEYS = ["user_id", "title_id"]
 
 
 def q_curve_layout(spark, sf):
-    """Per column: its values, and whether a lookup of one touches fewer files and bytes of a table
-    laid along a curve through three columns than of one laid as it comes."""
+    """Per column: its values, and whether a lookup of one touches fewer files and a smaller share of
+    the bytes of a table laid along a curve through three columns than of one laid as it comes."""
     root = scratch_path(spark, "curve")
     write_table(c._silver(spark, sf).repartition(FILES), f"{root}/plain")
     cluster_curve_table(spark, f"{root}/plain", f"{root}/curve", CURVE, FILES)
     plain, curve = (spark.read.parquet(f"{root}/{x}") for x in ("plain", "curve"))
     out = None
     for col in CURVE:
-        was = lookup_cost(plain, col).select(F.col("touched").alias("_t"), F.col("read_bytes").alias("_b"))
+        share = F.col("read_bytes") / F.col("bytes")
+        was = lookup_cost(plain, col).select(F.col("touched").alias("_t"), share.alias("_b"))
         n = plain.agg(F.count_distinct(col).alias("values"))
         one = (lookup_cost(curve, col).join(was).join(n).select(
-            F.lit(col).alias("column"), "values", (F.col("touched") < F.col("_t")).alias("fewer_files"), (F.col("read_bytes") < F.col("_b")).alias("fewer_bytes")))
+            F.lit(col).alias("column"), "values", (F.col("touched") < F.col("_t")).alias("fewer_files"), (share < F.col("_b")).alias("fewer_bytes")))
         out = one if out is None else out.unionByName(one)
     return out
 

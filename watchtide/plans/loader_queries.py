@@ -14,12 +14,11 @@ from watchtide.plans import catalog as c
 from watchtide.plans import fixtures as fx
 from watchtide.plans import jobs
 from watchtide.plans import oracle as O
-from watchtide.schemas import RAW_HEARTBEAT
+from watchtide.schemas import BRONZE_HEARTBEAT, conform
 from watchtide.session import publish, scratch_path
-from watchtide.sources.files import write_json
 from watchtide.sources.tables import append_table, read_table
 
-LOADERS = ("bronze", "events", "titles", "dim", "fct_events", "sessions", "fct_sessions")
+LOADERS = ("events", "titles", "dim", "fct_events", "sessions", "fct_sessions")
 RUN_DATE = "2024-01-30"
 PRICE_KEYS = 7  # price lists: few keys with a version for nearly every day of seven years
 MISTAKEN = 0.1  # share of new keys that may pass for seen
@@ -40,22 +39,24 @@ def q_run_day_restarted(spark, sf):
     """Late events and a new title snapshot, and a run that dies after each of its loaders in
     turn before one ends: the mart that an undisturbed run gives."""
     root = scratch_path(spark, "restart")
-    cfg = PipelineConfig(root=root, landing=f"{root}/landing", gap_seconds=c.LATE_GAP)
-    hb = fx.heartbeats(spark, sf).select(*RAW_HEARTBEAT.fieldNames())
+    cfg = PipelineConfig(root=root, gap_seconds=c.LATE_GAP)
+    hb = fx.heartbeats(spark, sf).withColumns({"_unknown_fields": F.lit(None).cast("string"), "_d": F.to_date("event_ts")})
     late = (F.pmod("event_id", F.lit(c.LATE_EVERY)) == 0) & in_scope("_d", *c.LATE)
-    hb = publish(hb.withColumn("_d", F.to_date("event_ts")).withColumn("_late", late), "restart-events")
-    land = lambda is_late: c._landing_lines(hb.filter(F.col("_late") == is_late).drop("_d", "_late")).write.mode("append").text(f"{cfg.landing}/playback_heartbeats")
-    land(False)
-    write_json(fx.titles_v1(spark, sf), f"{cfg.landing}/title/{fx.SNAP_V1}")
+
+    def deliver(rows, day, titles, snap):
+        rows = rows.withColumns({"_ingest_ts": F.lit(f"{day} 12:00:00").cast("timestamp"), "_ingest_date": F.lit(day).cast("date")})
+        append_table(conform(rows, BRONZE_HEARTBEAT), cfg.path("bronze", "playback_heartbeats"), "_ingest_date")
+        append_table(c.conform_titles(fx.delivered(titles(spark, sf), snap)), cfg.path("bronze", "dim_title"), "_snapshot_date")
+
+    deliver(hb.filter(~late), "2024-01-29", fx.titles_v1, fx.SNAP_V1)
     jobs.run_day(spark, cfg)
-    land(True)
-    write_json(fx.titles_v2(spark, sf), f"{cfg.landing}/title/{fx.SNAP_V2}")
+    deliver(hb.filter(late), RUN_DATE, fx.titles_v2, fx.SNAP_V2)
     for loader in LOADERS:
         try:
-            jobs.run_day(spark, cfg, processing_date=RUN_DATE, after=_dying_after(loader))
+            jobs.run_day(spark, cfg, processing_date=RUN_DATE, ingest_date=RUN_DATE, after=_dying_after(loader))
         except Died:
             continue
-    jobs.run_day(spark, cfg, processing_date=RUN_DATE)
+    jobs.run_day(spark, cfg, processing_date=RUN_DATE, ingest_date=RUN_DATE)
     return c.neutral(read_table(spark, cfg.path("gold", "mart_engagement")))
 
 

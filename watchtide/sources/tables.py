@@ -154,7 +154,7 @@ def run_noop(df: DataFrame) -> None:
 
 def file_count(spark: SparkSession, path: str) -> int:
     """Number of data files behind a table, empty ones included."""
-    return len(spark.read.parquet(path).inputFiles())
+    return data_files(spark, path).count()
 
 
 def compact_table(spark: SparkSession, path: str, out_path: str, target_files: int = 1,
