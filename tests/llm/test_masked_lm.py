@@ -115,3 +115,50 @@ def test_every_word_has_a_probability_and_the_vocabulary_grows(spark):
         assert got[i].log_likelihood == pytest.approx(want, abs=0.05)
     more = spark.createDataFrame([(1, " ".join(f"x{i}" for i in range(200_000)))], "doc_id long, text string")
     assert M.vocabulary(more)[0].size > vocab.size >= M.VOCABULARY
+
+
+def test_steps_over_a_text_are_those_over_its_windows(monkeypatch):
+    """Gradients of neighbours, summed over the shifted text, equal those summed over the windows."""
+    monkeypatch.setattr(M, "BATCH", 37)
+    rng = np.random.default_rng(8)
+    word, doc = rng.integers(0, 60, 200), np.sort(rng.integers(0, 9, 200))
+    one, two = net(2), net(2)
+    seen = [{k: np.full(v.shape, 0.5) for k, v in one.items()} for _ in range(2)]
+    M.train_text(one, seen[0], word, doc)
+    around = M._around(word, doc, M.PAD)
+    for a in range(0, 200, 37):
+        M.train_step(two, seen[1], word[a:a + 37], around[:, a:a + 37])
+    for k in one:
+        assert np.allclose(one[k], two[k], atol=1e-6) and np.allclose(seen[0][k], seen[1][k])
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    one, many = (sorted((r.doc_id, r.log_likelihood) for r in M.op2_pseudo_likelihood(d).collect())
+                 for d in (docs.coalesce(1), docs.repartition(32, "text")))
+    assert [i for i, _ in one] == [i for i, _ in many]
+    assert max(abs(a - b) for (_, a), (_, b) in zip(one, many)) < 0.05
+
+
+def test_rounds_of_trainers_against_a_plain_run(spark):
+    """The same documents in the same rounds and trainers, one after the other, in numpy."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    rows = M.placed(docs)
+    got = M.flat(M.train_placed(rows, trainer_words=8000))
+    held = [(r.key, np.array(r.places)) for r in rows.where("n_words > 0").collect()]
+    words = sum(len(p) for _, p in held)
+    trainers = -(-words // (M.ROUNDS * 8000))
+    assert trainers > 1
+    values = np.concatenate([M.flat(M.initial(3)), np.zeros(len(M.flat(M.initial(3))))]).astype(float)
+    half = len(values) // 2
+    for turn in range(M.ROUNDS):
+        ends = []
+        for trainer in range(trainers):
+            mine = sorted((k, i) for i, (k, _) in enumerate(held) if k % (M.ROUNDS * trainers) % M.ROUNDS == turn and k % (M.ROUNDS * trainers) // M.ROUNDS == trainer)
+            if mine:
+                n, seen = M.unflat(values[:half]), M.unflat(values[half:] ** 2)
+                texts = [held[i][1] for _, i in mine]
+                M.train_text(n, seen, np.concatenate(texts), np.repeat(np.arange(len(texts)), [len(t) for t in texts]))
+                ends.append(np.concatenate([M.flat(n), np.sqrt(M.flat(seen))]))
+        values = np.mean(ends, axis=0)
+    assert np.allclose(got, values[:half], atol=1e-4)

@@ -11,10 +11,12 @@ share of the place's occurrences, so that the probabilities of all words of the
 up to one. A document's score is the sum of the conditional log-probabilities of all its
 words.
 
-Training is data-parallel over the whole corpus: every task starts from the same network,
-goes through all texts of its partition once in mini-batches (Adagrad, numpy), and the
-tasks' networks are averaged by the number of words they saw. Sums are of whole numbers,
-so the average doesn't depend on the order of tasks. What is gathered from the corpus
+Training is data-parallel over the whole corpus and reads every word once. Documents are dealt by
+hash to ``ROUNDS`` rounds, and in each to trainers of about ``TRAINER_WORDS`` words (``TRAINERS`` at
+most); a trainer starts from the average of the round before, goes through its documents in the order of their hash in
+mini-batches (Adagrad, numpy), and the networks, with the squares that Adagrad sums, are
+averaged. So the result depends on the documents and not on how they lie in files. Sums are of whole
+numbers, so the average doesn't depend on the order of tasks. What is gathered from the corpus
 grows with it: the table of word counts, which stays in the shared folder, with the number
 of distinct words, and the network and its list of frequent words with the square root of it.
 
@@ -42,7 +44,11 @@ WINDOW = (-2, -1, 1, 2)
 PAD = VOCABULARY  # stands where the window leaves the text
 BATCH = 8192
 RATE = 0.1
-_FIXED = 1 << 20  # parameters are averaged in multiples of 1 / _FIXED
+ROUNDS = 4
+TRAINER_WORDS = 1 << 21
+TRAINERS = 4096
+_CHUNK = 1 << 16  # words that a trainer takes at once
+_FIXED = 1 << 30  # parameters are averaged in multiples of 1 / _FIXED
 _BLOCK = 1024  # parameters that move in one row
 
 Net = dict[str, np.ndarray]
@@ -143,14 +149,17 @@ def masked_windows(texts: pa.Array, vocab: Vocabulary | None = None) -> tuple[np
     return word, _around(word, doc, vocab.size if vocab else PAD), doc
 
 
-def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities, and the logarithm of their norm, by row; ``x`` is overwritten."""
-    top = x.max(axis=1, keepdims=True)
-    x -= top
+def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By row: the sum of exponentials on the scale of the greatest, which is returned too; ``x`` is overwritten by them."""
+    top = x.max(axis=1)
+    x -= top[:, None]
     np.exp(x, out=x)
-    total = x.sum(axis=1, keepdims=True)
-    x /= total
-    return x, np.log(total)[:, 0] + top[:, 0]
+    return x.sum(axis=1), top
+
+
+def _log_norm(x: np.ndarray) -> np.ndarray:
+    total, top = _exp(x)
+    return np.log(total) + top
 
 
 def _hidden(net: Net, around: np.ndarray) -> np.ndarray:
@@ -177,67 +186,152 @@ def log_probs(net: Net, word: np.ndarray, around: np.ndarray) -> np.ndarray:
         cls, member = w // members, w % members
         x = h @ net["wc"] + net["bc"]
         picked = x[np.arange(len(w)), cls]
-        lp = picked - _softmax(x)[1]
+        lp = picked - _log_norm(x)
         for c, rows in _members(cls, classes):
             x = h[rows] @ net["wm"][c] + net["bm"][c]
             picked = x[np.arange(len(rows)), member[rows]]
-            lp[rows] += picked - _softmax(x)[1]
+            lp[rows] += picked - _log_norm(x)
         out[a:a + BATCH] = lp
     return out
 
 
-def train_step(net: Net, seen: Net, word: np.ndarray, around: np.ndarray, rate: float = RATE) -> None:
-    """One Adagrad step on the mean loss of a mini-batch; ``net`` and ``seen`` (squares) change."""
+def _loss_slope(x: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Gradient of the mean loss by the inputs of a softmax whose right answers are ``at``; in place of ``x``."""
+    x *= (1 / (_exp(x)[0] * n))[:, None].astype(x.dtype)
+    x[np.arange(len(x)), at] -= x.dtype.type(1 / n)
+    return x
+
+
+def _sums_around(around: np.ndarray, dh: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each position: the places that occur there, and the sums of ``dh`` over them."""
+    for at in around:
+        order = np.argsort(at, kind="stable")
+        ids, first = np.unique(at[order], return_index=True)
+        yield ids, np.add.reduceat(dh[order], first)
+
+
+def _sums_in_text(word: np.ndarray, doc: np.ndarray, a: int, b: int, pad: int, dh: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """What :func:`_sums_around` gives for the words a to b of a text: the neighbours are the text
+    itself, shifted, so it is sorted once for all positions."""
+    reach = max(WINDOW)
+    low, high = max(0, a - reach), min(len(word), b + reach)
+    part = word[low:high].astype(np.uint16) if pad < 1 << 16 else word[low:high]  # short numbers are sorted by digits
+    order = np.argsort(part, kind="stable")
+    sorted_part = part[order]
+    first = np.flatnonzero(np.concatenate(([True], sorted_part[1:] != sorted_part[:-1])))
+    ids = np.append(word[low:high][order[first]], pad)
+    rows = np.concatenate([dh, np.zeros((1, dh.shape[1]), dh.dtype)])  # the last: of no word of the batch
+    for d in WINDOW:
+        seat = low + order  # a neighbour; its word is d places before
+        mid = seat - d
+        ok = (mid >= a) & (mid < b)
+        ok[ok] = doc[seat[ok]] == doc[mid[ok]]
+        g = np.add.reduceat(rows[np.where(ok, mid - a, len(dh))], first)
+        edge = np.arange(a, b) + d
+        alone = (edge < 0) | (edge >= len(doc))
+        alone |= doc[np.clip(edge, 0, len(doc) - 1)] != doc[a:b]
+        yield ids, np.concatenate([g, dh[alone].sum(axis=0, keepdims=True)])
+
+
+def train_step(net: Net, seen: Net, word: np.ndarray, around: np.ndarray, rate: float = RATE, sums=_sums_around) -> None:
+    """One Adagrad step on the mean loss of a mini-batch; ``net`` and ``seen`` (squares) change.
+
+    ``sums`` adds up the gradients of the places around (:func:`_sums_around`).
+    """
     n = len(word)
     classes, _, members = net["wm"].shape
     cls, member = word // members, word % members
     h = _hidden(net, around)
-    p, _ = _softmax(h @ net["wc"] + net["bc"])
-    p[np.arange(n), cls] -= 1
-    p /= n
+    p = _loss_slope(h @ net["wc"] + net["bc"], cls, n)
     grad = {"wc": h.T @ p, "bc": p.sum(axis=0), "wm": np.zeros_like(net["wm"]), "bm": np.zeros_like(net["bm"])}
     dh = p @ net["wc"].T
     for c, rows in _members(cls, classes):
-        q, _ = _softmax(h[rows] @ net["wm"][c] + net["bm"][c])
-        q[np.arange(len(rows)), member[rows]] -= 1
-        q /= n
-        grad["wm"][c], grad["bm"][c] = h[rows].T @ q, q.sum(axis=0)
+        mine = h[rows]
+        q = _loss_slope(mine @ net["wm"][c] + net["bm"][c], member[rows], n)
+        grad["wm"][c], grad["bm"][c] = mine.T @ q, q.sum(axis=0)
         dh[rows] += q @ net["wm"][c].T
     dh *= 1 - h * h
     grad["b"] = dh.sum(axis=0)
     for k, g in grad.items():
         seen[k] += g * g
         net[k] -= (rate * g / (np.sqrt(seen[k]) + 1e-8)).astype(np.float32)
-    for k in range(len(WINDOW)):  # only the places that occur have a gradient
-        order = np.argsort(around[k], kind="stable")
-        ids, first = np.unique(around[k][order], return_index=True)
-        g = np.add.reduceat(dh[order], first)
-        seen["e"][k][ids] += g * g
-        net["e"][k][ids] -= (rate * g / (np.sqrt(seen["e"][k][ids]) + 1e-8)).astype(np.float32)
+    for k, (ids, g) in enumerate(sums(around, dh)):  # only the places that occur have a gradient
+        s = seen["e"][k][ids] + g * g
+        seen["e"][k][ids] = s
+        net["e"][k][ids] -= (rate * g / (np.sqrt(s) + 1e-8)).astype(np.float32)
 
 
-def train(docs: DataFrame, seed: int = 3, vocab: Vocabulary | None = None) -> Net:
-    """The average of the networks that the tasks train on their parts of ``docs``."""
-    sides = (vocab.classes, vocab.members) if vocab else (CLASSES, MEMBERS)
+def train_text(net: Net, seen: Net, word: np.ndarray, doc: np.ndarray) -> None:
+    """Steps over the words of some texts, in their order."""
+    pad = net["e"].shape[1] - 1
+    around = _around(word, doc, pad)
+    for a in range(0, len(word), BATCH):
+        b = min(a + BATCH, len(word))
+        train_step(net, seen, word[a:b], around[:, a:b], sums=lambda _, dh, a=a, b=b: _sums_in_text(word, doc, a, b, pad, dh))
+
+
+def placed(docs: DataFrame, vocab: Vocabulary | None = None) -> DataFrame:
+    """doc_id, key (hash of id and text), n_words, places (of the words) of every document, and with a
+    vocabulary ``shared``: hashes of the words in shared places. Texts are scanned for it once, and it is written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = initial(seed, *sides)
-        seen = {k: np.zeros(s, np.float32) for k, s in _shapes(*sides).items()}
-        words = 0
-        rng = np.random.default_rng(seed)
         for whole in batches:
             for b in chunks(whole, "text"):
-                word, around, _ = masked_windows(b.column("text"), vocab)
-                words += len(word)
-                order = rng.permutation(len(word))
-                for a in range(0, len(word), BATCH):
-                    some = order[a:a + BATCH]
-                    train_step(net, seen, word[some], around[:, some])
-        if words:
-            # Weights by thousands of words keep the sums of a petabyte within 64 bits.
-            weight = max(1, words // 1000)
-            values = np.rint(np.clip(flat(net), -500, 500) * float(_FIXED)).astype(np.int64) * weight
-            yield _blocks({i: values[a:a + _BLOCK] for i, a in enumerate(range(0, len(values), _BLOCK))}, weight)
+                h, doc = hashed_words(b.column("text"))
+                word, shared = vocab.places(h) if vocab else ((h % np.uint64(VOCABULARY)).astype(np.int64), np.zeros(len(h), bool))
+                n = np.bincount(doc, minlength=b.num_rows)
+                ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+                out = {"doc_id": b.column("doc_id"), "key": b.column("key"), "n_words": pa.array(n),
+                       "places": pa.ListArray.from_arrays(pa.array(ends), pa.array(word.astype(np.int32)))}
+                if vocab:
+                    ends = np.concatenate(([0], np.cumsum(np.bincount(doc[shared], minlength=b.num_rows)))).astype(np.int32)
+                    out["shared"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(h[shared].view(np.int64)))
+                yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("key"))
+    return cut(docs.mapInArrow(run, "doc_id long, key long, n_words long, places array<int>" + (", shared array<long>" if vocab else "")), "lm-places")
+
+
+def train(docs: DataFrame, seed: int = 3, vocab: Vocabulary | None = None) -> Net:
+    """The network trained on ``docs`` (doc_id, text)."""
+    return train_placed(placed(docs, vocab), seed, vocab)
+
+
+def train_placed(rows: DataFrame, seed: int = 3, vocab: Vocabulary | None = None, trainer_words: int = TRAINER_WORDS) -> Net:
+    """The average of the networks that trainers make of their :func:`placed` documents, round after round."""
+    sides = (vocab.classes, vocab.members) if vocab else (CLASSES, MEMBERS)
+    state = [flat(initial(seed, *sides)).astype(float), np.zeros(sum(int(np.prod(s)) for s in _shapes(*sides).values()))]
+    words = rows.agg(F.sum("n_words")).first()[0] or 0
+    trainers = max(1, min(TRAINERS, -(-words // (ROUNDS * trainer_words))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        who, net, seen, held, size = None, {}, {}, [], 0
+
+        def step() -> None:
+            nonlocal held, size
+            if held:
+                word = np.concatenate(held).astype(np.int64)
+                train_text(net, seen, word, np.repeat(np.arange(len(held)), [len(x) for x in held]))
+            held, size = [], 0
+
+        def done() -> pa.RecordBatch:
+            step()
+            values = np.clip(np.concatenate([flat(net), np.sqrt(flat(seen))]).astype(float), -500, 500)
+            values = np.rint(values * float(_FIXED)).astype(np.int64)
+            return _blocks({i: values[x:x + _BLOCK] for i, x in enumerate(range(0, len(values), _BLOCK))}, 1)
+
+        for b in batches:
+            for trainer, text in zip(b.column("trainer").to_pylist(), b.column("places"), strict=True):
+                if trainer != who:
+                    if who is not None:
+                        yield done()
+                    who, net, seen = trainer, unflat(state[0], *sides), unflat(state[1] ** 2, *sides)
+                held.append(text.values.to_numpy())
+                size += len(held[-1])
+                if size >= _CHUNK:
+                    step()
+        if who is not None:
+            yield done()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -247,14 +341,19 @@ def train(docs: DataFrame, seed: int = 3, vocab: Vocabulary | None = None) -> Ne
                 sums[i] = sums.get(i, 0) + v.values.to_numpy()
                 weight[i] = weight.get(i, 0) + w
         if sums:
-            yield _blocks(sums, next(iter(weight.values())))  # every task sends every block
+            yield _blocks(sums, next(iter(weight.values())))  # every trainer sends every block
 
     columns = "i long, v array<long>, weight long"
-    got = docs.select("text").mapInArrow(run, columns).repartition("i").mapInArrow(add, columns).collect()
-    values = flat(initial(seed, *sides)).astype(float)
-    for i, v, weight in got:  # the network's parameters, _BLOCK in a row
-        values[i * _BLOCK:i * _BLOCK + len(v)] = np.array(v, float) / weight / _FIXED
-    return unflat(values, *sides)
+    deal = F.pmod("key", F.lit(ROUNDS * trainers))
+    rows = rows.where("n_words > 0").select("key", "places", (deal % ROUNDS).alias("round"), F.floor(deal / ROUNDS).alias("trainer"))
+    for turn in range(ROUNDS):
+        mine = rows.where(F.col("round") == turn).repartitionByRange(trainers, "trainer").sortWithinPartitions("trainer", "key")
+        got = mine.select("trainer", "places").mapInArrow(run, columns).repartition("i").mapInArrow(add, columns).collect()
+        both = np.concatenate(state)
+        for i, v, weight in got:  # the network's parameters and squares, _BLOCK in a row
+            both[i * _BLOCK:i * _BLOCK + len(v)] = np.array(v, float) / weight / _FIXED
+        state = [both[:len(state[0])], both[len(state[0]):]]
+    return unflat(state[0], *sides)
 
 
 def _blocks(values: dict[int, np.ndarray], weight: int) -> pa.RecordBatch:
@@ -264,30 +363,38 @@ def _blocks(values: dict[int, np.ndarray], weight: int) -> pa.RecordBatch:
 
 
 def score(docs: DataFrame, net: Net, vocab: Vocabulary | None = None) -> DataFrame:
-    """doc_id, n_words, log_likelihood (sum over the words' places) of every document, and with a
-    vocabulary ``shared``: hashes of the words in shared places."""
+    """:func:`score_placed` of documents (doc_id, text)."""
+    return score_placed(placed(docs, vocab), net)
+
+
+def score_placed(rows: DataFrame, net: Net) -> DataFrame:
+    """doc_id, n_words, log_likelihood (sum over the words' places) of every :func:`placed` document, and ``shared`` if it has that."""
+    pad = net["e"].shape[1] - 1
+    keep = [c for c in ("doc_id", "n_words", "shared") if c in rows.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in chunks(whole, "text"):
-                h, doc = hashed_words(b.column("text"))
-                word, shared = vocab.places(h) if vocab else ((h % np.uint64(VOCABULARY)).astype(np.int64), np.zeros(len(h), bool))
-                n = np.bincount(doc, minlength=b.num_rows)
-                total = np.bincount(doc, log_probs(net, word, _around(word, doc, vocab.size if vocab else PAD)), minlength=b.num_rows).astype(float)
-                out = {"doc_id": b.column("doc_id"), "n_words": pa.array(n), "log_likelihood": pa.array(np.round(total, 4))}
-                if vocab:
-                    ends = np.concatenate(([0], np.cumsum(np.bincount(doc[shared], minlength=b.num_rows)))).astype(np.int32)
-                    out["shared"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(h[shared].view(np.int64)))
-                yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
-
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(run, "doc_id long, n_words long, log_likelihood double" + (", shared array<long>" if vocab else "")))
+            n = whole.column("n_words").to_numpy()
+            ends = np.concatenate(([0], np.cumsum(n)))
+            at = 0
+            while at < whole.num_rows:  # so many documents that their words are about a chunk
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] + _CHUNK, side="right")) - 1)
+                b = whole.slice(at, to - at)
+                word = b.column("places").flatten().to_numpy().astype(np.int64)
+                doc = np.repeat(np.arange(b.num_rows), n[at:to])
+                total = np.bincount(doc, log_probs(net, word, _around(word, doc, pad)), minlength=b.num_rows).astype(float)
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(np.round(total, 4))], [*keep, "log_likelihood"])
+                at = to
+
+    kinds = {"doc_id": "long", "n_words": "long", "shared": "array<long>"}
+    return rows.select(*keep, "places").mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", log_likelihood double")
 
 
 def op2_pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, log_likelihood, per_word."""
     vocab, shares = vocabulary(docs)
-    scored = score(docs, train(docs, vocab=vocab), vocab).withColumn("_row", F.monotonically_increasing_id())
+    rows = placed(docs, vocab)
+    scored = score_placed(rows, train_placed(rows, vocab=vocab)).withColumn("_row", F.monotonically_increasing_id())
     scored = cut(scored, "lm-scores")
     shares = cut(shares.withColumnRenamed("h", "_h"), "lm-shares")
     within = (scored.select("_row", F.explode("shared").alias("h")).join(shares, F.col("h") == F.col("_h"))
