@@ -143,3 +143,23 @@ def test_late_dates_stay_owed_until_the_loaders_have_done_them(spark, tmp_dir):
     assert ledger.owed("fct_sessions").entries == []
     fct = read_table(spark, cfg.path("gold", "fct_viewing_sessions"), GOLD_FCT_SESSIONS)
     assert fct.filter("session_date = '2024-01-09'").agg({"heartbeats": "sum"}).first()[0] == 21
+
+
+def test_a_filter_without_its_events_does_no_harm(spark, tmp_dir, monkeypatch):
+    """The run dies when the filters are written and the events are not; then more events of that date come."""
+    cfg = PipelineConfig(root=tmp_dir)
+    _deliver(spark, cfg, [(i, 1, i) for i in range(50)], "2024-01-02")
+
+    def dies(*_, **__):
+        raise Died
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "append_table", dies)
+        with pytest.raises(Died):
+            jobs.load_events(spark, cfg)
+    _deliver(spark, cfg, [(i, 1, i % 80_000) for i in range(40, 6000)], "2024-01-03")
+    assert jobs.load_events(spark, cfg).rows == 6000
+    _deliver(spark, cfg, [(i, 1, i % 80_000) for i in range(5990, 6010)], "2024-01-04")
+    assert jobs.load_events(spark, cfg, ingest_date="2024-01-04").rows == 10
+    silver = read_table(spark, cfg.path("silver", "playback_events"))
+    assert silver.count() == 6010 == silver.select("event_id").distinct().count()

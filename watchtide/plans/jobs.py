@@ -103,7 +103,8 @@ def load_events(spark: SparkSession, cfg: PipelineConfig, ingest_date=None,
         new = insert_unseen(target, staged, ["event_id"], "event_date", seen)
     # a date that silver already holds without a filter stays without: its rows are compared exactly
     fresh = staged.filter(in_ranges("event_date", date_ranges(set(dates) - set(held))))
-    blocks = seen.select("event_date", "blocks").unionByName(blocks_of(fresh, "event_date")).groupBy("event_date").agg(F.min("blocks").alias("blocks"))
+    known = seen.groupBy("event_date").agg(F.min("blocks").alias("blocks"))  # what a date was first written with holds
+    blocks = known.unionByName(blocks_of(fresh, "event_date").join(known, "event_date", "left_anti"))
     write_table(conform(filter_rows(staged, ["event_id"], "event_date", blocks), SEEN_KEYS), f"{cfg.ops}/seen_events", "append", "event_date")
     ledger = _ledger(spark, cfg)
     first = {x: ledger.owe(x, dates) for x in ("sessions", "fct_events")}
