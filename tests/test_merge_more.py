@@ -28,7 +28,7 @@ def _bronze(spark, snap):
     return spark.createDataFrame(data, BRONZE_TITLE)
 
 
-@pytest.mark.parametrize("order", [(3, 2, 1, 0), (0, 3, 1, 2), (2, 0, 3, 1), (1, 3, 0, 2)])
+@pytest.mark.parametrize("order", [(3, 2, 1, 0), (2, 0, 3, 1)])
 def test_snapshots_in_any_order_give_the_history_of_their_dates(spark, tmp_dir, order):
     cfg = PipelineConfig(root=tmp_dir)
     for i in order:
