@@ -142,3 +142,27 @@ def test_merged_order_joins_no_fact_with_a_version(spark):
     facts = spark.createDataFrame([(1, 1, dt.date(2021, 2, 1))], "event_id long, title_id long, session_date date")
     p = asof_merged(facts, _versions(spark, 10))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in p
+
+
+def test_dimension_writes_take_small_shuffled_partitions_and_give_the_setting_back(spark, tmp_dir, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+    from watchtide.session import ADVISORY
+    cfg, seen, write = PipelineConfig(root=tmp_dir), {}, DataFrameWriter.parquet
+
+    def noted(self, path, *args, **kw):
+        seen[path.removeprefix(tmp_dir).rsplit("/", 1)[-1]] = spark.conf.get(ADVISORY)
+        return write(self, path, *args, **kw)
+
+    append_table(_bronze(spark, SNAPS[0]), cfg.path("bronze", "dim_title"), "_snapshot_date")
+    before = spark.conf.get(ADVISORY)
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    try:
+        for size, wanted in (("1g", 16 << 20), ("2m", 2 << 20)):
+            spark.conf.set(ADVISORY, size)
+            seen.clear()
+            jobs.load_titles(spark, cfg, force=[SNAPS[0]])
+            jobs._publish_dim(spark, cfg, jobs.empty_dim(spark), "2024-01-01")
+            assert {seen[x] for x in (f"_snapshot_date={SNAPS[0]}", "_next")} == {str(wanted)}
+            assert spark.conf.get(ADVISORY) == size
+    finally:
+        spark.conf.set(ADVISORY, before)

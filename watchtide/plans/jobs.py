@@ -26,7 +26,7 @@ from watchtide.operators.sessions import flagged_sessions, rollup_sessions
 from watchtide.operators.titles import pending_list
 from watchtide.schemas import (BRONZE_HEARTBEAT, BRONZE_TITLE, GOLD_DIM_TITLE, GOLD_FCT_EVENTS, GOLD_FCT_SESSIONS,
                                SEEN_KEYS, SILVER_EVENTS, SILVER_SESSIONS, SILVER_TITLE, conform)
-from watchtide.session import apply_defaults, apply_scale
+from watchtide.session import apply_defaults, apply_scale, window_sized
 from watchtide.sources.notes import Ledger, load_note, save_note
 from watchtide.sources.tables import (RunReport, append_table, drop_folder, drop_partition, move_folder, overwrite_dates,
                                       overwrite_partition, partition_values, read_table, replace_table, table_exists,
@@ -163,7 +163,8 @@ def load_titles(spark: SparkSession, cfg: PipelineConfig, force=()) -> list[str]
     pending = pending_list(bronze, _table(spark, cfg, "silver", "dim_title", SILVER_TITLE))
     todo = sorted(set(pending) | {str(s) for s in force})
     for snap in todo:
-        overwrite_partition(clean_titles(bronze, snap), cfg.path("silver", "dim_title"), "_snapshot_date", snap)
+        with window_sized(spark):
+            overwrite_partition(clean_titles(bronze, snap), cfg.path("silver", "dim_title"), "_snapshot_date", snap)
     return todo
 
 
@@ -195,7 +196,8 @@ def _publish_dim(spark: SparkSession, cfg: PipelineConfig, dim: DataFrame, name:
     """Write a state's current versions to ``asof=<name>`` and, if there are any, the closed
     versions that come with it to ``closed=<name>``, in one job."""
     root = cfg.path("gold", "dim_title")
-    dim.write.mode("overwrite").partitionBy("is_current").parquet(f"{root}/_next")
+    with window_sized(spark):
+        dim.write.mode("overwrite").partitionBy("is_current").parquet(f"{root}/_next")
     if not move_folder(spark, f"{root}/_next/is_current=true", f"{root}/asof={name}"):
         spark.createDataFrame([], GOLD_DIM_TITLE).drop("is_current").write.parquet(f"{root}/asof={name}")
     closed = move_folder(spark, f"{root}/_next/is_current=false", f"{root}/closed={name}")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -80,6 +82,26 @@ def apply_scale(spark: SparkSession, input_bytes: int, cores: int, window_heavy:
         spark.conf.set(k, v)
 
 
+WINDOW_ADVISORY = 16 * 1024 * 1024
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+@contextmanager
+def window_sized(spark: SparkSession) -> Iterator[None]:
+    """Jobs started within get shuffled partitions of at most :data:`WINDOW_ADVISORY` bytes.
+
+    A task of several windows and joins sorts each of their inputs, and rows take some ten times their shuffled
+    bytes there, so the session's advisory size (64 MiB by default) is too much for it. A smaller one stays.
+    """
+    before = spark.conf.get(ADVISORY)
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    spark.conf.set(ADVISORY, str(min(size, WINDOW_ADVISORY)))
+    try:
+        yield
+    finally:
+        spark.conf.set(ADVISORY, before)
+
+
 def scale_conf(input_bytes: int, cores: int, window_heavy: bool = False) -> dict:
     """Shuffle sizing for a run reading ``input_bytes`` on ``cores`` task slots.
 
