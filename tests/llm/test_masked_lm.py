@@ -162,3 +162,24 @@ def test_rounds_of_trainers_against_a_plain_run(spark):
                 ends.append(np.concatenate([M.flat(n), np.sqrt(M.flat(seen))]))
         values = np.mean(ends, axis=0)
     assert np.allclose(got, values[:half], atol=1e-4)
+
+
+def test_counts_held_by_tasks_give_what_the_join_gives(spark, monkeypatch):
+    """Few words are left to the join with the table of counts, and scores are the same without any held counts."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.2, 300) % 5000) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    left, scores = [], []
+    for known in (0, M.KNOWN):
+        monkeypatch.setattr(M, "KNOWN", known)
+        left.append(sum(len(r.shared) for r in M.placed(docs, M.vocabulary(docs)[0]).collect()))
+        scores.append({r.doc_id: r.log_likelihood for r in M.op2_pseudo_likelihood(docs).collect()})
+    assert left[1] < left[0] / 4
+    assert scores[0].keys() == scores[1].keys() and max(abs(scores[0][i] - v) for i, v in scores[1].items()) < 0.05
+
+
+def test_great_inputs_neither_overflow_nor_vanish():
+    n = {k: (v * 1e3).astype(np.float32) for k, v in net().items()}
+    everything = np.arange(M.VOCABULARY)
+    lp = M.log_probs(n, everything, np.tile([[1], [2], [3], [4]], M.VOCABULARY))
+    assert np.isfinite(lp).all() and np.exp(lp).sum() == pytest.approx(1, abs=1e-3)
