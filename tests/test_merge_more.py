@@ -7,15 +7,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from test_streaming_jobs import _deliver
 from watchtide.config import PipelineConfig
 from watchtide.operators.joins import asof_dim_join, asof_merged
 from watchtide.operators.membership import blocks_of, filter_rows, insert_unseen, maybe_seen
 from watchtide.operators.merge import insert_new
 from watchtide.operators.scd2 import DIM_COLS, scd2_rebuild
 from watchtide.plans import jobs
-from watchtide.schemas import BRONZE_TITLE
+from watchtide.schemas import BRONZE_TITLE, SEEN_KEYS, SILVER_EVENTS
 from watchtide.sources.notes import Ledger
-from watchtide.sources.tables import append_table, partition_values
+from watchtide.sources.tables import append_table, partition_values, read_table, table_exists
 
 SNAPS = ["2024-01-01", "2024-01-08", "2024-01-16", "2024-01-20"]
 
@@ -102,6 +103,28 @@ def test_added_parts_unknown_dates_and_null_keys(spark):
     assert rows(insert_unseen(target, source, ["event_id"], "event_date", f.limit(0))) == rows(insert_new(target, source, ["event_id", "event_date"]))
 
 
+def test_keys_are_not_sent_to_every_task(spark, tmp_dir):
+    """Blocks are (a row per date), however small the keys seem; so all tasks that read keys set their bits."""
+    _keys(spark, range(2000)).write.parquet(f"{tmp_dir}/k")
+    keys = spark.read.parquet(f"{tmp_dir}/k")
+    p = filter_rows(keys, ["event_id"], "event_date", blocks_of(keys, "event_date"))._jdf.queryExecution().sparkPlan().toString()
+    assert "BuildRight" in p and "BuildLeft" not in p
+
+
+def test_what_was_seen_is_not_added_to_the_filters_again(spark, tmp_dir):
+    cfg = PipelineConfig(root=tmp_dir)
+    stored = lambda: sorted((r.event_date, r.block, bytes(r.bits)) for r in read_table(spark, f"{cfg.ops}/seen_events", SEEN_KEYS).collect())
+    _deliver(spark, cfg, [(i, i % 5, i % 3 * 86400 + i) for i in range(90)], "2024-01-05")
+    assert jobs.load_events(spark, cfg).rows == 90
+    first = stored()
+    assert jobs.load_events(spark, cfg).rows == 0 and stored() == first
+    _deliver(spark, cfg, [(i, i % 5, i % 4 * 86400 + i) for i in range(80, 100)], "2024-01-06")
+    assert jobs.load_events(spark, cfg).rows > 0  # of a stored date and of a new one
+    events = read_table(spark, cfg.path("silver", "playback_events"), SILVER_EVENTS)
+    assert maybe_seen(events, read_table(spark, f"{cfg.ops}/seen_events", SEEN_KEYS), ["event_id"], "event_date").filter("NOT maybe_seen").isEmpty()
+    assert not table_exists(spark, f"{cfg.ops}/staging/playback_events_told")
+
+
 def test_only_dates_of_possible_repeats_are_read(spark, tmp_dir):
     days = [f"2024-01-{d:02d}" for d in range(1, 11)]
     for i, d in enumerate(days):

@@ -39,9 +39,9 @@ def filter_rows(rows: DataFrame, keys, date_col: str, blocks: DataFrame) -> Data
     """(date, blocks, block, bits): the bits of all keys, one row per block that has any.
 
     ``blocks`` holds the number of blocks of each date; dates it lacks are left out. Bits are
-    set per task before they are shuffled.
+    set per task before they are shuffled; ``blocks`` goes to every task (a row per date), lest the keys do.
     """
-    b = blocks.select(F.col(date_col).alias("_date"), "blocks")
+    b = F.broadcast(blocks).select(F.col(date_col).alias("_date"), "blocks")
     at = (rows.select(date_col, *keys).join(b, F.col(date_col) == F.col("_date"))
           .select(date_col, "blocks", _block(keys, F.col("blocks")).alias("block"), F.explode(F.array(*_positions(keys))).alias("_at")))
     return at.groupBy(date_col, "blocks", "block").agg(F.bitmap_construct_agg("_at").alias("bits"))
@@ -75,15 +75,18 @@ def maybe_seen(rows: DataFrame, filters: DataFrame, keys, date_col: str, out: st
     return j.select(*rows.columns, flag.alias(out))
 
 
-def insert_unseen(target: DataFrame, source: DataFrame, keys, date_col: str, filters: DataFrame) -> DataFrame:
+def insert_unseen(target: DataFrame, source: DataFrame, keys, date_col: str, filters: DataFrame,
+                  flagged: DataFrame | None = None) -> DataFrame:
     """What ``merge.insert_new`` gives, for a target whose keys are all in ``filters``.
 
     ``keys`` without the date. Rows surely not seen pass; the target is read only for
-    the dates of those that may be: fetched as a list, one per date.
+    the dates of those that may be: fetched as a list, one per date. ``flagged`` is what
+    :func:`maybe_seen` gives for the source, if it has been stored; else it is computed for each use.
     """
-    flagged = maybe_seen(source, filters, keys, date_col)
+    if flagged is None:
+        flagged = maybe_seen(source, filters, keys, date_col)
     maybe = flagged.filter("maybe_seen").drop("maybe_seen")
     days = [r[0] for r in maybe.select(date_col).distinct().collect()]
     held = target.filter(F.col(date_col).isin(days)) if days else target.limit(0)
     new = maybe.join(held.select(*keys, date_col), [*keys, date_col], "left_anti")
-    return flagged.filter("NOT maybe_seen").drop("maybe_seen").unionByName(new.select(*source.columns))
+    return flagged.filter("NOT maybe_seen").select(*source.columns).unionByName(new.select(*source.columns))

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from watchtide.config import PipelineConfig
 from watchtide.operators.clean import clean_events, clean_titles, ingest_day, snapshot
 from watchtide.operators.marts import fct_events, fct_sessions, mart_engagement, mart_qos
-from watchtide.operators.membership import blocks_of, filter_rows, insert_unseen
+from watchtide.operators.membership import blocks_of, filter_rows, insert_unseen, maybe_seen
 from watchtide.operators.scd2 import DIM_COLS, empty_dim, scd2_apply, scd2_splice
 from watchtide.operators.scope import date_ranges, days_between, full_window, in_ranges, window_for
 from watchtide.operators.sessions import flagged_sessions, rollup_sessions
@@ -83,7 +83,8 @@ def load_events(spark: SparkSession, cfg: PipelineConfig, ingest_date=None,
     The slice is read and cleaned once, into a staging table partitioned by event date: its
     folders name the dates, which are owed to the loaders of sessions and event facts before the append
     commits. Only events that the filters of their date take for seen are compared with the target, and only
-    with the dates of those. The report's dates are those that got new
+    with the dates of those; they are told apart once, in a second staging table. What a filter takes for
+    seen has all its bits there, so only other keys are added. The report's dates are those that got new
     events, however late these came; only they stay owed when the append has gone well.
     """
     bronze = _table(spark, cfg, "bronze", "playback_heartbeats", BRONZE_HEARTBEAT)
@@ -98,14 +99,19 @@ def load_events(spark: SparkSession, cfg: PipelineConfig, ingest_date=None,
     staged = read_table(spark, stage, SILVER_EVENTS)
     target_path = cfg.path("silver", "playback_events")
     new, held, seen = staged, partition_values(spark, target_path, "event_date"), _seen_events(spark, cfg, dates)
+    added, told = staged, f"{cfg.ops}/staging/playback_events_told"
+    unheld = in_ranges("event_date", date_ranges(set(dates) - set(held)))
     if held:
         target = read_table(spark, target_path, SILVER_EVENTS).filter(in_ranges("event_date", date_ranges(dates)))
-        new = insert_unseen(target, staged, ["event_id"], "event_date", seen)
+        write_table(maybe_seen(staged, seen, ["event_id"], "event_date"), told, partition_by=["maybe_seen", "event_date"])
+        flagged = read_table(spark, told, T.StructType([*SILVER_EVENTS.fields, T.StructField("maybe_seen", T.BooleanType())]))
+        new = insert_unseen(target, staged, ["event_id"], "event_date", seen, flagged)
+        added = flagged.filter(~F.col("maybe_seen") | unheld)
     # a date that silver already holds without a filter stays without: its rows are compared exactly
-    fresh = staged.filter(in_ranges("event_date", date_ranges(set(dates) - set(held))))
+    fresh = staged.filter(unheld)
     known = seen.groupBy("event_date").agg(F.min("blocks").alias("blocks"))  # what a date was first written with holds
     blocks = known.unionByName(blocks_of(fresh, "event_date").join(known, "event_date", "left_anti"))
-    write_table(conform(filter_rows(staged, ["event_id"], "event_date", blocks), SEEN_KEYS), f"{cfg.ops}/seen_events", "append", "event_date")
+    write_table(conform(filter_rows(added, ["event_id"], "event_date", blocks), SEEN_KEYS), f"{cfg.ops}/seen_events", "append", "event_date")
     ledger = _ledger(spark, cfg)
     first = {x: ledger.owe(x, dates) for x in ("sessions", "fct_events")}
     report = append_table(new, target_path, partition_by="event_date")
@@ -113,6 +119,7 @@ def load_events(spark: SparkSession, cfg: PipelineConfig, ingest_date=None,
         ledger.owe(x, report.dates)
         ledger.strike(x, entries)
     drop_folder(spark, stage)
+    drop_folder(spark, told)
     return report
 
 
