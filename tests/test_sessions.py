@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import rows
-from watchtide.operators.sessions import rollup_sessions, scoped_sessions, sessionize
+from watchtide.operators.sessions import rollup_sessions, rows_of_keys, scoped_sessions, sessionize
 
 BASE = dt.datetime(2024, 1, 1)
 
@@ -96,6 +96,27 @@ def test_a_chain_of_days_asks_for_a_wider_scope(spark):
     assert beyond.isEmpty() and rows(inside, "heartbeats") == [(288,)]
 
 
+def test_only_what_may_go_on_unread_asks_for_a_wider_scope(spark):
+    """The last day read is the 5th: a session that is over by its noon is whole, one of its last half hour may not be."""
+    over = dated(spark, [(i, 1, 1, 95 * HOUR + i * 1500) for i in range(30)])  # from the 4th to noon of the 5th
+    inside, beyond, _ = scoped_sessions(over, "2024-01-03", "2024-01-03")
+    assert beyond.isEmpty() and rows(inside, "heartbeats") == [(30,)]
+    late = dated(spark, [(i, 1, 1, 95 * HOUR + i * 1500) for i in range(60)])  # to the end of the 5th, where reading ends
+    assert not scoped_sessions(late, "2024-01-03", "2024-01-03")[1].isEmpty()
+
+
+def test_a_gap_of_days_that_reaches_what_is_unread(spark):
+    """Read up to the 7th: the session's next event comes on the 8th, 40 hours after its last one that is read."""
+    df = dated(spark, [(1, 1, 1, 72 * HOUR), (2, 1, 1, 118 * HOUR), (3, 1, 1, 130 * HOUR), (4, 1, 1, 170 * HOUR)])
+    assert not scoped_sessions(df, "2024-01-03", "2024-01-03", gap_seconds=48 * HOUR)[1].isEmpty()
+
+
+def test_rows_of_keys_take_null_for_a_key(spark):
+    df = events(spark, [(1, 1, 1, 0), (2, None, 1, 0), (3, 2, 1, 0)])
+    keys = df.filter("event_id < 3").select("user_id", "title_id")
+    assert rows(rows_of_keys(df, keys), "event_id") == [(1,), (2,)]
+
+
 def test_key_by_start_does_not_depend_on_what_is_read(spark):
     df = dated(spark, [(1, 1, 1, 0), (2, 1, 1, 5 * HOUR), (3, 1, 1, 9 * HOUR)])
     full = {r.session_start: r.session_key for r in rollup_sessions(df, key="start").collect()}

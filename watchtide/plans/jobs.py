@@ -22,7 +22,7 @@ from watchtide.operators.marts import fct_events, fct_sessions, mart_engagement,
 from watchtide.operators.membership import blocks_of, filter_rows, insert_unseen, maybe_seen
 from watchtide.operators.scd2 import DIM_COLS, empty_dim, scd2_apply, scd2_splice
 from watchtide.operators.scope import date_ranges, days_between, full_window, in_ranges, window_for
-from watchtide.operators.sessions import flagged_sessions, rollup_sessions
+from watchtide.operators.sessions import KEYS, flagged_sessions, rollup_sessions, rows_of_keys
 from watchtide.operators.titles import pending_list
 from watchtide.schemas import (BRONZE_HEARTBEAT, BRONZE_TITLE, GOLD_DIM_TITLE, GOLD_FCT_EVENTS, GOLD_FCT_SESSIONS,
                                SEEN_KEYS, SILVER_EVENTS, SILVER_SESSIONS, SILVER_TITLE, conform)
@@ -129,7 +129,8 @@ def load_sessions(spark: SparkSession, cfg: PipelineConfig, processing_date=None
     A changed date can alter sessions that began the day before or go on the day
     after, so the scope replaced is that much wider, and it is widened further as long
     as sessions reach beyond it. Sessions are computed into a staging table, which tells whether the
-    scope will do and from which it is replaced. Returns the ranges of session dates replaced.
+    scope will do and from which it is replaced; wider scopes are tried on the keys that reach beyond alone, and then
+    computed for all. Returns the ranges of session dates replaced.
     """
     events = _table(spark, cfg, "silver", "playback_events", SILVER_EVENTS)
     out_path = cfg.path("silver", "viewing_sessions")
@@ -145,7 +146,7 @@ def load_sessions(spark: SparkSession, cfg: PipelineConfig, processing_date=None
             done.append((lo, hi))
         ledger.strike("sessions", owed.entries)
         return done
-    stage = f"{cfg.ops}/staging/viewing_sessions"
+    stage, stage_keys = f"{cfg.ops}/staging/viewing_sessions", f"{cfg.ops}/staging/viewing_sessions_beyond"
     changed = _ranges(events, "event_date", processing_date, cfg.session_lookback_days, {*dates, *owed.dates})
     for lo, hi in date_ranges([d for r in changed for d in days_between(*r)], join_days=4 * pad):
         width = pad
@@ -155,11 +156,16 @@ def load_sessions(spark: SparkSession, cfg: PipelineConfig, processing_date=None
             staged = read_table(spark, stage, flagged.schema)
             if staged.filter("_beyond").isEmpty():
                 break
+            write_table(staged.filter("_beyond").select(*KEYS).distinct(), stage_keys)
+            few = rows_of_keys(events, read_table(spark, stage_keys, staged.select(*KEYS).schema))
             width *= 2
+            while not flagged_sessions(few, lo, hi, width, **options)[0].filter("_beyond").isEmpty():
+                width *= 2
         ledger.owe("fct_sessions", days_between(*scope))
         overwrite_dates(conform(staged.filter("_inside"), SILVER_SESSIONS), out_path, "session_date", *scope)
         done.append(scope)
     drop_folder(spark, stage)
+    drop_folder(spark, stage_keys)
     ledger.strike("sessions", owed.entries)
     return done
 
